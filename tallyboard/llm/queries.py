@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import substring_dedup
+from tallyboard.llm import secret_scan, substring_dedup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _listed(spans) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.stop.cast("string"))), ",")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in secret_scan.BASE_KINDS),
+        F.sha2(_listed(F.filter("spans", lambda s: s.kind.isin(*secret_scan.BASE_KINDS))), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_secret_scan": op2_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
