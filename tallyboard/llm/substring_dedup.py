@@ -24,6 +24,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,8 @@ def _candidates(window: int, seed: int):
 
     def run(batches):
         for batch in batches:
-            for part in B.chunks(batch, "text"):
+            marked = batch.filter(pc.or_(pc.is_valid(batch.column("cold")), pc.is_valid(batch.column("hot"))))
+            for part in B.chunks(marked, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 words, first = _chunk_words(part)
                 least = _seed_of_windows(words, seed, window)
@@ -157,10 +159,11 @@ def remove_repeats(
         F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"),
         F.max("copy").alias("copy"),
     )
+    # No filter after the left joins: both then read the one exchange of the texts.
+    own = F.col("copy") == F.lit(False)
     candidates = (
-        base.join(per_doc.where("not copy"), "id", "left")
-        .where("copy is not null")
-        .select("id", "text", "cold", "hot")
+        base.join(per_doc, "id", "left")
+        .select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
         .mapInArrow(_candidates(window, seed), "id long, h long, hot boolean")
         .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0)))
     )
