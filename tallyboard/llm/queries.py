@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import line_dedup, secret_scan, substring_dedup
+from tallyboard.llm import line_dedup, secret_scan, simhash_dedup, substring_dedup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +41,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op6_line_dedup": op6_line_dedup,
+    "op9_simhash_dedup": op9_simhash_dedup,
 }
 
 _WHITE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
