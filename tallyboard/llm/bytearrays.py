@@ -140,11 +140,8 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
 
 def window_rows(first: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n windows lie within one row, given each row's first word."""
-    ok = np.zeros(n, dtype=bool)
-    counts = np.diff(first)
-    for low, count in zip(first[:-1][counts >= length], counts[counts >= length]):
-        ok[low : low + count - length + 1] = True
-    return ok
+    stops = np.repeat(first[1:], np.diff(first))[:n]
+    return np.arange(n) + length <= stops
 
 
 def row_of_word(first: np.ndarray) -> np.ndarray:
@@ -160,6 +157,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of booleans or numbers over the rows that the offsets part."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[at[1:]] - total[at[:-1]]
+
+
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n places lie in [s, s + length) for some s; places past n are cut off."""
     delta = np.zeros(n + 1, dtype=np.int64)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import line_dedup, secret_scan, simhash_dedup, substring_dedup
+from tallyboard.llm import line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_common_lines(docs).select(
@@ -49,6 +54,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
