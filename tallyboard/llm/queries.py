@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs))
@@ -54,6 +66,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_decontaminate": op3_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
