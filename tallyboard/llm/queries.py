@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs))
@@ -63,13 +67,21 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "pipeline": pipeline,
 }
 
 _WHITE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
