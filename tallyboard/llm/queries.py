@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
+from tallyboard.llm.scratch import written
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    slot_map = written(sharding.map_table(spark, [sharding.first_map(sharding.slot_bytes(docs), 40)]))
+    return sharding.assign(docs, slot_map, 1).withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "pipeline": pipeline,
 }
