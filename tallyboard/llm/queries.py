@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, html_text, line_dedup, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
 from tallyboard.llm.scratch import written
 
 
@@ -63,6 +63,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     slot_map = written(sharding.map_table(spark, [sharding.first_map(sharding.slot_bytes(docs), 40)]))
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_html_text": op7_html_text,
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "pipeline": pipeline,
