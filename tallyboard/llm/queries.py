@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, html_text, line_dedup, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
 from tallyboard.llm.scratch import written
 
 
@@ -78,6 +78,12 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = lm_score.score(docs, lm_score.fit(lm_score.window_counts(docs)))
+    return scored.withColumn("per_token", F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_text": op7_html_text,
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_lm_score": op10_lm_score,
     "pipeline": pipeline,
 }
 
