@@ -29,7 +29,7 @@ def _references(text: Column, pattern: str, base: int) -> Column:
 
     def put(done: Column, digits: Column) -> Column:
         point = F.conv(digits, base, 10).cast("decimal(20,0)")
-        char = F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32BE")
+        char = F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32")
         return F.when((F.length(digits) <= 8) & (point <= _LAST_POINT), F.replace(done, F.concat(F.lit("&#" if base == 10 else "&#x"), digits, F.lit(";")), char)).otherwise(done)
 
     digits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))

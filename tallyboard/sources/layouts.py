@@ -444,7 +444,6 @@ def offset_of(body: str) -> float | None:
     return round(value, 4) or None if abs(value) < 1e12 else None
 
 
-@F.pandas_udf("array<double>")
 def _offsets(bodies: pd.Series) -> pd.Series:
     return bodies.map(lambda xs: sorted({v for v in map(offset_of, xs) if v is not None}))
 
@@ -453,7 +452,7 @@ def offsets(bodies: DataFrame) -> DataFrame:
     """source_id, offset and why there is none: all definitions on a page have to agree and negate a stated offset."""
     texts = F.regexp_extract_all("body", F.lit(r"(?s)function\s+displayNumber\s*\([^{]*\{(.*?)document\.write"), 1)
     stated = F.regexp_extract("body", r"NoScrapeOffset:\s*(-?[0-9.]+)", 1).try_cast("double")
-    found = bodies.select("source_id", F.size(texts).alias("_n"), _offsets(texts).alias("_values"), stated.alias("_stated"))
+    found = bodies.select("source_id", F.size(texts).alias("_n"), F.pandas_udf(_offsets, "array<double>")(texts).alias("_values"), stated.alias("_stated"))
     value = F.get("_values", F.lit(0))
     code = (
         F.when(F.col("_n") == 0, "no_definition")
@@ -468,7 +467,7 @@ def grid(bodies: DataFrame) -> Feed:
     """A grid of measures by delivery, one block of rows per commodity: turned from columns into rows."""
     table = F.regexp_extract("body", r'(?s)<table class="DataGrid[^"]*".*?</table>', 0)
     head = F.regexp_extract(table, r"(?s)<thead>(.*?)</thead>", 1)
-    names = F.transform(F.regexp_extract_all(head, F.lit(r'(?s)<th[^>]*scope="col"[^>]*>\s*<span>([^<]*)</span>'), 1), F.trim)
+    names = F.transform(F.regexp_extract_all(head, F.lit(r'(?s)<th[^>]*scope="col"[^>]*>\s*<span>([^<]*)</span>'), 1), lambda n: F.trim(n))
     off = offsets(bodies)
     code = F.coalesce("code", F.when(F.col("_table") == "", "no_grid").when(F.col("_head") == "", "no_thead").when(F.size("deliveries") == 0, "no_deliveries"))
     pages = bodies.join(off, "source_id").withColumns({"_table": table, "_head": head, "deliveries": names}).withColumn("_code", code)
