@@ -95,7 +95,9 @@ def drop_common_lines(
     lines = written(
         docs.where(key.isNotNull() & (F.length(text) >= min_chars)).select(key.alias("_ld_id"), F.inline(hashed)).select(*_KEY, "_ld_id")
     )
-    common = common_lines(lines, _batches(lines, "_ld_id", batches), min_docs)
+    # Written, so that its size is known to the join: a small list is broadcast by Spark's own threshold, and
+    # a large one meets the lines in a shuffle whose skewed partitions adaptive execution can split.
+    common = written(common_lines(lines, _batches(lines, "_ld_id", batches), min_docs))
     lost = (
         lines.join(common, _KEY)
         .where("_ld_id < _ld_last")
