@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tallyboard.llm import bytearrays as B
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>|</?[a-zA-Z][^<>]*\Z""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s/])(hidden)(?![^\s/>])""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")

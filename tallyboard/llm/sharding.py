@@ -58,8 +58,11 @@ def first_map(size: np.ndarray, shards: int) -> np.ndarray:
     return shard_of
 
 
-def rebalance(shard_of: np.ndarray, size: np.ndarray, shards: int) -> np.ndarray:
-    """An edited map: slots of shards that are gone, then single slots from the heaviest to the lightest shard while that levels them."""
+def rebalance(shard_of: np.ndarray, size: np.ndarray, shards: int, tolerance: float = 0.02) -> np.ndarray:
+    """An edited map: slots of shards that are gone go to the lightest, then single slots from the heaviest to the lightest shard.
+
+    It ends when the two differ by `tolerance` of the mean at most, or when no slot would level them.
+    """
     out = shard_of.copy()
     load = np.bincount(out[out < shards], weights=size[out < shards], minlength=shards)[:shards]
     for slot in sorted(np.flatnonzero(out >= shards).tolist(), key=lambda s: (-size[s], s)):
@@ -68,6 +71,8 @@ def rebalance(shard_of: np.ndarray, size: np.ndarray, shards: int) -> np.ndarray
     while True:
         heavy, light = int(np.argmax(load)), int(np.argmin(load))
         gap = load[heavy] - load[light]
+        if gap <= tolerance * load.mean():
+            return out
         own = np.flatnonzero(out == heavy)
         own = own[(size[own] > 0) & (size[own] < gap)]
         if not len(own):
