@@ -11,6 +11,7 @@ from tallyboard.functions.times import HEARTBEAT_H, STALE_H, hours_between
 from tallyboard.operators.guards import run_guards
 from tallyboard.sources import feeds
 from tallyboard.sources.manifests import to_config
+from tallyboard.sources.scratch import written
 
 
 @dataclass
@@ -45,12 +46,15 @@ def decide_against(snapshots: DataFrame, previous: DataFrame, heartbeat: float =
     return joined.withColumns({"write": ~skip, "changed": ~same, "reason": reason, "priced_at": priced, "status": F.when(old, "stale").otherwise("ok")}).drop("_was")
 
 
-def run(loaded: DataFrame, bodies: DataFrame, previous: DataFrame, now: Column) -> Run:
-    """`loaded` from `sources.manifests.load`, `bodies` (source_id, platform, url, body). A refused source keeps its last snapshot: it is not in `snapshots`."""
-    config = to_config(loaded)
-    read = feeds.extract(bodies.join(config.select("source_id"), "source_id", "left_semi"))
-    out = run_guards(read.bids, config)
-    shape = read.refusals.select("source_id", F.col("code").alias("_shape"))
+def run(loaded: DataFrame, bodies: DataFrame, previous: DataFrame, now: Column, platforms: tuple[str, ...] | None = None) -> Run:
+    """`loaded` from `sources.manifests.load`, `bodies` (source_id, platform, url, body). A refused source keeps its last snapshot: it is not in `snapshots`.
+
+    The bids are written once: all outputs start from them, and no page is parsed twice.
+    """
+    config = written(to_config(loaded))
+    read = feeds.extract(bodies.join(config.select("source_id"), "source_id", "left_semi"), platforms)
+    out = run_guards(written(read.bids), config)
+    shape = written(read.refusals).select("source_id", F.col("code").alias("_shape"))
     refusals = out.refusals.join(shape, "source_id", "left").select("source_id", "rank", F.coalesce("_shape", "code").alias("code"))
     decided = decide_against(snapshot(out.published, now), previous)
     held = out.withheld.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("commodity", "rows", "why"))).alias("withheld"))

@@ -143,9 +143,6 @@ def workflow_crons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.crons(read(spark, sf_dir, "supplier").select("s_suppkey", text.alias("text")), "s_suppkey", "text")
 
 
-_WORDS = "SELECT s_suppkey AS k, 'widget' AS feed, 1 AS bids, 1 AS refused FROM supplier"
-
-
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS source_id, CASE s_suppkey % 3 WHEN 0 THEN 'Corn' WHEN 1 THEN 'Corn (tons)' ELSE 'Corn' END AS commodity, 'Spot' || CASE WHEN s_suppkey % 3 = 2 THEN ' (Oct)' ELSE '' END AS delivery, 4.1 AS cash, -35 AS basis_cents, 445.0 AS futures_price FROM supplier".replace("4.1 AS", "4.1::DOUBLE AS").replace("445.0 AS", "445.0::DOUBLE AS"))
 def json_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same bid through the three JSON feeds."""
@@ -158,4 +155,4 @@ def json_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(k % 3 == 0, F.lit(nested)).when(k % 3 == 1, F.lit(widget)).otherwise(F.lit(offers))
     platform = F.when(k % 3 == 0, "bushel").when(k % 3 == 1, "dtn-cs").otherwise("graindesk")
     bodies = read(spark, sf_dir, "supplier").select(k.cast("string").alias("source_id"), platform.alias("platform"), F.lit("u").alias("url"), body.alias("body"))
-    return feeds.extract(bodies).bids.select("source_id", "commodity", "delivery", "cash", "basis_cents", "futures_price")
+    return feeds.extract(bodies, ("bushel", "dtn-cs", "graindesk")).bids.select("source_id", "commodity", "delivery", "cash", "basis_cents", "futures_price")

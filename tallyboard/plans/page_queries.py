@@ -195,17 +195,3 @@ def endpoint_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bundle_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle = F.concat(F.lit('axios.get("'), "url", F.lit('");import("./static/js/a'), F.col("page_id").cast("string"), F.lit('.js")'))
     return pages(spark, sf_dir).select("page_id", F.size(discovery.call_sites(bundle)).alias("calls"), F.array_join(discovery.chunk_names(bundle), ",").alias("chunks"))
-
-
-@query()
-def table_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boards in table layout, made from the pages' words, read by the HTML feed."""
-    from tallyboard.sources import feeds
-
-    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
-    n = F.col("page_id")
-    row = lambda k: F.concat(F.lit("<tr>"), cell(F.lit("Corn")), cell(F.concat(F.lit(f"Del {k} "), n.cast("string"))), cell(F.lit("4.10")), cell(F.lit("-0.35")), F.lit("</tr>"))
-    head = F.lit("<h2>Town</h2><table><tr><th>Commodity</th><th>Delivery</th><th>Cash</th><th>Basis</th></tr>")
-    body = F.concat("html", head, row(1), row(2), F.lit("</table>"))
-    bodies = pages(spark, sf_dir).select(n.cast("string").alias("source_id"), F.lit("cashbidssingle").alias("platform"), "url", body.alias("body"))
-    return feeds.extract(bodies).bids

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
@@ -14,3 +15,10 @@ def folder(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="tallyboard-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder, read again: what comes after neither repeats its work nor carries its plan."""
+    path = f"{folder(df.sparkSession)}/tallyboard-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
