@@ -126,4 +126,44 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+OP1_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS k
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS s FROM words WHERE len(ws) >= 50)),
+first AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, s + d AS pos
+  FROM (SELECT doc_id, s, unnest(generate_series(0, 49)) AS d FROM windows JOIN first USING (k) WHERE doc_id > least)),
+each AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM words),
+judged AS (
+  SELECT e.doc_id, e.pos, e.word, g.pos IS NOT NULL AS lost FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos)
+SELECT d.doc_id, count(j.pos) AS n_words, count(j.pos) FILTER (j.lost) AS n_removed,
+       sha256(coalesce(string_agg(j.word, ' ' ORDER BY j.pos) FILTER (NOT j.lost), '')) AS kept_sha256
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
+"""
+
+_ALNUM = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
+OP3_SQL = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS ws FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item, n, array_to_string(ws[s:s + n - 1], ' ') AS k
+  FROM (SELECT item, ws, least(13, len(ws)) AS n, unnest(generate_series(1, len(ws) - least(13, len(ws)) + 1)) AS s FROM items WHERE len(ws) > 0)),
+lengths AS (SELECT DISTINCT n FROM wanted),
+words AS (SELECT doc_id, {_ALNUM} AS ws FROM documents),
+there AS (
+  SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS k
+  FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS s FROM words, lengths WHERE len(ws) >= n)),
+found AS (SELECT t.doc_id, t.n, t.s, w.item FROM there t JOIN wanted w ON t.k = w.k AND t.n = w.n),
+hits AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, s + unnest(generate_series(0, n - 1)) AS pos FROM (SELECT DISTINCT doc_id, n, s FROM found)) GROUP BY doc_id),
+held AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY doc_id)
+SELECT w.doc_id, len(w.ws) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(w.ws) AS contaminated
+FROM words w LEFT JOIN hits h ON w.doc_id = h.doc_id LEFT JOIN held i ON w.doc_id = i.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}

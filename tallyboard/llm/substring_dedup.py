@@ -4,8 +4,9 @@ Level-wise doubling. Level 1 looks at windows of half the wanted length. From ea
 window one half-length window is selected by its content alone (the least hash inside it),
 so equal windows select equal halves and about one half in thirteen needs to be compared.
 Only windows whose half is repeated in another document are extended to twice that length
-and compared at level 2. With `window` above 2 * `seed` the doubling goes on in the same
-way, until the wanted length is reached or no candidate is left.
+and compared at level 2, which decides what is removed: a repeat of any greater length is
+covered by its windows of the wanted length. `longest_repeats` goes on from there. At each
+level, windows repeated at length n in two halves are extended to 2 n, until no candidate is left.
 
 Rows and sizes. Seeds and candidates travel as pairs of a hash and an id; texts travel once,
 by document. Documents with exactly the same text as an earlier one are taken whole from
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm import bytearrays as B
+from tallyboard.llm.scratch import written
 
 SALTS = 64
 
@@ -134,26 +136,67 @@ def _strip(window: int):
     return run
 
 
-def remove_repeats(
-    docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", hot: int = 256
-) -> DataFrame:
-    """One row per row of `docs`: id, n_words, n_removed and the kept words joined by one space."""
-    seed = max(1, window // 2)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    known = base.where("id is not null and text is not null")
+def _doubled(length: int):
+    """Windows of twice the length both of whose halves are repeated."""
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64())])
 
-    digest = known.select("id", F.unhex(F.sha2("text", 256)).alias("d"))
-    first = digest.groupBy("d").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    copies = digest.join(first, "d").where("id > least").select("id", F.lit(None).cast("long").alias("h"), F.lit(False).alias("hot"), F.lit(True).alias("copy"))
+    def run(batches):
+        for batch in batches:
+            for part in B.chunks(batch, "text"):
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                words, first = _chunk_words(part)
+                halves, wholes = B.window_hashes(words, length), B.window_hashes(words, 2 * length)
+                out_ids, out_h = [], []
+                for i, known in enumerate(part.column("known")):
+                    n = int(first[i + 1] - first[i]) - 2 * length + 1
+                    if n > 0:
+                        table = np.sort(B.unsigned(known.values.to_numpy(zero_copy_only=False)))
+                        held = B.sorted_member(halves[first[i] : first[i] + n + length], table)
+                        found = np.unique(wholes[first[i] : first[i] + n][held[:n] & held[length:]])
+                        out_h.append(found)
+                        out_ids.append(np.full(len(found), ids[i], dtype=np.int64))
+                if out_h:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_ids)), pa.array(B.signed(np.concatenate(out_h)))], schema=schema)
 
-    seeds = known.mapInArrow(_seeds(window, seed), "id long, h long")
+    return run
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows (id, h) whose window another document has too; hashes are counted before they meet the rows."""
+    found = rows.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h")
+    return rows.join(found, "h").select("id", "h")
+
+
+def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and `longest`, the greatest of window, 2 * window, 4 * window ... for which the document has a window that another one has too.
+
+    Documents without such a window have no row. A level is a table of the hashes that survive; the loop ends with the first empty one.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    rows = written(_shared(_level_two(base, base.mapInArrow(_seeds(window, max(1, window // 2)), "id long, h long"), window, 0).select("id", "h")))
+    length, found = window, None
+    while not rows.isEmpty():
+        here = rows.select("id").distinct().withColumn("longest", F.lit(length))
+        found = here if found is None else found.unionByName(here)
+        known = rows.groupBy("id").agg(F.collect_set("h").alias("known"))
+        rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long").distinct()))
+        length *= 2
+    if found is None:
+        return base.select(F.col("id").alias(id_col), F.lit(0).alias("longest")).limit(0)
+    return found.groupBy(F.col("id").alias(id_col)).agg(F.max("longest").alias("longest"))
+
+
+def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies: DataFrame | None = None) -> DataFrame:
+    """Candidates (id, h, hot): the wanted windows whose selected half is repeated; none of documents that are whole copies."""
     repeated = (
         seeds.groupBy("h")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
         .where("least < most")
         .select("h", (F.col("n") > hot).alias("hot"))
     )
-    marks = seeds.join(repeated, "h").select("id", "h", "hot", F.lit(False).alias("copy")).unionByName(copies)
+    marks = seeds.join(repeated, "h").select("id", "h", "hot", F.lit(False).alias("copy"))
+    if copies is not None:
+        marks = marks.unionByName(copies)
     per_doc = marks.groupBy("id").agg(
         F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
         F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"),
@@ -161,12 +204,25 @@ def remove_repeats(
     )
     # No filter after the left joins: both then read the one exchange of the texts.
     own = F.col("copy") == F.lit(False)
-    candidates = (
-        base.join(per_doc, "id", "left")
-        .select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
-        .mapInArrow(_candidates(window, seed), "id long, h long, hot boolean")
-        .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0)))
-    )
+    joined = base.join(per_doc, "id", "left").select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
+    return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, hot boolean")
+
+
+def remove_repeats(
+    docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", hot: int = 256
+) -> DataFrame:
+    """One row per row of `docs`: id, n_words, n_removed and the kept words joined by one space."""
+    seed = max(1, window // 2)
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    known = base.where("id is not null and text is not null")
+
+    digest = known.select("id", F.unhex(F.sha2("text", 256)).alias("d"))
+    first = digest.groupBy("d").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    copies = digest.join(first, "d").where("id > least").select("id", F.lit(None).cast("long").alias("h"), F.lit(False).alias("hot"), F.lit(True).alias("copy"))
+
+    seeds = known.mapInArrow(_seeds(window, seed), "id long, h long")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0))
+    candidates = _level_two(base, seeds, window, hot, copies).withColumn("salt", salt)
     settled = candidates.withColumn("least", F.min("id").over(Window.partitionBy("h", "salt")))
     within = settled.where("id > least").select("id", "h")
     between = (

@@ -133,6 +133,30 @@ def test_substring_dedup_many_copies_and_none(spark):
     assert substring_dedup.remove_repeats(frame(spark, []), window=50).count() == 0
 
 
+@pytest.mark.parametrize("window", [10, 50])
+def test_longest_repeats(spark, window):
+    held = collections.defaultdict(set)
+    texts = collections.defaultdict(list)
+    for i, t in MESSY:
+        if i is not None:
+            texts[i].append(WORD.findall(t or ""))
+    want, length = {}, window
+    while True:
+        held.clear()
+        for i, own in texts.items():
+            for w in own:
+                for s in range(len(w) - length + 1):
+                    held[tuple(w[s : s + length])].add(i)
+        again = {i for ids in held.values() if len(ids) > 1 for i in ids}
+        if not again:
+            break
+        want |= {i: length for i in again}
+        length *= 2
+    got = {r.doc_id: r.longest for r in substring_dedup.longest_repeats(frame(spark, MESSY), window).collect()}
+    assert got == want and max(want.values()) >= 2 * window - window * (window == 50)
+    assert substring_dedup.longest_repeats(frame(spark, []), window).count() == 0
+
+
 # ---------------------------------------------------------------- 2
 
 
