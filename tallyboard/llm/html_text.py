@@ -2,7 +2,8 @@
 
 A page is parsed once into elements in page order. Script, style, form, navigation, footer, aside,
 hidden and commented parts, and elements whose class, id or role names such a part,
-take no part in the rest. For every other element the density is its characters per tag,
+take no part in the rest (a name that only says how the page is laid out does not count: such an
+element holds an article or most of the text). For every other element the density is its characters per tag,
 adjusted for links:
 
     C / T * log(C / LC * T / LT, base ln(C / (C - LC) * LC + LCb / Cb * C + e))
@@ -12,7 +13,8 @@ count as one. The density sum of an element adds its children's densities. The e
 largest sum holds the main text. The least density on the path from the body to it is the
 threshold at which an element beside the path is text too, such as a title above the
 container of the paragraphs. Where that element is within `article` or `main`, or one of these within it,
-the page itself says how far the text reaches, and that element is taken.
+the page itself says how far the text reaches, and that element is taken. Elsewhere,
+blocks that hold nothing but several links are menus and stay out.
 
 Within what is taken nothing is dropped: character references are decoded, white space in
 a block becomes one space, blocks are joined by one space in page order.
@@ -46,7 +48,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 _NOISE_TAGS = frozenset(
-    "script style noscript template svg math iframe object embed canvas audio video map nav footer aside form fieldset button select textarea input option datalist dialog menu head title noframes xmp".split()
+    "script style noscript template svg math iframe object embed canvas audio video map nav footer aside fieldset button select textarea input option datalist dialog menu head title noframes xmp".split()
 )
 _NOISE_ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tooltip status".split())
 _NOISE_WORDS = frozenset(
@@ -56,7 +58,14 @@ _NOISE_WORDS = frozenset(
     "nav navbar navigation navi menu menus submenu breadcrumb breadcrumbs crumbs pagination pager toolbar topbar footer copyright disclaimer legal "
     "comment comments commentlist disqus replies reply respond discussion reactions search searchbox searchform form skip skiplink toc".split()
 )
+#: Words that name a part by how they begin or end.
+_NOISE_STARTS = ("advert", "adsby", "adslot", "adunit", "adbox", "breadcrumb", "cookie", "disqus", "newsletter", "sidebar", "sponsor")
+_NOISE_ENDS = ("advert", "banner", "breadcrumbs", "comments", "footer", "menu", "nav", "navbar", "notice", "sidebar")
+#: Parts that are noise however long they are; the others may also name the layout of a whole page.
+_NEVER_TEXT = ("ad", "comment", "cookie", "consent", "disqus", "gdpr", "notice", "popup", "modal", "repl", "discussion", "sponsor")
 _HEADERS = frozenset("masthead header".split())
+#: An element named as noise that holds this share of the page's text names its layout.
+_MOST = 0.6
 #: What opening the key closes first, up to the nearest of the given elements.
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
@@ -85,12 +94,32 @@ class _Page:
         self.parent: list[int] = [-1]
         self.end: list[int] = [0]
         self.noise: list[bool] = [False]
+        #: Elements that are noise by a name only; decided when the page is read. False, or the name.
+        self.named: list[str | bool] = [False]
         #: (element, text) in page order; a text of None is the edge of a block.
         self.parts: list[tuple[int, str | None]] = []
         self.stack = [0]
         self._parse(html)
         while self.stack:
             self.end[self.stack.pop()] = len(self.tag)
+        self._judge_names()
+
+    def _judge_names(self) -> None:
+        """A name makes noise, unless the element holds an article, or most of the page under a name of layout."""
+        n = len(self.tag)
+        chars, texts = [0] * n, [t in _TEXT_ROOTS and not self.named[i] and not self.noise[i] for i, t in enumerate(self.tag)]
+        for i, text in self.parts:
+            if text is not None and not self.noise[i]:
+                chars[i] += len(text)
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            chars[p] += chars[i]
+            texts[p] = texts[p] or texts[i]
+        for i in range(1, n):
+            name = self.named[i]
+            if name and not texts[i] and (name.startswith(_NEVER_TEXT) or chars[i] < _MOST * chars[0]):
+                self.noise[i] = True
+            self.noise[i] = self.noise[i] or self.noise[self.parent[i]]
 
     def _parse(self, html: str) -> None:
         at, n = 0, len(html)
@@ -153,7 +182,9 @@ class _Page:
         self.tag.append(name)
         self.parent.append(above)
         self.end.append(0)
-        self.noise.append(self.noise[above] or name in _NOISE_TAGS or self._is_noise(name, attributes))
+        hard, soft = self._is_noise(name, attributes)
+        self.noise.append(self.noise[above] or name in _NOISE_TAGS or hard)
+        self.named.append(soft)
         self.stack.append(len(self.tag) - 1)
 
     def _close(self, name: str) -> None:
@@ -170,32 +201,32 @@ class _Page:
     def _within(self, names) -> bool:
         return any(self.tag[i] in names for i in self.stack)
 
-    def _is_noise(self, name: str, attributes: str) -> bool:
-        header = name == "header"
-        if attributes and name not in ("html", "body", "article", "main"):
-            for key, a, b, c, bare in _ATTRIBUTE.findall(attributes):
-                if bare:
-                    return True
-                key, value = key.lower(), a or b or c
-                if key in ("class", "id"):
-                    words = {w.lower() for w in _WORDS.findall(value)}
-                    if words & _NOISE_WORDS:
-                        return True
-                    header = header or bool(words & _HEADERS)
-                elif key == "role":
-                    if value.lower() in _NOISE_ROLES:
-                        return True
-                    header = header or value.lower() == "banner"
-                elif key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                    return True
-        elif attributes and name == "article":
-            for key, a, b, c, _ in _ATTRIBUTE.findall(attributes):
-                if key.lower() in ("class", "id") and {w.lower() for w in _WORDS.findall(a or b or c)} & {"comment", "comments", "reply", "teaser", "related", "ad", "sponsored"}:
-                    return True
-        return header and not self._within(_TEXT_ROOTS)
-
-
-def _densities(page: _Page, root: int) -> tuple[list[float], list[float]]:
+    def _is_noise(self, name: str, attributes: str) -> tuple[bool, str | bool]:
+        """Whether an element is noise for certain, and the name that says so if it is by name."""
+        header, found = name == "header", "form" if name == "form" else False
+        whole = name in ("html", "body", *_TEXT_ROOTS)
+        for key, a, b, c, bare in _ATTRIBUTE.findall(attributes) if attributes else ():
+            if bare:
+                return not whole, found
+            key, value = key.lower(), a or b or c
+            if key in ("class", "id") and (not whole or name == "article"):
+                words = {w.lower() for w in _WORDS.findall(value)} | set(re.findall("[a-z]+", value.lower()))
+                for w in sorted(words):
+                    if w in _NOISE_WORDS or w.startswith(_NOISE_STARTS) or w.endswith(_NOISE_ENDS):
+                        if not whole or w.startswith(_NEVER_TEXT) or w.startswith(("teaser", "related")):
+                            found = w if not found or w.startswith(_NEVER_TEXT) else found
+                header = header or bool(words & _HEADERS)
+            elif key == "role" and not whole:
+                if value.lower() in _NOISE_ROLES:
+                    return True, found
+                header = header or value.lower() == "banner"
+            elif key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+                return not whole, found
+        return header and not whole and not self._within(_TEXT_ROOTS), found
+
+
+def _densities(page: _Page, root: int) -> tuple[list[float], list[float], list[int]]:
+    """Density and density sum of every element, and the elements that hold nothing but several links."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i, text in page.parts:
@@ -221,24 +252,25 @@ def _densities(page: _Page, root: int) -> tuple[list[float], list[float]]:
             density[i] = c / t * max(0.0, log(c / lc * t / lt) / log(base)) if base > 1 else c / t * max(0.0, log(c / lc * t / lt))
             if page.parent[i] >= 0:
                 total[page.parent[i]] += density[i]
-    return density, total
+    menus = [i for i in range(root + 1, n) if link_tags[i] > 1 and page.tag[i] not in _INLINE and 0 < chars[i] == link_chars[i]]
+    return density, total, menus
 
 
-def _chosen(page: _Page) -> list[int]:
-    """Elements whose subtrees make the main text, none within another."""
+def _chosen(page: _Page) -> tuple[list[int], list[int]]:
+    """Elements whose subtrees make the main text, none within another, and menus to leave out of them."""
     n = len(page.tag)
     root = next((i for i in range(n) if page.tag[i] == "body"), 0)
-    density, total = _densities(page, root)
+    density, total, menus = _densities(page, root)
     best = max(range(root, page.end[root]), key=lambda i: (total[i], -i))
     for name in _TEXT_ROOTS:
         above, i = None, best
         while i > 0:
             above, i = (i if page.tag[i] == name else above), page.parent[i]
         if above is not None:
-            return [above]
+            return [above], []
         inside = [i for i in range(best, page.end[best]) if page.tag[i] == name and not page.noise[i]]
         if inside:
-            return [max(inside, key=lambda i: (total[i] + density[i], -i))]
+            return [max(inside, key=lambda i: (total[i] + density[i], -i))], []
     path, i = [best], best
     while i != root and i > 0:
         i = page.parent[i]
@@ -254,7 +286,7 @@ def _chosen(page: _Page) -> list[int]:
             i += 1
         else:
             i = page.end[i]
-    return taken
+    return taken, menus
 
 
 def main_text(html: str) -> str:
@@ -262,8 +294,10 @@ def main_text(html: str) -> str:
         return ""
     page = _Page(html)
     inside = [False] * len(page.tag)
-    for i in _chosen(page):
-        inside[i : page.end[i]] = [True] * (page.end[i] - i)
+    taken, menus = _chosen(page)
+    for elements, keep in ((taken, True), (menus, False)):
+        for i in elements:
+            inside[i : page.end[i]] = [keep] * (page.end[i] - i)
     return " ".join("".join(" " if t is None else t for i, t in page.parts if inside[i] and not page.noise[i]).split())
 
 

@@ -410,6 +410,9 @@ def test_line_dedup_levels_and_empty(spark):
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
         ("<ul><li>one<li>two <a href='x'>three</a></ul><p>" + "long text " * 30, "one two three " + ("long text " * 30).strip()),
         ("<p title=\"a>b\">q</p><!-- <p>no</p> --><p>r</p", "q r"),
+        ("<body class='has-sidebar'><div class='page with-sidebar'><div class='topnav'>a b</div><div id='content'><h1>T</h1><p>" + "long text " * 40 + "</p></div><div id='leftSidebar'>side <a href='x'>links</a></div><div class='usercomments'>" + "I agree. " * 30 + "</div></div>", "T " + ("long text " * 40).strip()),
+        ("<form id=aspnetForm><div class='menu'><a href=x>m</a></div><article class='post'><p>Body words.</p><ins class='adsbygoogle'>Buy!</ins></article><section id=comments><article class='comment'><p>" + "Reader text. " * 30 + "</p></article></section></form>", "Body words."),
+        ("<body><div class='notice'>Mind the notice.</div><table><tr><td><a href=a>x</a> <a href=b>y</a></td><td><h2>Head</h2>" + "Plain words in a cell. " * 20 + "<p>End.</p></td></tr></table></body>", "Head " + "Plain words in a cell. " * 20 + "End."),
         ("<div hidden>no</div><p style='display:none'>no</p><p>yes &#x41;&#66;</p>", "yes AB"),
     ],
 )
