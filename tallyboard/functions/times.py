@@ -55,34 +55,48 @@ def cron_matches(cron: Column, at: Column) -> Column:
     return (F.size(f) == 5) & has(0, F.minute(at), 0, 59) & has(1, F.hour(at), 0, 23) & has(3, F.month(at), 1, 12) & day
 
 
+def _parsed(cron: Column) -> Column:
+    """The values of a schedule's fields, and whether each day field is set; null for a text of another shape."""
+    f = F.split(F.trim(cron), r"\s+")
+    part = lambda k: F.get(f, F.lit(k))
+    fields = F.struct(
+        cron_values(part(0), 0, 59).alias("minutes"),
+        cron_values(part(1), 0, 23).alias("hours"),
+        cron_values(part(2), 1, 31).alias("dom"),
+        cron_values(part(3), 1, 12).alias("months"),
+        cron_values(part(4), 0, 7).alias("dow"),
+        (part(2) != "*").alias("by_dom"),
+        (part(4) != "*").alias("by_dow"),
+    )
+    return F.when(F.size(f) == 5, fields)
+
+
 def next_fire(crons: Column, after: Column, days: int = 8) -> Column:
     """The first minute after a time at which one of an array of schedules fires, within some days.
 
-    Days are walked first and minutes only within days that fire, so a time costs hundreds of steps and not thousands.
+    Each schedule is parsed once per row. On the day of the time the rest of the hour and the later hours are
+    looked at; on a later day that fires, its first hour and minute are the answer.
     """
     first = F.date_trunc("minute", after) + F.expr("interval 1 minute")
+    today, limit = F.date_trunc("day", first), F.date_trunc("minute", after) + F.expr(f"interval {days} days")
 
-    def of(cron: Column) -> Column:
-        f = F.split(F.trim(cron), r"\s+")
-        part = lambda k: F.get(f, F.lit(k))
-        minutes, hours = cron_values(part(0), 0, 59), cron_values(part(1), 0, 23)
-        dates = F.sequence(F.date_trunc("day", first), F.date_trunc("day", first) + F.expr(f"interval {days} days"), F.expr("interval 1 day"))
-
+    def of(p: Column) -> Column:
         def fires(day: Column) -> Column:
             weekday = (F.dayofweek(day) - 1).cast("int")
-            dom = F.array_contains(cron_values(part(2), 1, 31), F.dayofmonth(day))
-            week = cron_values(part(4), 0, 7)
-            dow = F.array_contains(week, weekday) | ((weekday == 0) & F.array_contains(week, 7))
-            both = (part(2) != "*") & (part(4) != "*")
-            on = F.when(both, dom | dow).when(part(2) != "*", dom).when(part(4) != "*", dow).otherwise(F.lit(True))
-            return on & F.array_contains(cron_values(part(3), 1, 12), F.month(day))
-
-        times = lambda day: F.flatten(F.transform(hours, lambda h: F.transform(minutes, lambda m: day + F.make_dt_interval(F.lit(0), h, m))))
-        found = F.flatten(F.transform(F.filter(dates, fires), lambda day: F.slice(F.filter(F.array_sort(times(day)), lambda t: t >= first), 1, 1)))
-        limit = F.date_trunc("minute", after) + F.expr(f"interval {days} days")
-        return F.when(F.size(f) == 5, F.get(F.filter(found, lambda t: t <= limit), F.lit(0)))
-
-    return F.array_min(F.transform(crons, of))
+            dom = F.array_contains(p["dom"], F.dayofmonth(day))
+            dow = F.array_contains(p["dow"], weekday) | ((weekday == 0) & F.array_contains(p["dow"], 7))
+            on = F.when(p["by_dom"] & p["by_dow"], dom | dow).when(p["by_dom"], dom).when(p["by_dow"], dow).otherwise(F.lit(True))
+            return on & F.array_contains(p["months"], F.month(day))
+
+        at = lambda day, h, m: day + F.make_dt_interval(F.lit(0), h, m)
+        this_hour = F.when(F.array_contains(p["hours"], F.hour(first)), F.array_min(F.filter(p["minutes"], lambda m: m >= F.minute(first))))
+        next_hour = F.array_min(F.filter(p["hours"], lambda h: h > F.hour(first)))
+        rest = F.coalesce(at(today, F.hour(first), this_hour), at(today, next_hour, F.array_min(p["minutes"])))
+        later = F.get(F.filter(F.sequence(today + F.expr("interval 1 day"), today + F.expr(f"interval {days} days"), F.expr("interval 1 day")), fires), F.lit(0))
+        found = F.coalesce(F.when(fires(today), rest), at(later, F.array_min(p["hours"]), F.array_min(p["minutes"])))
+        return F.when(found <= limit, found)
+
+    return F.array_min(F.transform(F.transform(crons, _parsed), of))
 
 
 def ago_words(minutes: Column) -> Column:

@@ -3,8 +3,8 @@
 Input rows carry source_id, seq, location_id, location, commodity, delivery, cash and basis in
 dollars, basis_cents, futures (month), futures_price in cents and futures_at. Sources carry their
 settings. One row can refuse its source: every refusal is a row (source_id, rank, code), and the
-least rank wins, so the first refusal of the guard order does. All guards of a source are conditional
-aggregates of one grouping by source; only the bands need a second one, by commodity.
+least rank wins, so the first refusal of the guard order does. All guards are conditional aggregates of
+one grouping of the rows by source and commodity, and of a second one of its few rows by source.
 """
 
 from __future__ import annotations
@@ -148,49 +148,50 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
         }
     )
     label = F.concat("location", F.coalesce(F.concat(F.lit(" ("), null_id(F.col("location_id")), F.lit(")")), F.lit("")))
-    per_source = flagged.groupBy("source_id").agg(
-        F.first("has_location_key").alias("has_location_key"),
-        F.first("scale").alias("scale"),
-        F.first("own_location").alias("own_location"),
-        F.first("mode").alias("mode"),
-        F.count_if("_there").alias("n_parsed"),
-        F.count_if("_located").alias("n_located"),
-        F.count_distinct(F.when(F.col("_located"), F.nullif("location", F.lit("")))).alias("n_places"),
-        F.count_if("_kept").alias("n_kept"),
-        F.count_if("_tested").alias("n_testable"),
-        F.count_if("_fails").alias("n_failing"),
-        F.coalesce(F.max(F.when(F.col("_fails"), F.abs(signed_cents()))), F.lit(0.0)).alias("worst_cents"),
-        F.count_if("_units").alias("n_wrong_units"),
-        F.array_sort(F.collect_set(F.when(F.col("_there"), label))).alias("locations"),
-        F.array_sort(F.collect_set(F.when(F.col("_kept"), F.nullif("futures_at", F.lit(""))))).alias("board_at"),
-    )
     name = F.coalesce(F.nullif("commodity", F.lit("")), F.lit("(unnamed)"))
     outside = (F.col("cash") < F.col("_band.floor")) | (F.col("cash") > F.col("_band.ceiling"))
-    per_commodity = (
-        flagged.where("_kept")
-        .groupBy("source_id", name.alias("commodity"))
+    some = lambda c: F.first(c, True).alias(c)
+    by_commodity = (
+        flagged.groupBy("source_id", name.alias("commodity"))
         .agg(
-            F.count("*").alias("rows"),
-            F.min(F.coalesce("seq", F.lit(9999))).alias("first_seq"),
-            F.first("_band").alias("band"),
-            F.count_if(F.col("cash").isNull()).alias("no_cash"),
-            F.count_if(outside).alias("n_outside"),
+            *(some(c) for c in ("has_location_key", "scale", "own_location", "mode")),
+            F.count_if("_there").alias("n_parsed"),
+            F.count_if("_located").alias("n_located"),
+            F.collect_set(F.when(F.col("_located"), F.nullif("location", F.lit("")))).alias("places"),
+            F.count_if("_kept").alias("n_kept"),
+            F.count_if("_tested").alias("n_testable"),
+            F.count_if("_fails").alias("n_failing"),
+            F.max(F.when(F.col("_fails"), F.abs(signed_cents()))).alias("worst_cents"),
+            F.count_if("_units").alias("n_wrong_units"),
+            F.collect_set(F.when(F.col("_there"), label)).alias("locations"),
+            F.collect_set(F.when(F.col("_kept"), F.nullif("futures_at", F.lit("")))).alias("board_at"),
+            F.min(F.when(F.col("_kept"), F.coalesce("seq", F.lit(9999)))).alias("first_seq"),
+            F.first(F.when(F.col("_kept"), F.col("_band")), True).alias("band"),
+            F.count_if(F.col("_kept") & F.col("cash").isNull()).alias("no_cash"),
+            F.count_if(F.col("_kept") & outside).alias("n_outside"),
         )
         .withColumn(
             "fate",
-            F.when(F.col("band").isNull(), "no_band")
+            F.when(F.col("n_kept") == 0, "no_row")
+            .when(F.col("band").isNull(), "no_band")
             .when(~F.col("band.valid"), "bad_band")
             .when(F.col("no_cash") > 0, "null_cash")
-            .when((F.col("n_outside") > 0) & (F.col("n_outside") < F.col("rows")), "one_out_of_band")
-            .when(F.col("n_outside") == F.col("rows"), "all_out_of_band")
+            .when((F.col("n_outside") > 0) & (F.col("n_outside") < F.col("n_kept")), "one_out_of_band")
+            .when(F.col("n_outside") == F.col("n_kept"), "all_out_of_band")
             .otherwise("published"),
         )
     )
-    by_fate = per_commodity.groupBy("source_id").agg(
+    merged = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    judged = by_commodity.groupBy("source_id").agg(
+        *(some(c) for c in ("has_location_key", "scale", "own_location", "mode")),
+        *(F.sum(c).alias(c) for c in ("n_parsed", "n_located", "n_kept", "n_testable", "n_failing", "n_wrong_units")),
+        F.coalesce(F.max("worst_cents"), F.lit(0.0)).alias("worst_cents"),
+        F.size(merged("places")).alias("n_places"),
+        merged("locations").alias("locations"),
+        merged("board_at").alias("board_at"),
         F.min(F.when(F.col("fate").isin("bad_band", "null_cash", "one_out_of_band"), F.struct("first_seq", "fate"))).alias("refusing"),
         F.count_if(F.col("fate") == "published").alias("n_published"),
     )
-    judged = per_source.join(by_fate, "source_id", "left")
     vote = verdict(F.col("n_failing"), F.col("n_testable"), F.col("worst_cents"))
     code = (
         F.when(F.col("n_parsed") == 0, "no_rows")
@@ -213,9 +214,9 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
     fine = coded.where("code is null").select("source_id")
     diagnostics = coded.select("source_id", (F.col("n_parsed") - F.col("n_located")).alias("dropped"), F.col("n_testable").alias("verified"), vote.alias("verdict"), "locations", "board_at", "code")
     zero = flagged.where("_zero").select("source_id", "commodity", F.lit(1).cast("long").alias("rows"), F.lit("zero_quote").alias("why"))
-    banned = per_commodity.where(F.col("fate").isin("no_band", "all_out_of_band")).select("source_id", "commodity", "rows", F.col("fate").alias("why"))
+    banned = by_commodity.where(F.col("fate").isin("no_band", "all_out_of_band")).select("source_id", "commodity", F.col("n_kept").alias("rows"), F.col("fate").alias("why"))
     withheld = zero.unionByName(banned).join(fine, "source_id", "left_semi")
-    open_ = per_commodity.where("fate = 'published'").select("source_id", F.col("commodity").alias("_name")).join(fine, "source_id", "left_semi")
+    open_ = by_commodity.where("fate = 'published'").select("source_id", F.col("commodity").alias("_name")).join(fine, "source_id", "left_semi")
     order = Window.partitionBy("source_id").orderBy(F.coalesce("seq", F.lit(9999)), "commodity", "delivery")
     published = (
         flagged.where("_kept")
