@@ -66,3 +66,10 @@ def same_run(now: DataFrame, prior: DataFrame, keys: list[str]) -> DataFrame:
     for v in values:
         equal = equal & F.col(v).eqNullSafe(F.col(f"_{v}"))
     return joined.agg(F.count("*").alias("shared"), F.coalesce(F.bool_and(equal), F.lit(False)).alias("same_run"))
+
+
+def batch_tally(evidence: DataFrame, refused: DataFrame, flagged: DataFrame) -> DataFrame:
+    """One row for a batch of profiles: locations, rows, those with a confident rule, refused rows, names that are no towns."""
+    own = evidence.agg(F.count("*").alias("locations"), F.sum("testable").alias("rows"), F.count_if(F.col("confident").isNotNull()).alias("confident"))
+    parts = own.unionByName(refused.agg(F.count("*").alias("refused")), True).unionByName(flagged.agg(F.count("*").alias("flagged")), True)
+    return parts.agg(*(F.max(c).alias(c) for c in ("locations", "rows", "confident", "refused", "flagged")))

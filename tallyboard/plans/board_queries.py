@@ -303,6 +303,17 @@ def location_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.skeleton(board(spark, sf_dir)).withColumn("commodities", F.array_join("commodities", ","))
 
 
+@query(
+    _EVIDENCE
+    + """SELECT (SELECT count(*) FROM margins) AS locations, (SELECT CAST(sum(testable) AS BIGINT) FROM margins) AS rows, (SELECT count(*) FROM margins WHERE mode = 'exact' OR margin >= 2) AS confident,
+    (SELECT count(*) FROM board WHERE order_key % 97 = 0) AS refused, (SELECT count(DISTINCT location) FROM board WHERE location LIKE '%1%') AS flagged"""
+)
+def batch_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = board(spark, sf_dir)
+    evidence = profile.rounding_evidence(rows, ["source_id"])
+    return profile.batch_tally(evidence, rows.where("order_key % 97 = 0"), rows.where("location like '%1%'").select("location").distinct())
+
+
 @query(f"WITH {BOARD_SQL} SELECT source_id, count(DISTINCT commodity) AS commodities, count(DISTINCT location) AS locations, count(DISTINCT location) = 1 AS sole_town FROM board GROUP BY 1")
 def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = board(spark, sf_dir).groupBy("source_id").agg(F.count_distinct("commodity").alias("commodities"), F.count_distinct("location").alias("locations"))

@@ -263,3 +263,16 @@ def grep_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = escape_html(F.concat("s_name", F.lit(" & Co")))
     return suppliers(spark, sf_dir).select("s_suppkey", F.concat(F.lit("<tr><td>live</td><td>"), name, F.lit("</td></tr>")).alias("line"))
+
+
+@query("SELECT page_id, length(html) AS size, 0::BIGINT AS tables, len(regexp_extract_all(html, '(?i)<h1')) AS headings, 0::BIGINT AS rows FROM pages")
+def body_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read(spark, sf_dir, "pages").select("page_id", discovery.body_profile(F.col("html")).alias("p"))
+    return found.select("page_id", "p.size", "p.tables", "p.headings", "p.rows")
+
+
+@query("SELECT s_suppkey, 'x/cash' || s_suppkey || '.js,y/board.js,a' || s_suppkey || '.js' AS chunks FROM supplier")
+def ranked_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey").cast("string")
+    names = F.array(F.concat(F.lit("a"), k, F.lit(".js")), F.concat(F.lit("x/cash"), k, F.lit(".js")), F.lit("y/board.js"), F.lit("z.js"))
+    return suppliers(spark, sf_dir).select("s_suppkey", F.array_join(discovery.ranked_chunks(names, 3), ",").alias("chunks"))
