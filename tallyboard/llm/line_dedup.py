@@ -98,19 +98,12 @@ def drop_common_lines(
     # Written, so that its size is known to the join: a small list is broadcast by Spark's own threshold, and
     # a large one meets the lines in a shuffle whose skewed partitions adaptive execution can split.
     common = written(common_lines(lines, _batches(lines, "_ld_id", batches), min_docs))
-    lost = (
-        lines.join(common, _KEY)
-        .where("_ld_id < _ld_last")
-        .groupBy("_ld_id")
-        .agg(F.collect_set(F.struct(*_KEY)).alias("_ld_lost"))
-    )
-    kept = F.array_join(F.filter(lines_of(text), lambda x: ~F.coalesce(F.array_contains("_ld_lost", _hashes(x, min_chars)), F.lit(False))), "\n")
-    before = F.size(lines_of(text))
+    # One of the two hashes tells a document's own lines apart, and a list of longs is searched fastest.
+    lost = lines.join(common, _KEY).where("_ld_id < _ld_last").groupBy("_ld_id").agg(F.collect_set(_KEY[0]).alias("_ld_lost"))
+    gone = lambda x: F.coalesce((F.length(F.btrim(x, F.lit(_WHITE))) >= min_chars) & F.array_contains("_ld_lost", F.xxhash64(_key(x))), F.lit(False))
     joined = docs.join(lost, key == F.col("_ld_id"), "left")
-    stripped = joined.withColumns(
-        {"_ld_kept": F.when(F.col("_ld_lost").isNull(), text).otherwise(kept), "_ld_lines": before.cast("long")}
-    )
-    gone = F.when(F.col("_ld_lost").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(lines_of(text), lambda x: F.coalesce(F.array_contains("_ld_lost", _hashes(x, min_chars)), F.lit(False))))
-    )
-    return stripped.withColumn("_ld_dropped", gone.cast("long")).withColumn(text_col, F.col("_ld_kept")).drop("_ld_id", "_ld_lost", "_ld_kept")
+    kept = joined.withColumn("_ld_kept", F.when(F.col("_ld_lost").isNotNull(), F.filter(lines_of(text), lambda x: ~gone(x))))
+    before = F.size(lines_of(text)).cast("long")
+    none = F.col("_ld_kept").isNull()
+    counted = kept.withColumns({"_ld_lines": before, "_ld_dropped": F.when(none, F.lit(0)).otherwise(before - F.size("_ld_kept")).cast("long")})
+    return counted.withColumn(text_col, F.when(none, text).otherwise(F.array_join("_ld_kept", "\n"))).drop("_ld_id", "_ld_lost", "_ld_kept")
