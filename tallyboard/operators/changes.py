@@ -39,48 +39,43 @@ def moves(before: DataFrame, after: DataFrame, max_move: float = MAX_MOVE) -> Da
     return joined.withColumn("move", F.col("to") - F.col("from")).where(F.abs("move") > max_move)
 
 
-def islands(polls: DataFrame, key: str, at: str, price: str, tie: str) -> DataFrame:
-    """Each poll with `changed` (null-safe against the one before) and `priced_at`, the first time of its run of equal prices."""
+def _runs(polls: DataFrame, key: str, at: str, price: str, tie: str) -> DataFrame:
+    """Each poll with `changed`, null-safe against the one before, and the number of its run of equal prices."""
     w = Window.partitionBy(key).orderBy(at, tie)
     changed = F.lag(tie).over(w).isNull() | ~F.col(price).eqNullSafe(F.lag(price).over(w))
-    marked = polls.withColumn("changed", changed).withColumn("_run", F.sum(F.col("changed").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.withColumn("priced_at", F.min(at).over(Window.partitionBy(key, "_run"))).drop("_run")
+    return polls.withColumn("changed", changed).withColumn("_run", F.sum(F.col("changed").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def islands(polls: DataFrame, key: str, at: str, price: str, tie: str) -> DataFrame:
+    """Each poll with `changed` and `priced_at`, the first time of its run of equal prices."""
+    return _runs(polls, key, at, price, tie).withColumn("priced_at", F.min(at).over(Window.partitionBy(key, "_run"))).drop("_run")
 
 
 def decide(polls: DataFrame, key: str, at: str, price: str, tie: str, heartbeat: float = HEARTBEAT_H, stale: float = STALE_H) -> DataFrame:
     """Each poll with what the write-or-skip rule decides, replayed in time order.
 
-    A poll is written if it is the first, if its price moved since the last written state, or if the
-    last written check is `heartbeat` hours old or lies in the future or has no time. The rule
-    compares with the last write, so it is a fold over a source's polls: one aggregate over a sorted
-    array per source, whose length is the polls of that source in the replayed span.
+    A poll is written if it is the first, if its price moved, or if the last written check is `heartbeat`
+    hours old or lies in the future or has no time. The rule compares with the last write, so no window
+    function gives it; but a move of the price always writes, so the fold starts anew with every run of equal
+    prices. What is folded is one run of one source, not all of its polls.
     """
     poll = F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"), F.col(price).alias("price"))
-    listed = polls.groupBy(key).agg(F.array_sort(F.collect_list(poll)).alias("_polls"))
-    when = polls.schema[at].dataType.simpleString()
-    cost = polls.schema[price].dataType.simpleString()
-    tied = polls.schema[tie].dataType.simpleString()
+    listed = _runs(polls, key, at, price, tie).groupBy(key, "_run").agg(F.array_sort(F.collect_list(poll)).alias("_polls"))
+    when, tied, cost = (polls.schema[c].dataType.simpleString() for c in (at, tie, price))
     entry = f"struct<at:{when},tie:{tied},price:{cost},write:boolean,changed:boolean,reason:string,priced_at:{when},stale:boolean>"
-    start = F.struct(F.lit(None).cast(when).alias("checked"), F.lit(None).cast(when).alias("priced"), F.lit(None).cast(cost).alias("price"), F.lit(False).alias("seen"), F.array().cast(f"array<{entry}>").alias("out"))
+    opening = F.when(F.col("_run") == 1, "first run").otherwise("price moved")
+    start = F.struct(F.lit(None).cast(when).alias("checked"), F.lit(None).cast(when).alias("priced"), F.lit(False).alias("seen"), F.array().cast(f"array<{entry}>").alias("out"))
 
     def step(s: Column, p: Column) -> Column:
-        moved = s["seen"] & ~p["price"].eqNullSafe(s["price"])
         hours = hours_between(p["at"], s["checked"])
-        skip = s["seen"] & ~moved & F.coalesce((hours >= 0) & (hours < heartbeat), F.lit(False))
-        changed = ~s["seen"] | moved
+        skip = s["seen"] & F.coalesce((hours >= 0) & (hours < heartbeat), F.lit(False))
         reason = (
-            F.when(~s["seen"], "first run").when(moved, "price moved").when(skip, "no change").when(hours.isNull(), "heartbeat: no readable clock").when(hours < 0, "heartbeat: clock ahead").otherwise("heartbeat")
-        )
-        priced = F.when(changed, p["at"]).otherwise(F.coalesce(s["priced"], p["at"]))
-        old = ~changed & F.coalesce(hours_between(p["at"], priced) > stale, F.lit(False))
-        done = F.struct(p["at"].alias("at"), p["tie"].alias("tie"), p["price"].alias("price"), (~skip).alias("write"), changed.alias("changed"), reason.alias("reason"), priced.alias("priced_at"), old.alias("stale"))
-        return F.struct(
-            F.when(skip, s["checked"]).otherwise(p["at"]).alias("checked"),
-            priced.alias("priced"),
-            F.when(changed, p["price"]).otherwise(s["price"]).alias("price"),
-            F.lit(True).alias("seen"),
-            F.concat(s["out"], F.array(done)).alias("out"),
+            F.when(~s["seen"], opening).when(skip, "no change").when(hours.isNull(), "heartbeat: no readable clock").when(hours < 0, "heartbeat: clock ahead").otherwise("heartbeat")
         )
+        priced = F.coalesce(s["priced"], p["at"])
+        old = s["seen"] & F.coalesce(hours_between(p["at"], priced) > stale, F.lit(False))
+        done = F.struct(p["at"].alias("at"), p["tie"].alias("tie"), p["price"].alias("price"), (~skip).alias("write"), (~s["seen"]).alias("changed"), reason.alias("reason"), priced.alias("priced_at"), old.alias("stale"))
+        return F.struct(F.when(skip, s["checked"]).otherwise(p["at"]).alias("checked"), priced.alias("priced"), F.lit(True).alias("seen"), F.concat(s["out"], F.array(done)).alias("out"))
 
     replayed = F.aggregate("_polls", start, step, lambda s: s["out"])
     return listed.select(key, F.inline(replayed)).withColumnsRenamed({"at": at, "tie": tie, "price": price})
