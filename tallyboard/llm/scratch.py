@@ -1,30 +1,9 @@
 """Written intermediate tables, which cut lineage and survive the loss of executors.
 
-They go to the shared folder that the session names in `spark.checkpoint.dir`. Only where
-that is unset, as in tests on one machine, a temporary folder is made and set.
+They go to the shared folder that the session names in `spark.checkpoint.dir`; only where that is
+unset, as in tests on one machine, a temporary folder is made and set.
 """
 
-from __future__ import annotations
+from tallyboard.sources.scratch import folder, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tallyboard-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """`df` as a table in the shared folder, read again."""
-    path = f"{folder(df.sparkSession)}/tallyboard-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["folder", "written"]
