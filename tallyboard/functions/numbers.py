@@ -103,5 +103,6 @@ def rounding_explains(mode: Column, signed: Column) -> Column:
 
 
 def decimals(value: Column) -> Column:
-    """Digits after the point of a number's shortest text."""
-    return F.length(F.coalesce(F.get(F.split(value.cast("string"), r"\."), F.lit(1)), F.lit("")))
+    """Digits after the point of a number's shortest text; none for a whole number."""
+    part = F.coalesce(F.get(F.split(value.cast("string"), r"\."), F.lit(1)), F.lit(""))
+    return F.when(part == "0", F.lit(0)).otherwise(F.length(part))

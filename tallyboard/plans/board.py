@@ -61,7 +61,7 @@ ROUGH_SQL = (
     BOARD_SQL
     + """,
 rough AS (
-  SELECT source_id, seq, CASE WHEN source_id % 7 = 0 THEN '' ELSE location_id END AS location_id,
+  SELECT CASE WHEN source_id % 37 = 11 THEN source_id - 1 ELSE source_id END AS source_id, seq, CASE WHEN source_id % 7 = 0 THEN '' ELSE location_id END AS location_id,
          CASE WHEN source_id % 21 = 7 AND order_key % 2 = 0 THEN 'Elsewhere' ELSE location END AS location,
          commodity, delivery,
          CASE WHEN order_key % 301 = 0 AND source_id % 5 = 1 THEN NULL
@@ -73,7 +73,7 @@ rough AS (
               WHEN source_id % 23 = 7 AND commodity = 'Milo' THEN futures_price + 5000
               WHEN order_key % 83 = 0 OR source_id % 31 = 9 THEN NULL ELSE futures_price END
            / CASE WHEN source_id % 13 = 5 THEN 100 ELSE 1 END AS futures_price
-  FROM board WHERE source_id % 37 <> 11)
+  FROM board)
 """
 )
 

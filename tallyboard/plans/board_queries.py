@@ -109,10 +109,10 @@ def location_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source_id").agg(F.count_if(there & here).alias("located"), F.count_if(there & ~here).alias("dropped"), F.count_distinct(F.when(there, F.col("location"))).alias("places"))
 
 
-@query(f"WITH {ROUGH_SQL}, own AS (SELECT s_suppkey AS source_id, CAST(s_nationkey % 5 AS STRING) AS own FROM supplier WHERE s_suppkey % 7 <> 0) SELECT DISTINCT r.source_id, r.location FROM rough r JOIN own o ON r.source_id = o.source_id WHERE nullif(r.location_id, '') IS DISTINCT FROM o.own")
+@query(f"WITH {ROUGH_SQL}, own AS (SELECT s_suppkey AS source_id, CASE WHEN s_suppkey % 7 <> 0 THEN CAST(s_nationkey % 5 AS STRING) END AS own FROM supplier) SELECT DISTINCT r.source_id, r.location FROM rough r JOIN own o ON r.source_id = o.source_id WHERE o.own IS NOT NULL AND nullif(r.location_id, '') IS DISTINCT FROM o.own")
 def other_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").where("s_suppkey % 7 <> 0")
-    own = supplier.select(F.col("s_suppkey").alias("source_id"), (F.col("s_nationkey") % 5).cast("string").alias("location_id"))
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    own = supplier.select(F.col("s_suppkey").alias("source_id"), F.when(F.col("s_suppkey") % 7 != 0, (F.col("s_nationkey") % 5).cast("string")).alias("location_id"))
     return guards.other_locations(rough(spark, sf_dir), own)
 
 
@@ -185,11 +185,11 @@ def guard_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {BOARD_SQL}, n AS (SELECT source_id, seq, commodity, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery, cash, futures_price) - 1 AS place FROM board)
-    SELECT source_id, place, seq FROM n WHERE place < 20"""
+    SELECT source_id, place, seq FROM n"""
 )
 def published_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("source_id").orderBy("seq", "commodity", "delivery", "cash", "futures_price")
-    return board(spark, sf_dir).withColumn("place", (F.row_number().over(order) - 1).cast("long")).where("place < 20").select("source_id", "place", "seq")
+    return board(spark, sf_dir).withColumn("place", (F.row_number().over(order) - 1).cast("long")).select("source_id", "place", "seq")
 
 
 @query(
@@ -200,10 +200,9 @@ def basis_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rough(spark, sf_dir).where(guards.basis_units_wrong()).groupBy("source_id").agg(F.count("*").alias("wrong_units"))
 
 
-@query(f"WITH {BOARD_SQL} SELECT source_id, seq, floor(futures_price / 100 * 100 * 10000 + 0.5) / 10000.0 AS cents FROM board WHERE source_id % 13 = 5")
+@query(f"WITH {BOARD_SQL} SELECT source_id, seq, floor(futures_price / 100 * 100 * 10000 + 0.5) / 10000.0 AS cents FROM board")
 def futures_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = board(spark, sf_dir).where("source_id % 13 = 5")
-    return rows.select("source_id", "seq", round_to(F.col("futures_price") / 100 * 100, 4).alias("cents"))
+    return board(spark, sf_dir).select("source_id", "seq", round_to(F.col("futures_price") / 100 * 100, 4).alias("cents"))
 
 
 _MOVES = f"""WITH {BOARD_SQL},
@@ -323,7 +322,7 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH RECURSIVE {BOARD_SQL},
     o AS (SELECT source_id, commodity, delivery, seq, CASE WHEN order_key % 3 = 0 THEN NULL ELSE cash_e8 END AS cash, CASE WHEN order_key % 5 = 0 THEN NULL ELSE basis_cents END AS basis,
-       row_number() OVER (PARTITION BY source_id, commodity, delivery ORDER BY seq, cash_e8, basis_cents) AS rn FROM board WHERE source_id % 4 = 0),
+       row_number() OVER (PARTITION BY source_id, commodity, delivery ORDER BY seq, cash_e8, basis_cents) AS rn FROM board),
     f AS (SELECT source_id, commodity, delivery, rn, seq AS place, seq, cash, basis FROM o WHERE rn = 1
       UNION ALL SELECT o.source_id, o.commodity, o.delivery, o.rn, f.place, CASE WHEN better THEN o.seq ELSE f.seq END, CASE WHEN better THEN o.cash ELSE f.cash END, CASE WHEN better THEN o.basis ELSE f.basis END
       FROM (SELECT f.*, (f.cash IS NULL AND x.cash IS NOT NULL) OR (f.basis IS NULL AND x.basis IS NOT NULL) AS better FROM f JOIN o x ON x.source_id = f.source_id AND x.commodity = f.commodity AND x.delivery = f.delivery AND x.rn = f.rn + 1) f
@@ -331,6 +330,5 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT source_id, commodity, delivery, arg_max(place, rn) AS place, arg_max(seq, rn) AS seq, first(cash ORDER BY rn DESC) AS cash, first(basis ORDER BY rn DESC) AS basis FROM f GROUP BY 1, 2, 3"""
 )
 def dedupe_first_or_better(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = board(spark, sf_dir).where("source_id % 4 = 0")
-    thin = rows.select("source_id", "commodity", "delivery", "seq", F.when(F.col("order_key") % 3 != 0, F.col("cash_e8")).alias("cash"), F.when(F.col("order_key") % 5 != 0, F.col("basis_cents")).alias("basis"))
+    thin = board(spark, sf_dir).select("source_id", "commodity", "delivery", "seq", F.when(F.col("order_key") % 3 != 0, F.col("cash_e8")).alias("cash"), F.when(F.col("order_key") % 5 != 0, F.col("basis_cents")).alias("basis"))
     return changes.first_or_better(thin, ["source_id", "commodity", "delivery"], "seq", ["cash", "basis"])

@@ -52,8 +52,8 @@ def geocode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     supplier = read(spark, sf_dir, "supplier")
     owner = F.when(k % 4 == 2, F.concat(F.lit("Other "), F.col("s_name"))).otherwise(F.col("s_name"))
-    line = F.concat_ws("\t", owner, F.lit("u"), F.lit("p"), F.lit("a"), F.concat(F.lit("Town "), k.cast("string"), F.lit(", MN 55000")), F.lit("-93.7654321"), F.when(k % 4 == 0, "44.12").otherwise("44.1234567"))
-    table = supplier.where(k % 4 != 3).select(k.cast("string").alias("file"), F.concat(F.lit("# head\n"), line, F.lit("\nshort\tline")).alias("text"))
+    line = F.concat_ws("\t", owner, F.lit("u"), F.lit("p"), F.lit("a"), F.concat(F.when(k % 4 == 3, "Elsewhere ").otherwise("Town "), k.cast("string"), F.lit(", MN 55000")), F.lit("-93.7654321"), F.when(k % 4 == 0, "44.12").otherwise("44.1234567"))
+    table = supplier.select(k.cast("string").alias("file"), F.concat(F.lit("# head\n"), line, F.lit("\nshort\tline")).alias("text"))
     entries = supplier.select("s_suppkey", F.col("s_name").alias("operator"), F.concat(F.lit("TOWN "), k.cast("string")).alias("location"))
     return lists.locate(entries, lists.geocodes(table, "file", "text")).select("s_suppkey", "geo_status", "lat")
 

@@ -59,19 +59,19 @@ def inline_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", F.array_join(discovery.inline_assignments(h), "|").alias("assignments"), F.size(discovery.inline_scripts(h)).alias("scripts"))
 
 
-@query("SELECT page_id, 'var apiKey = 1; ' || repeat('x', 84) || chr(10) || chr(8230) || '[' || 16 || ' more chars]' AS block FROM pages WHERE page_id % 3 = 0")
+@query("SELECT page_id, 'var apiKey = 1; ' || repeat('x', 84) || chr(10) || chr(8230) || '[' || 16 || ' more chars]' AS block FROM pages")
 def config_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     script = F.concat("html", F.lit("<script>  var apiKey = 1; "), F.repeat(F.lit("x"), F.lit(100)), F.lit(" </script>"))
-    return pages(spark, sf_dir).where("page_id % 3 = 0").select("page_id", F.get(discovery.config_blocks(script, 100), F.lit(0)).alias("block"))
+    return pages(spark, sf_dir).select("page_id", F.get(discovery.config_blocks(script, 100), F.lit(0)).alias("block"))
 
 
 @query(
-    """WITH t AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages WHERE regexp_matches(regexp_extract(html, '<title>(.*?)</title>', 1), '^[ -~]*$'))
-    SELECT page_id, array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda w: upper(w[1:1]) || w[2:]), '') AS title FROM t"""
+    """WITH t AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages)
+    SELECT page_id, array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda w: CASE WHEN regexp_matches(w, '^[a-z]') THEN upper(w[1:1]) || w[2:] ELSE w END), '') AS title FROM t"""
 )
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    return pages(spark, sf_dir).where(t.rlike("^[ -~]*$")).select("page_id", text.title_case(t).alias("title"))
+    return pages(spark, sf_dir).select("page_id", text.title_case(t).alias("title"))
 
 
 @query(f"SELECT page_id, substr(trim(regexp_replace(html, '{_SPACE}', ' ', 'g')), 1, 120) AS head FROM pages")
@@ -98,11 +98,11 @@ def url_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", F.array_join(text.url_twins(F.col("url")), " ").alias("urls"))
 
 
-@query("SELECT page_id, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'site_key=<redacted>&a=1' AS redacted FROM pages WHERE NOT contains(url, '#')")
+@query("SELECT page_id, split_part(url, '#', 1) || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'site_key=<redacted>&a=1' AS redacted FROM pages")
 def redact_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     joint = F.when(F.col("url").contains("?"), "&").otherwise("?")
-    secret = F.concat("url", joint, F.lit("site_key="), F.col("page_id").cast("string"), F.lit("&a=1"))
-    return pages(spark, sf_dir).where(~F.col("url").contains("#")).select("page_id", text.redact_url(secret).alias("redacted"))
+    secret = F.concat(F.split_part("url", F.lit("#"), F.lit(1)), joint, F.lit("site_key="), F.col("page_id").cast("string"), F.lit("&a=1"))
+    return pages(spark, sf_dir).select("page_id", text.redact_url(secret).alias("redacted"))
 
 
 @query("SELECT page_id, substr('{\"token\": \"<redacted>\", \"n\": ' || page_id || '} ' || repeat('ab ', 20), 1, 40) || chr(8230) || ' [+' || (length('{\"token\": \"<redacted>\", \"n\": ' || page_id || '} ' || repeat('ab ', 20)) - 41) || ' more]' AS peek FROM pages")
@@ -157,11 +157,12 @@ def feed_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_CRAWL}, {_SIGNED}, p AS (SELECT page, count(DISTINCT (platform, CASE platform WHEN 'dtn-cs' THEN regexp_extract(url, '/sites/([^/]+)/', 1) WHEN 'bushel' THEN 'GetBidsList' ELSE '' END)) FILTER (platform IS NOT NULL) AS n_feeds FROM signed WHERE page % 3 <> 1 OR platform IS NULL GROUP BY 1)
+    f"""WITH {_CRAWL}, {_SIGNED}, p AS (SELECT page, count(DISTINCT (platform, CASE platform WHEN 'dtn-cs' THEN regexp_extract(url, '/sites/([^/]+)/', 1) WHEN 'bushel' THEN 'GetBidsList' ELSE '' END)) FILTER (platform IS NOT NULL AND page % 3 <> 1) AS n_feeds FROM signed GROUP BY 1)
     SELECT page, CASE WHEN n_feeds > 0 THEN 'feeds' WHEN page % 4 = 1 THEN 'unreachable' ELSE 'no-platform' END AS kind, n_feeds FROM p"""
 )
 def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = crawl(spark, sf_dir).where((F.col("page") % 3 != 1) | discovery.signature(F.col("url")).isNull())
+    plain = (F.col("page") % 3 == 1) & (F.col("n") % 6 < 4)
+    rows = crawl(spark, sf_dir).withColumn("url", F.when(plain, F.lit("https://plain.example.org/")).otherwise(F.col("url")))
     asked = rows.select("page").distinct().select("page", F.when(F.col("page") % 4 == 1, "timed out").alias("nav_error"), F.lit(None).cast("string").alias("error"))
     return discovery.page_verdict(asked, rows, "page").select("page", "kind", "n_feeds")
 
@@ -184,10 +185,10 @@ def response_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl(spark, sf_dir).select("n", discovery.looks_like_data(F.col("url"), F.col("mime")).alias("keep"))
 
 
-@query("SELECT page_id, url FROM pages WHERE page_id % 5 = 0 UNION ALL SELECT page_id, '/api/bids/v' || page_id FROM pages WHERE page_id % 5 = 0")
+@query("SELECT page_id, url FROM pages UNION ALL SELECT page_id, '/api/bids/v' || page_id FROM pages")
 def endpoint_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle = F.concat(F.lit('fetch("'), "url", F.lit('");x="/api/bids/v'), F.col("page_id").cast("string"), F.lit('";y="/img/logo.png"'))
-    rows = pages(spark, sf_dir).where("page_id % 5 = 0").select("page_id", bundle.alias("text"))
+    rows = pages(spark, sf_dir).select("page_id", bundle.alias("text"))
     return discovery.endpoints(rows, "page_id", "text").select("page_id", "url")
 
 

@@ -127,22 +127,19 @@ def status_board_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 _AGO = "CASE WHEN m < 1 THEN 'just now' WHEN m = 1 THEN '1 minute ago' WHEN m < 90 THEN m || ' minutes ago' ELSE (m // 60) || 'h ' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || 'm ago' END"
 
 
-@query(f"WITH m AS (SELECT event_id, CAST(floor((epoch_us(TIMESTAMP '2024-01-01 12:00:00') - epoch_us(ts)) / 6e7 + 0.5) AS BIGINT) AS m FROM events WHERE ts < TIMESTAMP '2024-01-01 12:00:00') SELECT event_id, {_AGO} AS ago FROM m")
+@query(f"WITH m AS (SELECT event_id, CAST(floor((epoch_us({_NOW}) - epoch_us(ts)) / 6e7 + 0.5) AS BIGINT) AS m FROM events) SELECT event_id, {_AGO} AS ago FROM m")
 def ago_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    noon = F.lit("2024-01-01 12:00:00").cast("timestamp")
-    rows = polls(spark, sf_dir).where(F.col("ts") < noon)
-    return rows.select("event_id", times.ago_words(times.hours_between(noon, F.col("ts")) * 60).alias("ago"))
+    return polls(spark, sf_dir).select("event_id", times.ago_words(times.hours_between(now(), F.col("ts")) * 60).alias("ago"))
 
 
 @query(
-    """WITH m AS (SELECT event_id, CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 12:00:00')) / 6e7 + 0.5) AS BIGINT) AS m FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00')
+    """WITH m AS (SELECT event_id, CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 12:00:00')) / 6e7 + 0.5) AS BIGINT) AS m FROM events)
     SELECT event_id, CASE WHEN m > 1 THEN 'next run due in ' || m || ' minutes' WHEN m = 1 THEN 'next run due in a minute' WHEN m = 0 THEN 'next run due now' WHEN m = -1 THEN 'next run was due 1 minute ago'
       WHEN m > -90 THEN 'next run was due ' || (-m) || ' minutes ago' ELSE 'next run was due ' || (-m // 60) || 'h ' || lpad(CAST(-m % 60 AS VARCHAR), 2, '0') || 'm ago' END AS due FROM m"""
 )
 def due_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     noon = F.lit("2024-01-01 12:00:00").cast("timestamp")
-    rows = polls(spark, sf_dir).where(F.col("ts") < F.lit("2024-01-02 00:00:00").cast("timestamp"))
-    return rows.select("event_id", times.due_words(times.hours_between(F.col("ts"), noon) * 60).alias("due"))
+    return polls(spark, sf_dir).select("event_id", times.due_words(times.hours_between(F.col("ts"), noon) * 60).alias("due"))
 
 
 @query("SELECT event_id, strftime(ts - INTERVAL 6 HOUR, '%Y-%m-%d') AS day, strftime(ts - INTERVAL 6 HOUR, '%H:%M:%S') AS time, 'CST' AS zone FROM events")
@@ -196,13 +193,13 @@ def json_missing_vs_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.array_contains(F.json_object_keys("raw"), "k").alias("has_key"), F.try_variant_get(F.try_parse_json("raw"), "$.k", "bigint").alias("k"))
 
 
-_BODIES = """bodies AS (SELECT event_id % 40 AS page, list({'id': user_id, 'n': event_type, 'e': event_id} ORDER BY event_id) AS rows FROM events WHERE event_id < 2000 GROUP BY 1)"""
+_BODIES = """bodies AS (SELECT event_id // 50 AS page, list({'id': user_id, 'n': event_type, 'e': event_id} ORDER BY event_id) AS rows FROM events GROUP BY 1)"""
 
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "events").where("event_id < 2000")
+    rows = read(spark, sf_dir, "events")
     row = F.struct(F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name")).alias("location"), "value")
-    return rows.groupBy((F.col("event_id") % 40).alias("page")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("event_id", row.alias("r")))), lambda x: x["r"]).alias("bids"))).alias("body"))
+    return rows.groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("event_id", row.alias("r")))), lambda x: x["r"]).alias("bids"))).alias("body"))
 
 
 @query(f"WITH {_BODIES}, r AS (SELECT page, unnest(rows) AS x FROM bodies) SELECT page, CAST(x.id AS VARCHAR) AS place_id, arg_min(x.n, x.e) AS name FROM r GROUP BY page, x.id")
@@ -238,11 +235,11 @@ def sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("user_id", "offers", F.size("names").cast("long").alias("destinations"), F.array_join("names", ",").alias("names"))
 
 
-@query("WITH u AS (SELECT user_id, event_id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events WHERE event_id % 10 = 0) SELECT event_id, n >= 100 AND n < 350 AS asked FROM u")
+@query("WITH u AS (SELECT user_id, event_id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events) SELECT event_id, n >= 100 AND n < 350 AS asked FROM u")
 def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyboard.operators.discovery import page_slice
 
-    return page_slice(read(spark, sf_dir, "events").where("event_id % 10 = 0").select("event_id"), "event_id", 100, 250)
+    return page_slice(read(spark, sf_dir, "events").select("event_id"), "event_id", 100, 250)
 
 
 @query("WITH h AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS token FROM events WHERE event_type = 'purchase' AND value > 150), c(token) AS (VALUES ('1'), ('2'), ('3'), ('5'), ('8'), ('9999')) SELECT token FROM c WHERE token NOT IN (SELECT token FROM h)")
@@ -253,9 +250,9 @@ def lost_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control_report(hits, ["1", "2", "3", "5", "8", "9999"])
 
 
-@query("SELECT token FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS token FROM events WHERE user_id < 40 UNION SELECT * FROM (VALUES ('7'), ('alpha'), ('beta')) v(t))")
+@query("SELECT token FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS token FROM events UNION SELECT * FROM (VALUES ('7'), ('alpha'), ('beta')) v(t))")
 def tokens_with_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = read(spark, sf_dir, "events").where("user_id < 40").select(F.col("user_id").cast("string").alias("token"))
+    tokens = read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("token"))
     return tokens.union(spark.createDataFrame([("7",), ("alpha",), ("beta",)], "token string")).distinct()
 
 
