@@ -199,6 +199,12 @@ def test_secret_scan(spark):
     assert secret_scan.find_secrets(frame(spark, [])).count() == 0
 
 
+def test_secret_scan_is_linear_on_long_runs(spark):
+    text = "http://a:b@c " + "x" * 300_000 + " " + "eyJ" * 30_000 + " token=abcdefgh"
+    found = secret_scan.find_secrets(frame(spark, [(1, text)])).head()
+    assert [s.kind for s in found.spans] == ["url_login", "assign"]
+
+
 def test_redact(spark):
     docs = frame(spark, SECRETS[:3]).select("doc_id", "text")
     out = {r.doc_id: r.text for r in secret_scan.redact(docs, secret_scan.find_secrets(docs)).collect()}
