@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup
 from tallyboard.llm.scratch import written
+from tallyboard.plans.shipping import ship
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return quality_rules.keep_good(docs, quality_rules.fit(docs))
 
 
@@ -26,10 +28,12 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return simhash_dedup.keep_first(docs, shingle=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
