@@ -37,6 +37,8 @@ class Rule:
     #: The group that has to have `least` bytes.
     group: int = 0
     least: int = 1
+    #: The group that is the span.
+    span: int = 0
 
 
 def either_case(word: str) -> str:
@@ -47,18 +49,18 @@ _NAMES = "(" + "|".join(either_case(w) for w in ("password", "passwd", "secret",
 _ASSIGN = _NAMES + r"""["']?\x20*[:=]\x20*["']?"""
 _VALUE = r"[A-Za-z0-9+/_.=-]"
 
-#: In the order in which kinds at the same start are listed. The kinds beyond the base have bounded
-#: parts before their fixed ones, so that a long run of letters costs no more than its length times the bound.
+#: In the order in which kinds at the same start are listed. The kinds beyond the base start only where a run of
+#: their characters starts and never give back what they took, so a long run is read once and needs no bound.
 BASE_KINDS = ("assign", "access", "hex")
 RULES = (
     Rule("assign", _ASSIGN + _VALUE + "{3}", _ASSIGN + f"({_VALUE}+)", group=2, least=8),
     Rule("access", "AKIA[A-Z0-9]{3}", "AKIA[A-Z0-9]+", least=16),
     Rule("hex", "[0-9a-f]{32}", "[0-9a-f]+", least=32),
-    Rule("key_block", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{4}", r"eyJ[A-Za-z0-9_-]{10,4096}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("key_block", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*+(?<=PRIVATE KEY)-----"),
+    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{4}", r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(eyJ))[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", span=1),
     Rule("forge_token", "gh[oprsu]_[A-Za-z0-9]{4}", "gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", "xox[abprs]-[A-Za-z0-9]", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("url_login", r"://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@", r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\x00-\x20/:@]{1,256}:[^\x00-\x20/:@]{1,256}@"),
+    Rule("url_login", r"://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@", r"(?<![A-Za-z0-9+.-])[0-9+.-]*+([A-Za-z][A-Za-z0-9+.-]*+://[^\x00-\x20/:@]++:[^\x00-\x20/:@]++@)", span=1),
 )
 
 SPANS = "array<struct<kind:string,start:bigint,stop:bigint>>"
@@ -70,7 +72,7 @@ def _locate(data: bytes, found: int, rules: tuple[Rule, ...], exact: list[re.Pat
     for k, rule in enumerate(rules):
         if found >> k & 1:
             hits += [
-                (m.start(), k, m.end()) for m in exact[k].finditer(data) if m.end(rule.group) - m.start(rule.group) >= rule.least
+                (m.start(rule.span), k, m.end()) for m in exact[k].finditer(data) if m.end(rule.group) - m.start(rule.group) >= rule.least
             ]
     if not hits:
         return []
