@@ -12,8 +12,9 @@ with C characters, T tags, LC and LT those in links, and LCb, Cb those of the bo
 count as one. The density sum of an element adds its children's densities. The element of the
 largest sum holds the main text. The least density on the path from the body to it is the
 threshold at which an element beside the path is text too, such as a title above the
-container of the paragraphs. Where that element is within `article` or `main`, or one of these within it,
-the page itself says how far the text reaches, and that element is taken. Elsewhere,
+container of the paragraphs. Where that element is within `article` or `main`, or these within it
+hold most of its text, the page itself says how far the text reaches: the one around it is taken with the
+articles beside it that reach the threshold, or all those within it that do. Elsewhere,
 blocks that hold nothing but several links are menus and stay out.
 
 Within what is taken nothing is dropped: character references are decoded, white space in
@@ -64,7 +65,7 @@ _NOISE_ENDS = ("advert", "banner", "breadcrumbs", "comments", "footer", "menu",
 #: Parts that are noise however long they are; the others may also name the layout of a whole page.
 _NEVER_TEXT = ("ad", "comment", "cookie", "consent", "disqus", "gdpr", "notice", "popup", "modal", "repl", "discussion", "sponsor")
 _HEADERS = frozenset("masthead header".split())
-#: An element named as noise that holds this share of the page's text names its layout.
+#: An element named as noise that holds this share of the page's text names its layout; articles that hold this share of an element's are its text.
 _MOST = 0.6
 #: What opening the key closes first, up to the nearest of the given elements.
 _CLOSES_P = frozenset(
@@ -225,8 +226,8 @@ class _Page:
         return header and not whole and not self._within(_TEXT_ROOTS), found
 
 
-def _densities(page: _Page, root: int) -> tuple[list[float], list[float], list[int]]:
-    """Density and density sum of every element, and the elements that hold nothing but several links."""
+def _densities(page: _Page, root: int) -> tuple[list[int], list[float], list[float], list[int]]:
+    """Characters, density and density sum of every element, and the elements that hold nothing but several links."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i, text in page.parts:
@@ -253,29 +254,38 @@ def _densities(page: _Page, root: int) -> tuple[list[float], list[float], list[i
             if page.parent[i] >= 0:
                 total[page.parent[i]] += density[i]
     menus = [i for i in range(root + 1, n) if link_tags[i] > 1 and page.tag[i] not in _INLINE and 0 < chars[i] == link_chars[i]]
-    return density, total, menus
+    return chars, density, total, menus
 
 
 def _chosen(page: _Page) -> tuple[list[int], list[int]]:
     """Elements whose subtrees make the main text, none within another, and menus to leave out of them."""
     n = len(page.tag)
     root = next((i for i in range(n) if page.tag[i] == "body"), 0)
-    density, total, menus = _densities(page, root)
+    chars, density, total, menus = _densities(page, root)
     best = max(range(root, page.end[root]), key=lambda i: (total[i], -i))
-    for name in _TEXT_ROOTS:
-        above, i = None, best
-        while i > 0:
-            above, i = (i if page.tag[i] == name else above), page.parent[i]
-        if above is not None:
-            return [above], []
-        inside = [i for i in range(best, page.end[best]) if page.tag[i] == name and not page.noise[i]]
-        if inside:
-            return [max(inside, key=lambda i: (total[i] + density[i], -i))], []
     path, i = [best], best
     while i != root and i > 0:
         i = page.parent[i]
         path.append(i)
     threshold = min(density[i] for i in path)
+    for name in _TEXT_ROOTS:
+        above, i = None, best
+        while i > 0:
+            above, i = (i if page.tag[i] == name else above), page.parent[i]
+        if above is not None:
+            beside = [i for i in range(root, page.end[root]) if page.tag[i] == name and page.parent[i] == page.parent[above] and not page.noise[i]]
+            return [i for i in beside if i == above or density[i] >= threshold], []
+        inside, i = [], best + 1
+        while i < page.end[best]:
+            if page.noise[i] or page.tag[i] == name:
+                if not page.noise[i]:
+                    inside.append(i)
+                i = page.end[i]
+            else:
+                i += 1
+        inside = [i for i in inside if density[i] >= threshold]
+        if inside and sum(chars[i] for i in inside) >= _MOST * chars[best]:
+            return inside, []
     taken, i = [], root
     on_path = set(path)
     while i < page.end[root]:
