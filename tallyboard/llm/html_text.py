@@ -3,7 +3,9 @@
 A page is parsed once into elements in page order. Script, style, form, navigation, footer, aside,
 hidden and commented parts, and elements whose class, id or role names such a part,
 take no part in the rest (a name that only says how the page is laid out does not count: such an
-element holds an article or most of the text). For every other element the density is its characters per tag,
+element holds an article or most of the text, or stands within `article` or `main` and is
+neither mostly links nor small beside its siblings; nor do such names where without them no text is left).
+For every other element the density is its characters per tag,
 adjusted for links:
 
     C / T * log(C / LC * T / LT, base ln(C / (C - LC) * LC + LCb / Cb * C + e))
@@ -55,7 +57,7 @@ _NOISE_ROLES = frozenset("navigation contentinfo complementary search form alert
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsored promo promos promotion banner banners cookie cookies consent gdpr privacy "
     "notice notices notification notifications alert alerts popup modal overlay lightbox newsletter subscribe subscription signup signin login register paywall "
-    "sidebar sidebars rail widget widgets related recommended recommendation recommendations teaser teasers trending popular share sharing social "
+    "sidebar sidebars rail related recommended recommendation recommendations teaser teasers trending popular share sharing social "
     "nav navbar navigation navi menu menus submenu breadcrumb breadcrumbs crumbs pagination pager toolbar topbar footer copyright disclaimer legal "
     "comment comments commentlist disqus replies reply respond discussion reactions search searchbox searchform form skip skiplink toc".split()
 )
@@ -67,6 +69,8 @@ _NEVER_TEXT = ("ad", "comment", "cookie", "consent", "disqus", "gdpr", "notice",
 _HEADERS = frozenset("masthead header".split())
 #: An element named as noise that holds this share of the page's text names its layout; articles that hold this share of an element's are its text.
 _MOST = 0.6
+#: Within an article, a name of layout makes noise of what has this share of its text in links, or less than that share of its largest sibling's text.
+_LINKED, _SMALL = 0.5, 0.25
 #: What opening the key closes first, up to the nearest of the given elements.
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
@@ -106,22 +110,45 @@ class _Page:
         self._judge_names()
 
     def _judge_names(self) -> None:
-        """A name makes noise, unless the element holds an article, or most of the page under a name of layout."""
+        """A name makes noise, unless the element holds an article, or most of the page or a fair part of an article under a name of layout."""
         n = len(self.tag)
-        chars, texts = [0] * n, [t in _TEXT_ROOTS and not self.named[i] and not self.noise[i] for i, t in enumerate(self.tag)]
+        roots = [t in _TEXT_ROOTS and not self.named[i] and not self.noise[i] for i, t in enumerate(self.tag)]
+        chars, linked, texts, largest, within = [0] * n, [0] * n, roots[:], [0] * n, roots[:]
         for i, text in self.parts:
             if text is not None and not self.noise[i]:
                 chars[i] += len(text)
         for i in range(n - 1, 0, -1):
             p = self.parent[i]
+            if self.tag[i] == "a":
+                linked[i] = chars[i]
             chars[p] += chars[i]
+            linked[p] += linked[i]
             texts[p] = texts[p] or texts[i]
+            largest[p] = max(largest[p], chars[i])
+        layout = []
         for i in range(1, n):
-            name = self.named[i]
-            if name and not texts[i] and (name.startswith(_NEVER_TEXT) or chars[i] < _MOST * chars[0]):
-                self.noise[i] = True
+            name, p = self.named[i], self.parent[i]
+            within[i] = within[i] or within[p]
+            if name and not texts[i]:
+                if name.startswith(_NEVER_TEXT):
+                    self.noise[i] = True
+                elif linked[i] > _LINKED * chars[i] or chars[i] < (_SMALL * largest[p] if within[p] else _MOST * chars[0]):
+                    layout.append(i)
+        own = self.noise[:]
+        for i in layout:
+            self.noise[i] = True
+        self._spread()
+        if layout and not self._has_text():
+            self.noise = own
+            self._spread()
+
+    def _spread(self) -> None:
+        for i in range(1, len(self.tag)):
             self.noise[i] = self.noise[i] or self.noise[self.parent[i]]
 
+    def _has_text(self) -> bool:
+        return any(t and not self.noise[i] and not t.isspace() for i, t in self.parts)
+
     def _parse(self, html: str) -> None:
         at, n = 0, len(html)
         while at < n:

@@ -10,10 +10,6 @@ LONG = "Plain words of a long text. " * 30
 MORE = "Other words of that text. " * 30
 
 
-def block(names: str, text: str) -> str:
-    return f"<div class='{names}'><p>{text}</p></div>"
-
-
 @pytest.mark.parametrize("tag", ["article", "main"])
 def test_a_small_article_inside_does_not_replace_the_text(tag):
     html = f"<body><div class='content'><p>{LONG}</p><p>{MORE}</p><{tag} class='card'><p>One line.</p></{tag}></div></body>"
