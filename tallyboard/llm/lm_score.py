@@ -8,10 +8,12 @@ probability that the network gives the token from both sides.
 What the network is trained on is the whole corpus: every window of every document, counted.
 A task adds up its own windows, the counts are summed by window, and the table of
 distinct windows is written, dealt by a hash of the window. Training is synchronous: in each
-round every partition takes gradient steps on its own windows, weighted by their
-counts, from the common weights, and the driver averages the results by weight. It holds a
-network of some 7,000 numbers for each of `PARTS` partitions at most, whatever the corpus: there are
-32**5 distinct windows at most, so more partitions would have nothing to do.
+round every partition passes over all of its own windows, each once a pass and weighted by its
+count, in steps of `BATCH` windows from the common weights, and the driver averages the results by
+weight. A round is one pass, or as many whole passes as make `STEPS` steps where a partition has few
+windows; so the work grows with the table of windows. The driver holds a network of some 7,000
+numbers for each of `PARTS` partitions at most, whatever the corpus: there are 32**5 distinct windows
+at most, so a partition has 131,072 on average at most.
 
 Scoring computes each distinct window once in a worker and looks the rest up, so a pass
 over the corpus costs array reads.
@@ -59,6 +61,14 @@ def windows(syms: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def batches_of(count: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+    """Every position once, in batches of `BATCH` at most that have frequent and rare windows alike."""
+    n = -(-len(count) // BATCH)
+    order = rng.permutation(len(count))
+    order = order[np.argsort(-count[order], kind="stable")]
+    return [order[k::n] for k in rng.permutation(n)]
+
+
 @dataclass
 class Network:
     """embed: (2 * SIDE, 32, EMBED), one table per place; hidden and output layers with biases."""
@@ -94,14 +104,16 @@ class Network:
             out[low : low + step] = self.forward(context)[2][np.arange(len(middle)), middle]
         return out
 
-    def gradient(self, window: np.ndarray) -> list[np.ndarray]:
-        """Of the mean negative log-probability of the masked symbols."""
+    def gradient(self, window: np.ndarray, weight: np.ndarray | None = None) -> list[np.ndarray]:
+        """Of the mean negative log-probability of the masked symbols, each times its weight if there are any."""
         embed, w1, _, w2, _ = self.weights
         context, middle = self.split(window)
         x, h, logp = self.forward(context)
         d = np.exp(logp)
         d[np.arange(len(middle)), middle] -= 1
         d /= len(window)
+        if weight is not None:
+            d *= weight[:, None]
         dh = (d @ w2.T) * (1 - h * h)
         dx = (dh @ w1.T).reshape(len(window), 2 * SIDE, EMBED)
         de = np.zeros_like(embed)
@@ -112,18 +124,19 @@ class Network:
         return [de, x.T @ dh, dh.sum(axis=0), h.T @ d, d.sum(axis=0)]
 
     def train(self, window: np.ndarray, count: np.ndarray, rng: np.random.Generator, steps: int, rate: float) -> Network:
-        """Adam steps on batches drawn in proportion to the counts."""
+        """Adam steps over all windows, weighted by their counts, in as many whole passes as make `steps` steps, one at least."""
         net = Network([w.copy() for w in self.weights])
         first, second = ([np.zeros_like(w) for w in net.weights] for _ in range(2))
-        share = np.cumsum(count / count.sum())
-        for t in range(1, steps + 1):
-            own = window[np.minimum(np.searchsorted(share, rng.random(BATCH)), len(window) - 1)]
-            for w, m, v, g in zip(net.weights, first, second, net.gradient(own)):
-                m *= 0.9
-                m += 0.1 * g
-                v *= 0.999
-                v += 0.001 * g * g
-                w -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)).astype(np.float32)
+        weight, t = (count / count.mean()).astype(np.float32), 0
+        while t < max(1, steps):
+            for own in batches_of(count, rng):
+                t += 1
+                for w, m, v, g in zip(net.weights, first, second, net.gradient(window[own], weight[own])):
+                    m *= 0.9
+                    m += 0.1 * g
+                    v *= 0.999
+                    v += 0.001 * g * g
+                    w -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)).astype(np.float32)
         return net
 
     def to_bytes(self) -> bytes:
