@@ -15,8 +15,8 @@ the rows of its windows dealt over salts: within one salt all but the smallest i
 smallest ids meet in a second, small step. Hashes have 64 bits; equal hashes count as equal windows.
 
 Defined results: a null text has no words; a null id neither removes nor loses words; rows
-that share an id are one document's and do not remove each other's words; further columns
-are not read.
+that share an id are one document's and do not remove each other's words, and being a whole copy
+is a matter of each such row; further columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm import bytearrays as B
@@ -186,6 +186,15 @@ def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     return found.groupBy(F.col("id").alias(id_col)).agg(F.max("longest").alias("longest"))
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha2("text", 256))
+
+
+def _is_copy() -> Column:
+    """Whether a row's own text is among the digests of its id's whole copies."""
+    return F.when(F.size("copies") > 0, F.coalesce(F.array_contains("copies", _digest()), F.lit(False))).otherwise(F.lit(False))
+
+
 def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies: DataFrame | None = None) -> DataFrame:
     """Candidates (id, h, hot): the wanted windows whose selected half is repeated; none of documents that are whole copies."""
     repeated = (
@@ -194,16 +203,16 @@ def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies:
         .where("least < most")
         .select("h", (F.col("n") > hot).alias("hot"))
     )
-    marks = seeds.join(repeated, "h").select("id", "h", "hot", F.lit(False).alias("copy"))
+    marks = seeds.join(repeated, "h").select("id", "h", "hot", F.lit(None).cast("binary").alias("d"))
     if copies is not None:
         marks = marks.unionByName(copies)
     per_doc = marks.groupBy("id").agg(
         F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
         F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"),
-        F.max("copy").alias("copy"),
+        F.collect_set("d").alias("copies"),
     )
     # No filter after the left joins: both then read the one exchange of the texts.
-    own = F.col("copy") == F.lit(False)
+    own = ~_is_copy()
     joined = base.join(per_doc, "id", "left").select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
     return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, hot boolean")
 
@@ -216,9 +225,9 @@ def remove_repeats(
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = base.where("id is not null and text is not null")
 
-    digest = known.select("id", F.unhex(F.sha2("text", 256)).alias("d"))
+    digest = known.select("id", _digest().alias("d"))
     first = digest.groupBy("d").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    copies = digest.join(first, "d").where("id > least").select("id", F.lit(None).cast("long").alias("h"), F.lit(False).alias("hot"), F.lit(True).alias("copy"))
+    copies = digest.join(first, "d").where("id > least").select("id", F.lit(None).cast("long").alias("h"), F.lit(False).alias("hot"), "d")
 
     seeds = known.mapInArrow(_seeds(window, seed), "id long, h long")
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0))
@@ -232,11 +241,11 @@ def remove_repeats(
         .where("id > least")
         .select("id", "h")
     )
-    repeats = within.union(between).select("id", "h", F.lit(False).alias("copy")).unionByName(copies.select("id", "h", "copy"))
-    found = repeats.groupBy("id").agg(F.collect_list("h").alias("repeats"), F.max("copy").alias("copy"))
+    repeats = within.union(between).select("id", "h", F.lit(None).cast("binary").alias("d")).unionByName(copies.select("id", "h", "d"))
+    found = repeats.groupBy("id").agg(F.collect_list("h").alias("repeats"), F.collect_set("d").alias("copies"))
     return (
         base.join(found, "id", "left")
-        .select("id", "text", "repeats", F.coalesce("copy", F.lit(False)).alias("copy"))
+        .select("id", "text", "repeats", _is_copy().alias("copy"))
         .mapInArrow(_strip(window), "id long, n_words long, n_removed long, kept string")
         .withColumnRenamed("id", id_col)
     )
