@@ -5,11 +5,17 @@ repetition. `compile_rules` joins any number of rules: each becomes a nondetermi
 automaton, the subset construction (restarted at every byte, so that a match may begin
 anywhere) makes them one deterministic automaton, bytes that no state tells apart become
 one class, and partition refinement merges states that agree on all continuations.
+
+An automaton that is not restarted reads one rule from a given place on, and one made of
+the turned moves reads it from its end back; so the joined automaton tells where rules
+end, and these tell where such a match starts and how far it goes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from operator import length_hint
 
 import numpy as np
 
@@ -154,6 +160,19 @@ class _Nfa:
         self.moves.append([])
         return len(self.free) - 1
 
+    def turned(self) -> _Nfa:
+        """All moves the other way round."""
+        out = _Nfa()
+        for _ in self.free:
+            out.state()
+        for s, targets in enumerate(self.free):
+            for t in targets:
+                out.free[t].append(s)
+        for s, moves in enumerate(self.moves):
+            for allowed, t in moves:
+                out.moves[t].append((allowed, s))
+        return out
+
     def closure(self, states) -> frozenset[int]:
         seen, todo = set(states), list(states)
         while todo:
@@ -183,21 +202,57 @@ class Automaton:
     def n_states(self) -> int:
         return len(self.step) // self.n_classes
 
-    def scanner(self):
-        """A function from bytes to the bit set of the rules that end anywhere in them; one pass."""
+    def reader(self) -> Callable[[bytes, Callable[[int, int], None]], None]:
+        """A function that reads bytes once and reports (position after the byte, bit set of rules) wherever rules end."""
         step, classes = self.step.tolist(), self.class_of.tobytes()
         least, n, rules, start = self.accepting * self.n_classes, self.n_classes, self.rules.tolist(), self.start
 
-        def scan(data: bytes) -> int:
-            state, found = start, 0
-            for c in data.translate(classes):
+        def read(data: bytes, report: Callable[[int, int], None]) -> None:
+            state, left = start, iter(data.translate(classes))
+            for c in left:
                 state = step[state + c]
                 if state >= least:
-                    found |= rules[(state - least) // n]
+                    report(len(data) - length_hint(left), rules[(state - least) // n])
+
+        return read
+
+    def scanner(self) -> Callable[[bytes], int]:
+        """A function from bytes to the bit set of the rules that end anywhere in them; one pass."""
+        read = self.reader()
+
+        def scan(data: bytes) -> int:
+            found = 0
+
+            def report(_: int, rules: int) -> None:
+                nonlocal found
+                found |= rules
+
+            read(data, report)
             return found
 
         return scan
 
+    def reach(self) -> Callable[[bytes], int]:
+        """A function from bytes to the length of the longest match that starts at the first, -1 if there is none.
+
+        It stops where no match can follow, so it reads little more than the match; the bytes may come from any iterator.
+        """
+        step, classes, start = self.step.tolist(), self.class_of.tolist(), self.start
+        least, n = self.accepting * self.n_classes, self.n_classes
+        dead = {s * n for s in range(self.accepting) if (self.step[s * n : (s + 1) * n] == s * n).all()}
+
+        def longest(data) -> int:
+            state, best = start, 0 if start >= least else -1
+            for at, c in enumerate(data, 1):
+                state = step[state + classes[c]]
+                if state >= least:
+                    best = at
+                elif state in dead:
+                    break
+            return best
+
+        return longest
+
 
 def _byte_classes(nfa: _Nfa) -> tuple[np.ndarray, list[int]]:
     """Bytes that every move treats alike share a class; one member of each."""
@@ -214,13 +269,14 @@ def _byte_classes(nfa: _Nfa) -> tuple[np.ndarray, list[int]]:
     return class_of, members
 
 
-def _subsets(nfa: _Nfa, entries: list[int], ends: dict[int, int], members: list[int]):
+def _subsets(nfa: _Nfa, entries: list[int], ends: dict[int, int], members: list[int], anywhere: bool):
     start = nfa.closure(entries)
+    again = start if anywhere else frozenset()
     number, order, table, masks = {start: 0}, [start], [], []
     for states in order:
         row = []
         for b in members:
-            target = nfa.closure([t for s in states for m, t in nfa.moves[s] if b in m]) | start
+            target = nfa.closure([t for s in states for m, t in nfa.moves[s] if b in m]) | again
             if target not in number:
                 number[target] = len(order)
                 order.append(target)
@@ -246,16 +302,18 @@ def _minimise(table: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndar
     return part[table[first]], masks[first], int(part[0])
 
 
-def compile_rules(patterns: list[str]) -> Automaton:
+def compile_rules(patterns: list[str], anywhere: bool = True, backward: bool = False) -> Automaton:
+    """One automaton of all patterns; `anywhere` lets matches start at every byte, `backward` reads them from their ends."""
     nfa, entries, ends = _Nfa(), [], {}
     for k, pattern in enumerate(patterns):
         a, b = _Parser(pattern, nfa).parse()
         end = nfa.state()
         nfa.free[b].append(end)
-        entries.append(a)
-        ends[end] = 1 << k
+        entries.append(end if backward else a)
+        ends[a if backward else end] = 1 << k
+    nfa = nfa.turned() if backward else nfa
     class_of, members = _byte_classes(nfa)
-    table, masks, start = _minimise(*_subsets(nfa, entries, ends, members))
+    table, masks, start = _minimise(*_subsets(nfa, entries, ends, members, anywhere))
     order = np.argsort(masks != 0, kind="stable")
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))

@@ -166,4 +166,45 @@ SELECT w.doc_id, len(w.ws) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i
 FROM words w LEFT JOIN hits h ON w.doc_id = h.doc_id LEFT JOIN held i ON w.doc_id = i.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
+#: Kind, what stands before the part that counts, that part, its least characters.
+_SECRETS = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?""", "[A-Za-z0-9+/_.=-]+", 8),
+    ("access", "", "AKIA[A-Z0-9]+", 16),
+    ("hex", "", "[0-9a-f]+", 32),
+    ("key_block", "", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1),
+    ("signed_token", "", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 1),
+    ("forge_token", "", "gh[oprsu]_[A-Za-z0-9]{36,}", 1),
+    ("chat_token", "", "xox[abprs]-[A-Za-z0-9-]{10,}", 1),
+    ("url_login", "", r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@", 1),
+)
+
+
+def _marked_sql(place: int, kind: str, before: str, counts: str, least: int) -> str:
+    """Matches, put between characters 2 and 4 with 3 before what counts; a match's place is the length of all before it."""
+    expression = f"({before})({counts})".replace("'", "''")
+    marked = rf"regexp_replace(coalesce(text, ''), '{expression}', chr(2) || '\1' || chr(3) || '\2' || chr(4), 'g')"
+    return f"""SELECT doc_id, {place} AS place, '{kind}' AS kind, {least} AS least, {marked} AS marked FROM documents"""
+
+
+#: Texts without characters 2 to 4, which mark the matches.
+OP2_SQL = f"""
+WITH marked AS ({" UNION ALL ".join(_marked_sql(k, *s) for k, s in enumerate(_SECRETS))}),
+parts AS (
+  SELECT doc_id, place, kind, least, unnest(string_split(marked, chr(2))) AS part, generate_subscripts(string_split(marked, chr(2)), 1) AS n FROM marked),
+placed AS (
+  SELECT *, coalesce(sum(length(part) - 2 * (n > 1)::INT) OVER (PARTITION BY doc_id, place ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM parts),
+found AS (
+  SELECT doc_id, place, kind, start::BIGINT AS start, (start + strpos(part, chr(4)) - 2)::BIGINT AS stop
+  FROM placed WHERE n > 1 AND strpos(part, chr(4)) - strpos(part, chr(3)) - 1 >= least),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN listed l ON d.doc_id = l.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_secret_scan": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}

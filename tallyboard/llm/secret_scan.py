@@ -1,11 +1,17 @@
 """Spans of credentials in texts (operator 2).
 
 All rules are compiled into one minimal deterministic automaton (see `automaton`). A text's
-bytes run through its transition array once, which tells the rules that end somewhere in
-it. Most texts end no rule and are done. For the others, each rule that ended locates
-its spans with its own exact expression, leftmost and non-overlapping within a kind, and
-drops matches that fail the kind's length test. All rules but one are scanned for with a
-short count, which keeps the product of their counters small; the exact expression decides.
+bytes run through its transition array once, which reports every byte at which a rule's scan part
+ends. From there the rule's backward automaton finds where the match starts, not before the end of the
+kind's last match, and its forward automaton how far the match goes. So the spans of a
+kind are those of its expression, leftmost, longest and non-overlapping; what fails the
+kind's length test is dropped afterwards. Reports within a match that is already known are passed
+over, so each byte is read a bounded number of times however long a run of it is.
+
+A scan part is the start of the match as far as it takes to know that one is there. It counts
+only as far as needed, because counters of different rules multiply in the joined automaton; the forward
+automaton has the full counts. Rules must be such that of two matches of one kind the one that starts
+first also ends its scan part first.
 
 Work is by row: no shuffle, no state between rows, and memory of one batch.
 
@@ -15,7 +21,6 @@ rows and null ids each give their own row; offsets are code points, end exclusiv
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,15 +35,14 @@ from tallyboard.llm.automaton import compile_rules
 @dataclass(frozen=True)
 class Rule:
     kind: str
-    #: What the automaton looks for: any passing match contains one.
+    #: The start of a match, as far as it takes to know that one is there.
     scan: str
-    #: The exact expression, over bytes.
+    #: The whole match.
     exact: str
-    #: The group that has to have `least` bytes.
-    group: int = 0
+    #: The least bytes of what counts.
     least: int = 1
-    #: The group that is the span.
-    span: int = 0
+    #: What counts starts with the last byte of the scan part, not with the match.
+    from_last: bool = False
 
 
 def either_case(word: str) -> str:
@@ -49,50 +53,78 @@ _NAMES = "(" + "|".join(either_case(w) for w in ("password", "passwd", "secret",
 _ASSIGN = _NAMES + r"""["']?\x20*[:=]\x20*["']?"""
 _VALUE = r"[A-Za-z0-9+/_.=-]"
 
-#: In the order in which kinds at the same start are listed. The kinds beyond the base start only where a run of
-#: their characters starts and never give back what they took, so a long run is read once and needs no bound.
+_PART = "[A-Za-z0-9_-]"
+
+#: In the order in which kinds at the same start are listed.
 BASE_KINDS = ("assign", "access", "hex")
 RULES = (
-    Rule("assign", _ASSIGN + _VALUE + "{3}", _ASSIGN + f"({_VALUE}+)", group=2, least=8),
-    Rule("access", "AKIA[A-Z0-9]{3}", "AKIA[A-Z0-9]+", least=16),
+    Rule("assign", _ASSIGN + _VALUE, _ASSIGN + _VALUE + "+", least=8, from_last=True),
+    Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", least=16),
     Rule("hex", "[0-9a-f]{32}", "[0-9a-f]+", least=32),
-    Rule("key_block", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*+(?<=PRIVATE KEY)-----"),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{4}", r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(eyJ))[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", span=1),
-    Rule("forge_token", "gh[oprsu]_[A-Za-z0-9]{4}", "gh[oprsu]_[A-Za-z0-9]{36,}"),
-    Rule("chat_token", "xox[abprs]-[A-Za-z0-9]", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("url_login", r"://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@", r"(?<![A-Za-z0-9+.-])[0-9+.-]*+([A-Za-z][A-Za-z0-9+.-]*+://[^\x00-\x20/:@]++:[^\x00-\x20/:@]++@)", span=1),
+    Rule("key_block", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("signed_token", rf"eyJ{_PART}+\.eyJ{_PART}+\.{_PART}", rf"eyJ{_PART}{{10,}}\.eyJ{_PART}{{10,}}\.{_PART}{{10,}}"),
+    Rule("forge_token", "gh[oprsu]_[A-Za-z0-9]", "gh[oprsu]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", "xox[abprs]-[A-Za-z0-9-]", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@", r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20/:@]+:[^\x00-\x20/:@]+@"),
 )
 
 SPANS = "array<struct<kind:string,start:bigint,stop:bigint>>"
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def _locate(data: bytes, found: int, rules: tuple[Rule, ...], exact: list[re.Pattern]) -> list[dict]:
-    hits = []
-    for k, rule in enumerate(rules):
-        if found >> k & 1:
-            hits += [
-                (m.start(rule.span), k, m.end()) for m in exact[k].finditer(data) if m.end(rule.group) - m.start(rule.group) >= rule.least
-            ]
-    if not hits:
-        return []
+class Scanner:
+    """The automata of some rules. `spans` gives a text's spans as (start, position of the rule, end) in bytes, in order."""
+
+    def __init__(self, rules: tuple[Rule, ...]):
+        self.rules = rules
+        self.joined = compile_rules([r.scan for r in rules])
+        self.back = [compile_rules([r.scan], anywhere=False, backward=True) for r in rules]
+        self.forth = [compile_rules([r.exact], anywhere=False) for r in rules]
+
+    def ready(self):
+        read, back, forth = self.joined.reader(), [a.reach() for a in self.back], [a.reach() for a in self.forth]
+        each = list(enumerate(self.rules))
+
+        def spans(data: bytes) -> list[tuple[int, int, int]]:
+            done, hits, view = [0] * len(each), [], memoryview(data)
+
+            def report(at: int, found: int) -> None:
+                for k, rule in each:
+                    if found >> k & 1 and at > done[k]:
+                        before = back[k](reversed(view[done[k] : at]))
+                        if before < 0:
+                            continue
+                        start = at - before
+                        length = forth[k](view[start:])
+                        if length < 0:
+                            continue
+                        done[k] = start + length
+                        if done[k] - (at - 1 if rule.from_last else start) >= rule.least:
+                            hits.append((start, k, done[k]))
+
+            read(data, report)
+            return sorted(hits)
+
+        return spans
+
+
+def _points(data: bytes, hits: list[tuple[int, int, int]], rules: tuple[Rule, ...]) -> list[dict]:
+    """Spans by kind, in code points."""
     place = None
-    if not data.isascii():
-        begins = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
-        place = np.concatenate([[0], np.cumsum(begins)])
+    if hits and not data.isascii():
+        place = np.concatenate([[0], np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)])
     point = (lambda i: i) if place is None else (lambda i: int(place[i]))
-    return [{"kind": rules[k].kind, "start": point(a), "stop": point(b)} for a, k, b in sorted(hits)]
+    return [{"kind": rules[k].kind, "start": point(a), "stop": point(b)} for a, k, b in hits]
 
 
 def _scan(rules: tuple[Rule, ...]):
-    automaton = compile_rules([r.scan for r in rules])
+    scanner = Scanner(rules)
 
     def run(batches):
-        scan, exact = automaton.scanner(), [re.compile(r.exact.encode()) for r in rules]
+        spans_of = scanner.ready()
         for batch in batches:
             for part in B.chunks(batch, "text"):
-                texts = B.row_bytes(part.column("text"))
-                spans = [_locate(t, found, rules, exact) if (found := scan(t)) else [] for t in texts]
+                spans = [_points(t, spans_of(t), rules) for t in B.row_bytes(part.column("text"))]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(spans, type=_ARROW_SPANS)], names=["id", "spans"])
 
     return run
