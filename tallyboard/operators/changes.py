@@ -42,7 +42,7 @@ def moves(before: DataFrame, after: DataFrame, max_move: float = MAX_MOVE) -> Da
 def _runs(polls: DataFrame, key: str, at: str, price: str, tie: str) -> DataFrame:
     """Each poll with `changed`, null-safe against the one before, and the number of its run of equal prices."""
     w = Window.partitionBy(key).orderBy(at, tie)
-    changed = F.lag(tie).over(w).isNull() | ~F.col(price).eqNullSafe(F.lag(price).over(w))
+    changed = (F.row_number().over(w) == 1) | ~F.col(price).eqNullSafe(F.lag(price).over(w))
     return polls.withColumn("changed", changed).withColumn("_run", F.sum(F.col("changed").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 

@@ -75,8 +75,10 @@ def counts(index: DataFrame) -> DataFrame:
 
 
 def write_snapshots(decided: DataFrame, folder: str) -> None:
-    """The written snapshots as JSON, one folder per source."""
-    decided.where("write").write.mode("overwrite").partitionBy("source_id").json(folder)
+    """The written snapshots as JSON, one folder per source. Only the folders of sources written now are replaced: all others, of sources
+    skipped, refused or not in this run, keep their last good snapshot. New files are staged beside and moved in when all are complete.
+    """
+    decided.where("write").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").json(folder)
 
 
 def write_index(index: DataFrame, folder: str) -> None:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions import times
 from tallyboard.operators import changes
+from tallyboard.operators.ranking import numbered
 from tallyboard.plans.registry import query, read
 from tallyboard.sources import feeds
+from tallyboard.sources.scratch import new_path
 from tallyboard.streaming import polls as stream
 
 _NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -121,7 +123,7 @@ def health_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_LAST + "SELECT user_id, state, row_number() OVER (ORDER BY CASE state WHEN 'down' THEN 1 WHEN 'late' THEN 2 ELSE 3 END, health, user_id) AS place FROM s")
 def status_board_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.when(F.col("state") == "down", 1).when(F.col("state") == "late", 2).otherwise(3)
-    return _states(spark, sf_dir).withColumn("place", F.row_number().over(Window.orderBy(rank, "health", "user_id")).cast("long")).select("user_id", "state", "place")
+    return numbered(_states(spark, sf_dir), [rank, "health", "user_id"], "place").select("user_id", "state", (F.col("place") + 1).alias("place"))
 
 
 _AGO = "CASE WHEN m < 1 THEN 'just now' WHEN m = 1 THEN '1 minute ago' WHEN m < 90 THEN m || ' minutes ago' ELSE (m // 60) || 'h ' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || 'm ago' END"
@@ -271,3 +273,19 @@ def streamed_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.awaitTermination()
     found = spark.read.schema(decided.schema).parquet(f"{out}/rows")
     return found.select("user_id", "event_id", "write", "changed", "reason", stamp("priced_at").alias("priced_at"))
+
+
+@query(
+    """WITH r AS (SELECT user_id, count(*) AS n, count(*) FILTER (ts < TIMESTAMP '2024-01-15') AS early, max(event_id) AS last FROM events GROUP BY user_id)
+    SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS run, CASE WHEN user_id % 3 = 0 THEN n ELSE early END AS rows FROM r WHERE user_id % 3 = 0 OR early > 0"""
+)
+def snapshots_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run writes a third of the sources, skips a third and does not have the last: these keep their snapshots."""
+    from tallyboard.plans.engine import write_snapshots
+
+    events, folder = read(spark, sf_dir, "events"), new_path(spark)
+    board = lambda rows, run: rows.groupBy("user_id").agg(F.count("*").alias("rows")).select(F.col("user_id").alias("source_id"), "rows", F.lit(run).alias("run"))
+    write_snapshots(board(events.where("ts < timestamp_ntz '2024-01-15'"), 1).withColumn("write", F.lit(True)), folder)
+    write_snapshots(board(events.where("user_id % 3 < 2"), 2).withColumn("write", F.col("source_id") % 3 == 0), folder)
+    kept = spark.read.schema("source_id bigint, rows bigint, run int").json(folder)
+    return kept.select(F.col("source_id").alias("user_id"), "run", "rows")

@@ -2,23 +2,53 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def root(spark: SparkSession) -> str:
+    """What the session names in `spark.checkpoint.dir`. Only on one machine, as in tests, a temporary folder stands in where that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="tallyboard-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 def folder(spark: SparkSession) -> str:
-    """What the session names in `spark.checkpoint.dir`; a temporary folder only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tallyboard-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    """This application's own part of the shared folder."""
+    return f"{root(spark)}/tallyboard-{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession) -> str:
+    return f"{folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """`df` as a table in the shared folder, read again: what comes after neither repeats its work nor carries its plan."""
-    path = f"{folder(df.sparkSession)}/tallyboard-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of `written` that no plan still to run reads."""
+    _delete(df.sparkSession, df._scratch_path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all tables that this application has written, once their readers are done."""
+    _delete(spark, folder(spark))

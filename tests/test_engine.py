@@ -61,3 +61,20 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     write(rows, 3)
     write(rows.withColumn("write", F.lit(True)), 4)
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("batch").count().orderBy("batch").collect() == [(3, 1), (4, 2)]
+
+
+def test_a_second_run_keeps_the_snapshots_it_does_not_write(spark, tmp_path):
+    """One source is written again, one skipped, one refused and so not in the run at all."""
+    row = "source_id string, count long, write boolean"
+    engine.write_snapshots(spark.createDataFrame([("a", 1, True), ("skipped", 1, True), ("refused", 1, True)], row), str(tmp_path / "out"))
+    engine.write_snapshots(spark.createDataFrame([("a", 2, True), ("skipped", 2, False), ("new", 2, True)], row), str(tmp_path / "out"))
+    got = {r.source_id: r["count"] for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert got == {"a": 2, "skipped": 1, "refused": 1, "new": 2}
+
+
+def test_numbers_of_a_whole_order(spark):
+    from tallyboard.operators.ranking import numbered
+
+    rows = spark.range(0, 1000, 1, 7).select(((F.col("id") * 37) % 1000).alias("v"))
+    assert {r.v: r.n for r in numbered(rows, ["v"], "n").collect()} == {v: v for v in range(1000)}
+    assert numbered(rows.limit(0), ["v"], "n").count() == 0
