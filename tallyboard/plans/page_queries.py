@@ -79,9 +79,9 @@ def clean_120(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", text.clean(F.col("html")).alias("head"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(substr(html, 1, 500), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM pages")
+@query("SELECT page_id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM pages")
 def escape_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages(spark, sf_dir).select("page_id", text.escape_html(F.substring("html", 1, 500)).alias("escaped"))
+    return pages(spark, sf_dir).select("page_id", text.escape_html(F.col("html")).alias("escaped"))
 
 
 _HOST = "lower(regexp_extract(url, '^https?://([^/?#:]+)', 1))"
@@ -115,7 +115,7 @@ _CRAWL = """crawl AS (SELECT page_id % 25 AS page, page_id AS n,
     CASE page_id % 6 WHEN 0 THEN 'https://api.dtn.com/markets/sites/E' || (page_id % 3) || '/cash-bids?units=us' WHEN 1 THEN 'https://centre.bushelops.com/v1/GetBidsList' WHEN 2 THEN 'https://x.stonex.com/bids?key=1'
       WHEN 3 THEN 'https://www.barchart.com/app.js' ELSE url END AS url,
     CASE page_id % 6 WHEN 3 THEN 'text/javascript' WHEN 4 THEN 'text/html' ELSE 'application/json' END AS mime, CASE WHEN page_id % 11 = 0 THEN 404 ELSE 200 END AS status,
-    CASE WHEN page_id % 12 = 0 THEN NULL ELSE substr(html, 1, 100 + page_id) END AS body FROM pages)
+    CASE WHEN page_id % 12 = 0 THEN NULL ELSE html END AS body FROM pages)
 """
 
 
