@@ -5,15 +5,15 @@ hidden and commented parts, and elements whose class, id or role names such a pa
 take no part in the rest (a name that only says how the page is laid out does not count: such an
 element holds an article or most of the text, or stands within `article` or `main` and is
 neither mostly links nor small beside its siblings; nor do such names where without them no text is left).
-For every other element the density is its characters per tag,
-adjusted for links:
+For every other element the density is its characters per tag, where tags of formatting
+within a line do not count, adjusted for links:
 
     C / T * log(C / LC * T / LT, base ln(C / (C - LC) * LC + LCb / Cb * C + e))
 
 with C characters, T tags, LC and LT those in links, and LCb, Cb those of the body; zeros
-count as one. The density sum of an element adds its children's densities. The element of the
+count as one. The density sum of an element adds the densities of the blocks among its children. The element of the
 largest sum holds the main text. The least density on the path from the body to it is the
-threshold at which an element beside the path is text too, such as a title above the
+threshold at which a block beside the path is text too, such as a title above the
 container of the paragraphs. Where that element is within `article` or `main`, or these within it
 hold most of its text, the page itself says how far the text reaches: the one around it is taken with the
 articles beside it that reach the threshold, or all those within it that do. Elsewhere,
@@ -267,7 +267,7 @@ def _densities(page: _Page, root: int) -> tuple[list[int], list[float], list[flo
             link_chars[i], link_tags[i] = chars[i], link_tags[i] + 1
         p = page.parent[i]
         chars[p] += chars[i]
-        tags[p] += tags[i] + 1
+        tags[p] += tags[i] + (page.tag[i] == "a" or page.tag[i] not in _INLINE)
         link_chars[p] += link_chars[i]
         link_tags[p] += link_tags[i]
     share = link_chars[root] / max(1, chars[root])
@@ -278,7 +278,7 @@ def _densities(page: _Page, root: int) -> tuple[list[int], list[float], list[flo
             t, lc, lt = max(1, tags[i]), max(1, link_chars[i]), max(1, link_tags[i])
             base = log(c / max(1, c - link_chars[i]) * link_chars[i] + share * c + e)
             density[i] = c / t * max(0.0, log(c / lc * t / lt) / log(base)) if base > 1 else c / t * max(0.0, log(c / lc * t / lt))
-            if page.parent[i] >= 0:
+            if page.parent[i] >= 0 and page.tag[i] not in _INLINE:
                 total[page.parent[i]] += density[i]
     menus = [i for i in range(root + 1, n) if link_tags[i] > 1 and page.tag[i] not in _INLINE and 0 < chars[i] == link_chars[i]]
     return chars, density, total, menus
@@ -316,7 +316,7 @@ def _chosen(page: _Page) -> tuple[list[int], list[int]]:
     taken, i = [], root
     on_path = set(path)
     while i < page.end[root]:
-        if i == best or (i not in on_path and not page.noise[i] and density[i] >= threshold and density[i] > 0):
+        if i == best or (i not in on_path and not page.noise[i] and page.tag[i] not in _INLINE and density[i] >= threshold and density[i] > 0):
             taken.append(i)
             i = page.end[i]
         elif i in on_path or not page.noise[i]:
