@@ -9,9 +9,9 @@ up to some i.
 
 A batch of a bucket holds as many pieces as its boundary allows within `token_budget`. Pieces get
 their place in a bucket without a sort of the bucket: each is dealt to one of `shards` by a hash,
-numbered within it, and moved by the number of pieces in the shards before. The table of these
-numbers has buckets * shards rows, which bounds its broadcast. So all batches of a bucket but
-its last are full.
+numbered within it, and moved by the number of pieces in the shards before. There are as many
+shards as keep each at about `SHARD_ROWS` pieces, however many there are, and the hash is of the row
+and not of its content, so repeated rows part. All batches of a bucket but its last are full.
 
 Defined results: a text without tokens, null or empty, is one row with n_tokens 0 and no
 bucket, batch or place; repeated rows are packed each by itself; null ids are packed like
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tallyboard.sources.scratch import written
 
 MAX_TOKENS, TOKEN_BUDGET, BUCKETS, SHARDS = 2048, 32768, 8, 256
+SHARD_ROWS = 1 << 18
 
 
 def words(text: Column) -> Column:
@@ -75,20 +76,21 @@ def pack(
     counted = docs.select(F.col(id_col).alias("_pk_id"), n, F.xxhash64(text_col).alias("_pk_h"))
     last = F.greatest(F.lit(0), F.floor((F.col("_pk_n") - 1) / max_tokens))
     pieces = counted.select("_pk_id", "_pk_h", "_pk_n", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("piece"))
-    pieces = pieces.select("_pk_id", "_pk_h", "piece", F.least(F.lit(max_tokens), F.col("_pk_n") - F.col("piece") * max_tokens).cast("long").alias("n_tokens"))
+    pieces = pieces.select(F.monotonically_increasing_id().alias("_pk_row"), "_pk_id", "_pk_h", "piece", F.least(F.lit(max_tokens), F.col("_pk_n") - F.col("piece") * max_tokens).cast("long").alias("n_tokens"))
     pieces = written(pieces)
     histogram = pieces.where("n_tokens > 0").groupBy("n_tokens").count().collect()
     bounds = boundaries(np.array([r[0] for r in histogram]), np.array([r[1] for r in histogram]), buckets) if histogram else []
     bucket = F.coalesce(*(F.when(F.col("n_tokens") <= x, F.lit(k)) for k, x in enumerate(bounds)), F.lit(None).cast("int"))
+    shards = max(shards, -(-sum(r[1] for r in histogram) // SHARD_ROWS))
     dealt = pieces.withColumn("bucket", F.when(F.col("n_tokens") > 0, bucket)).withColumn(
-        "_pk_shard", F.pmod(F.xxhash64("_pk_id", "piece", "_pk_h"), F.lit(shards)).cast("int")
+        "_pk_shard", F.pmod(F.xxhash64("_pk_row"), F.lit(shards)).cast("int")
     )
     full = dealt.where("bucket is not null")
     before = Window.partitionBy("bucket").orderBy("_pk_shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = full.groupBy("bucket", "_pk_shard").count().select("bucket", "_pk_shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_pk_before"))
-    number = F.row_number().over(Window.partitionBy("bucket", "_pk_shard").orderBy("n_tokens", "_pk_id", "piece", "_pk_h"))
+    number = F.row_number().over(Window.partitionBy("bucket", "_pk_shard").orderBy("n_tokens", "_pk_id", "piece", "_pk_h", "_pk_row"))
     sizes = F.element_at(F.array(*(F.lit(x).cast("long") for x in bounds or [1])), F.col("bucket") + 1)
-    placed = full.withColumn("_pk_number", number).join(F.broadcast(offsets), ["bucket", "_pk_shard"])
+    placed = full.withColumn("_pk_number", number).join(offsets, ["bucket", "_pk_shard"])
     rank, room = F.col("_pk_before") + F.col("_pk_number") - 1, F.floor(F.lit(token_budget) / F.col("bucket_length"))
     placed = placed.withColumn("bucket_length", sizes).withColumns({"batch": F.floor(rank / room).cast("long"), "place": F.pmod(rank, room).cast("long")})
     start = (F.col("piece") * max_tokens).alias("start")
