@@ -292,6 +292,13 @@ def test_packing(spark):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_parts_rows_that_repeat(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    rows = packing.pack(frame(spark, [(1, "a b c")] * 1000 + [(None, None)] * 3), shards=2, token_budget=2048).collect()
+    full = [r for r in rows if r.bucket is not None]
+    assert len(rows) == 1003 and sorted((r.batch, r.place) for r in full) == [(k // 682, k % 682) for k in range(1000)]
+
+
 # ---------------------------------------------------------------- 5
 
 
@@ -447,18 +454,54 @@ def test_html_deep_nesting_and_long_text():
 def test_sharding(spark):
     rows = [*MESSY, *((1000 + k, prose(k, k % 40)) for k in range(400))]
     docs = frame(spark, rows)
-    sizes = sharding.slot_bytes(docs, slots=512)
+    records = sharding.slotted(docs, slots=512)
+    sizes = sharding.slot_bytes(records, slots=512)
     assert sizes.sum() == sum(len((t or "").encode()) + 16 for _, t in rows)
     first = sharding.first_map(sizes, 6)
     table = sharding.map_table(spark, [first, sharding.rebalance(first, sizes, 7)])
-    got = sharding.assign(docs, table, 1, slots=512).collect()
+    got = sharding.assign(records, table, 1).collect()
     assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
     by_shard = collections.defaultdict(list)
     for r in got:
         by_shard[r.shard].append(r)
-        assert r.shard == first[r.vslot]
+    assert {r.vslot: r.shard for r in got} == lightest_plainly(got, 6)
     assert all(sorted(r.slot for r in own) == list(range(len(own))) for own in by_shard.values())
-    assert sharding.assign(frame(spark, []), table, 2, slots=512).count() == 0
+    assert sharding.assign(sharding.slotted(frame(spark, []), slots=512), table, 2).count() == 0
+
+
+def lightest_plainly(rows, shards):
+    """Shard of every slot that has rows: slots by falling bytes, then by number, each to the shard with least bytes, then fewest slots, then least number."""
+    size = collections.Counter()
+    for r in rows:
+        size[r.vslot] += r["size"]
+    load, out = [[0, 0, k] for k in range(shards)], {}
+    for slot in sorted(size, key=lambda s: (-size[s], s)):
+        own = min(load)
+        out[slot] = own[2]
+        own[0], own[1] = own[0] + size[slot], own[1] + 1
+    return out
+
+
+@pytest.mark.parametrize("id_", [7, None])
+def test_sharding_parts_rows_that_repeat(spark, monkeypatch, id_):
+    """Half of all rows are equal in id and text; their chunks are small, so that several are numbered."""
+    monkeypatch.setattr(sharding, "CHUNK", 64)
+    rows = [(id_, "the same text")] * 2000 + [(100 + k, f"text {k:08}") for k in range(2000)]
+    records = sharding.slotted(frame(spark, rows).repartition(3))
+    size = sharding.slot_bytes(records)
+    got = sharding.assign(records, sharding.map_table(spark, [sharding.first_map(size, 40)]), 1).collect()
+    load = collections.Counter()
+    for r in got:
+        load[r.shard] += r["size"]
+    assert len(got) == 4000 and len(load) == 40 and max(load.values()) - min(load.values()) <= 29
+
+
+def test_sharding_query_edits_its_map(spark, sf_dir):
+    rows = queries.op8_sharding(spark, sf_dir).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == {i: (len(t) + 16, zlib.crc32(t)) for i, t in texts.items()}
+    assert {r.vslot: r.shard for r in rows} == lightest_plainly(rows, 40)
+    assert all(r.next_shard in (r.shard, 40) and r.law == "bytes" and r.grown_shard is None for r in rows) and any(r.next_shard == 40 for r in rows)
 
 
 def test_rebalance_moves_few_slots_and_levels():
