@@ -84,7 +84,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    scored = lm_score.score(docs, lm_score.fit(lm_score.window_counts(docs)))
+    scored = lm_score.score(docs, lm_score.fit(docs))
     return scored.withColumn("per_token", F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
 
 

@@ -17,10 +17,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tallyboard.llm import bytearrays as B
-from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, queries, secret_scan, sharding, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, html_text, line_dedup, packing, quality_rules, queries, secret_scan, sharding, simhash_dedup, substring_dedup
 from tallyboard.llm.automaton import compile_rules
 from tallyboard.llm.components import roots
-from tallyboard.llm.symbols import counted, symbols
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -605,64 +604,6 @@ def test_keep_first_keeps_one_row_of_each_group(spark):
     assert simhash_dedup.keep_first(frame(spark, [])).count() == 0
 
 
-# ---------------------------------------------------------------- 10
-
-
-def test_windows_see_both_sides():
-    syms, at = symbols(*B.text_buffers(pa.array(["abc", None, "z"])))
-    got = [tuple(int(w) >> 5 * (4 - k) & 31 for k in range(5)) for w in lm_score.windows(syms, at)]
-    assert got == [(28, 28, 0, 1, 2), (28, 0, 1, 2, 28), (0, 1, 2, 28, 28), (28, 28, 25, 28, 28)]
-
-
-def test_gradient_is_the_slope():
-    net = lm_score.Network.new()
-    net.weights = [w.astype(np.float64) for w in net.weights]
-    window = np.random.default_rng(0).integers(0, 2**25, 50).astype(np.uint32)
-
-    def loss():
-        context, middle = net.split(window)
-        return -net.forward(context)[2][np.arange(len(middle)), middle].mean()
-
-    for w, g in zip(net.weights, net.gradient(window)):
-        spot = np.unravel_index(np.argmax(np.abs(g)), g.shape)
-        keep, h = w[spot], 1e-5
-        w[spot] = keep + h
-        up = loss()
-        w[spot] = keep - h
-        down = loss()
-        w[spot] = keep
-        assert (up - down) / (2 * h) == pytest.approx(g[spot], rel=2e-3)
-
-
-def test_lm_learns_and_scores_whole_texts(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    train, held = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
-    counts = lm_score.window_counts(train)
-    net = lm_score.fit(counts, rounds=6)
-    texts = [r.text for r in held.select("text").collect()]
-    window, n = counted(lm_score.windows(*symbols(*B.text_buffers(pa.array(texts)))))
-    middle = (window >> np.uint32(10)) & np.uint32(31)
-    seen = np.zeros(32)
-    for w, k in counts.collect():
-        seen[w >> 10 & 31] += k
-    unigram = -(n * np.log(seen[middle] / seen.sum() + 1e-12)).sum() / n.sum()
-    model = -(n * net.log_prob(window)).sum() / n.sum()
-    assert model < 0.65 * unigram
-    got = {r.doc_id: (r.n_tokens, r.log_prob) for r in lm_score.score(held, net).collect()}
-    for r in held.collect():
-        own = lm_score.windows(*symbols(*B.text_buffers(pa.array([r.text]))))
-        assert got[r.doc_id][0] == len(r.text) and got[r.doc_id][1] == pytest.approx(net.log_prob(own).astype(float).sum(), rel=1e-5)
-
-
-def test_lm_edges(spark):
-    docs = frame(spark, MESSY)
-    net = lm_score.fit(lm_score.window_counts(docs), rounds=1, steps=2)
-    got = lm_score.score(docs, net).collect()
-    assert len(got) == len(MESSY) and all((r.n_tokens == 0) == (r.log_prob == 0) for r in got)
-    none = frame(spark, [])
-    assert lm_score.score(none, lm_score.fit(lm_score.window_counts(none))).count() == 0
-
-
 # ---------------------------------------------------------------- registered queries
 
 
