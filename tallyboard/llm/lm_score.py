@@ -46,7 +46,7 @@ CLASSES, MEMBERS, FOLDED = 32, 32, 128
 TOKENS = CLASSES * MEMBERS
 #: What stands beside a text, and the mark of a token that is context only.
 PAD, CONTEXT = TOKENS, np.uint16(1 << 15)
-HIDDEN = 32
+HIDDEN = 24
 ROUNDS, UNIT, LEAST_UNITS, SEGMENT = 8, 1 << 20, 4, 1 << 14
 BATCH, LEAST_BATCH, STEPS, RATE = 8192, 256, 64, 0.02
 SEED = 7
@@ -91,8 +91,9 @@ class Network:
 
     def _by_class(self, middle: np.ndarray):
         """The rows of each class that occurs."""
-        order = np.argsort(middle // MEMBERS, kind="stable")
-        edges = np.searchsorted(middle[order] // MEMBERS, np.arange(CLASSES + 1))
+        of = (middle // MEMBERS).astype(np.uint16)
+        order = np.argsort(of, kind="stable")
+        edges = np.searchsorted(of[order], np.arange(CLASSES + 1, dtype=np.uint16))
         return [(c, order[a:b]) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
     def log_prob(self, context: np.ndarray, middle: np.ndarray, step: int = 1 << 13) -> np.ndarray:
@@ -129,7 +130,7 @@ class Network:
         dh *= 1 - h * h
         out[1] = dh.sum(axis=0)
         for k in range(len(PLACES)):
-            order = np.argsort(context[k], kind="stable")
+            order = np.argsort(context[k].astype(np.uint16), kind="stable")
             seen = context[k][order]
             first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
             out[0][k][seen[first]] = np.add.reduceat(dh[order], first, axis=0)
