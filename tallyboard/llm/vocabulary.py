@@ -17,12 +17,17 @@ from tallyboard.llm import bytearrays as B
 CELLS = 1 << 16
 
 
+def cells_of(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The cell of every word of small letters."""
+    return (B.span_hashes(lower, starts, ends) >> np.uint64(48)).astype(np.int64)
+
+
 def cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The cell of every word of the rows, and the index of each row's first word."""
     data, at = B.text_buffers(column)
     data = B.LOWER[data]
     starts, ends, first = B.word_spans(data, at, B.NOT_ALNUM)
-    return (B.span_hashes(data, starts, ends) >> np.uint64(48)).astype(np.int64), first
+    return cells_of(data, starts, ends), first
 
 
 def token_table(cell: np.ndarray, count: np.ndarray, size: int, folded: int) -> np.ndarray:
