@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyboard.sources.scratch import written
+from tallyboard.sources.scratch import discard, written
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def roots(edges: DataFrame) -> DataFrame:
     edges = written(edges.where("u <> v").distinct())
     mark = _mark(edges)
     while True:
-        edges = written(_small_star(_large_star(edges)))
+        before, edges = edges, written(_small_star(_large_star(edges)))
+        discard(before)
         if (now := _mark(edges)) == mark:
             return edges.select("u", F.col("v").alias("root"))
         mark = now

@@ -13,10 +13,13 @@ two). Per anchor, members are compared with the fingerprints at home there on al
 No link can be missed. Two blocks are taken above `ONE_BLOCK` fingerprints, so that the
 comparisons per anchor do not grow without bound; both forms find the same links.
 
-Skew. Equal fingerprints are one row before anything is replicated. The members of an anchor
+Skew. Equal fingerprints are one row, written, before anything is replicated, and are dealt to as many tasks as
+keep each at about `TASK_ROWS` rows after it. The members of an anchor
 are dealt over `SALTS` tasks, each with a copy of the anchor's home rows, and are streamed
-past them in blocks. A block of comparisons gives one row per fingerprint in it that has
-a link (its least connected fingerprint in the block), never a row per pair.
+past them in blocks. An anchor with more than `HOMES` home rows has these dealt to cells of about that many by
+their hash, and its members go to every cell, so no task holds all home rows of an anchor. A block of
+comparisons gives one row per fingerprint in it that has a link (its least connected fingerprint in
+the block), never a row per pair.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; a null id
 takes part and is never a component's name; repeated rows give repeated result rows;
@@ -41,6 +44,12 @@ MOST_BITS = 3
 RADIUS = 3
 SALTS = 4
 ONE_BLOCK = 2_000_000
+#: Rows that one task makes by replication, and home rows of an anchor that are compared by one task.
+TASK_ROWS, HOMES = 1 << 22, 1 << 16
+#: Hot anchors up to this number are broadcast, beyond it joined.
+HOT_ANCHORS = 100_000
+#: Anchors to which a fingerprint is replicated on average, by the number of blocks.
+REPLICAS, REPLICAS_TWO = 71, 302
 #: Pairs compared at once.
 BLOCK = 1 << 21
 #: Generator polynomial of the binary Golay code of length 23 (a fixed value).
@@ -107,13 +116,22 @@ def _patterns(values: np.ndarray, excess: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, values[rows] ^ found[first[s][rows] + offset]
 
 
-def anchors(fps: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The home anchor of each fingerprint, and all (position, anchor) to which it is replicated."""
-    mask = (1 << _LENGTH) - 1
-    parts = [((fps >> np.uint64(_LENGTH * k)) & np.uint64(mask)).astype(np.int64) for k in range(blocks)]
+def _parts(fps: np.ndarray, blocks: int) -> list[np.ndarray]:
+    mask = np.uint64((1 << _LENGTH) - 1)
+    return [((fps >> np.uint64(_LENGTH * k)) & mask).astype(np.int64) for k in range(blocks)]
+
+
+def anchors_of_home(fps: np.ndarray, blocks: int) -> np.ndarray:
+    """The anchor that covers each fingerprint."""
     home = np.zeros(len(fps), dtype=np.int64)
-    for p in parts:
+    for p in _parts(fps, blocks):
         home = home << _LENGTH | _patterns(p, 0)[1]
+    return home
+
+
+def anchors(fps: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The home anchor of each fingerprint, and all (position, anchor) to which it is replicated."""
+    parts, home = _parts(fps, blocks), anchors_of_home(fps, blocks)
     rows, words = [np.arange(len(fps))], [np.zeros(len(fps), dtype=np.int64)]
     spent = [np.zeros(len(fps), dtype=np.int64)]
     for p in parts:
@@ -131,7 +149,7 @@ def anchors(fps: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _replicate(blocks: int):
-    """Rows (anchor, salt, member, fp): homes to every salt, members to the salt of their fingerprint."""
+    """Rows (anchor, salt, member, fp): homes to every salt, members to the salt of their fingerprint. SALTS copies of the homes, and some 71 or 302 of the members."""
 
     def run(batches):
         for batch in batches:
@@ -177,21 +195,22 @@ def _stars(home: np.ndarray, members: np.ndarray, most_bits: int):
 
 
 def _compare(most_bits: int):
-    """Reads rows sorted by anchor, salt and role, so an anchor's homes stand before its members."""
+    """Reads rows sorted by anchor, salt, cell and role, so a cell's homes stand before its members."""
 
     def run(batches):
         key, home = None, np.zeros(0, np.uint64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column("anchor").to_numpy(zero_copy_only=False) * SALTS + batch.column("salt").to_numpy(zero_copy_only=False)
+            anchor, salt, cell = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "salt", "cell"))
+            keys = np.stack([anchor, salt.astype(np.int64) << 32 | cell])
             member = batch.column("member").to_numpy(zero_copy_only=False)
             fps = B.unsigned(batch.column("fp").to_numpy(zero_copy_only=False))
-            edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            edges = [0, *(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist(), len(fps)]
             out_u, out_v = [], []
             for low, high in zip(edges, edges[1:]):
-                if keys[low] != key:
-                    key, home = keys[low], np.zeros(0, np.uint64)
+                if (now := tuple(keys[:, low].tolist())) != key:
+                    key, home = now, np.zeros(0, np.uint64)
                 split = low + int((~member[low:high]).sum())
                 home = np.concatenate([home, fps[low:split]])
                 if len(home) and split < high:
@@ -204,11 +223,34 @@ def _compare(most_bits: int):
     return run
 
 
-def links(fps: DataFrame, blocks: int, most_bits: int = MOST_BITS) -> DataFrame:
-    """Edges (u, v) that connect distinct fingerprints as all links within `most_bits` bits do."""
-    spread = fps.select("fp").mapInArrow(_replicate(blocks), "anchor long, salt int, member boolean, fp long")
-    dealt = spread.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "member")
-    return dealt.mapInArrow(_compare(most_bits), "u long, v long")
+def _home(blocks: int):
+    def run(batches):
+        for batch in batches:
+            fps = B.unsigned(batch.column("fp").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(anchors_of_home(fps, blocks))], names=["anchor"])
+
+    return run
+
+
+def links(fps: DataFrame, blocks: int, most_bits: int = MOST_BITS, count: int | None = None) -> DataFrame:
+    """Edges (u, v) that connect distinct fingerprints as all links within `most_bits` bits do. `count` is about the rows of `fps`."""
+    count = fps.count() if count is None else count
+    copies = SALTS + (REPLICAS if blocks == 1 else REPLICAS_TWO)
+    # A number of partitions that is asked for is kept, while the fewer bytes before replication would be merged into few.
+    parts = max(fps.sparkSession.sparkContext.defaultParallelism, -(-count * copies // TASK_ROWS))
+    dealt = fps.select("fp").repartition(parts, "fp")
+    spread = dealt.mapInArrow(_replicate(blocks), "anchor long, salt int, member boolean, fp long")
+    hot = fps.select("fp").mapInArrow(_home(blocks), "anchor long").groupBy("anchor").count().where(F.col("count") > HOMES)
+    hot = written(hot.select("anchor", F.ceil(F.col("count") / HOMES).cast("int").alias("cells")))
+    if (n := hot.count()) == 0:
+        spread = spread.withColumn("cell", F.lit(0))
+    else:
+        spread = spread.join(F.broadcast(hot) if n <= HOT_ANCHORS else hot, "anchor", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        own = F.array(F.pmod(F.xxhash64("fp"), F.col("cells")).cast("int"))
+        every = F.when(F.col("member"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(own)
+        spread = spread.withColumn("cell", F.explode(every)).drop("cells")
+    compared = spread.repartition("anchor", "salt", "cell").sortWithinPartitions("anchor", "salt", "cell", "member")
+    return compared.mapInArrow(_compare(most_bits), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
@@ -216,10 +258,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     prints = written(base.mapInArrow(_fingerprints(shingle), f"id {kind}, fp long"))
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    nodes = written(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    count = nodes.count()
     if blocks is None:
-        blocks = 1 if nodes.count() <= ONE_BLOCK else 2
-    found = roots(links(nodes, blocks))
+        blocks = 1 if count <= ONE_BLOCK else 2
+    found = roots(links(nodes, blocks, count=count))
     placed = nodes.join(found, nodes["fp"] == found["u"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(names, "root").select("fp", "component_id")

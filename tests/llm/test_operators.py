@@ -559,8 +559,10 @@ def test_simhash(spark, blocks):
     assert len({c for _, _, c in want}) < len(set(fps))
 
 
-@pytest.mark.parametrize("blocks", [1, 2])
-def test_links_connect_all_within_three_bits(spark, blocks):
+@pytest.mark.parametrize(("blocks", "homes", "broadcast"), [(1, 1 << 16, 100), (2, 1 << 16, 100), (1, 2, 100), (1, 2, 0), (2, 3, 100)])
+def test_links_connect_all_within_three_bits(spark, monkeypatch, blocks, homes, broadcast):
+    monkeypatch.setattr(simhash_dedup, "HOMES", homes)
+    monkeypatch.setattr(simhash_dedup, "HOT_ANCHORS", broadcast)
     rng = np.random.default_rng(4)
     seeds = rng.integers(0, 2**63, 40, dtype=np.uint64)
     values = set(seeds.tolist())
@@ -590,6 +592,13 @@ def test_links_connect_all_within_three_bits(spark, blocks):
     assert parts(got) == parts(every)
 
 
+def test_simhash_query(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    fps = [prints_plainly(t) for _, t in docs]
+    want = sorted(zip((i for i, _ in docs), (f"{x:016x}" for x in fps), groups_plainly(docs, fps)))
+    assert sorted(map(tuple, queries.op9_simhash_dedup(spark, sf_dir).collect())) == want
+
+
 def test_components_of_a_long_path_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(3, 3), (260, 259), (259, 260)]
     got = {r.u: r.root for r in roots(spark.createDataFrame(edges, "u long, v long")).collect()}
