@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +45,36 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """`df` as a table in the shared folder in n buckets by the hash of its keys, each sorted by them and read as such.
+
+    `df` should come in partitions by that hash, so that a bucket is one file: Spark knows the order of such buckets only
+    (and while `ordered_buckets` holds).
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession)
+    name = f"tallyboard_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+    out = spark.table(name)
+    out._scratch_path, out._scratch_name = path, name
+    return out
+
+
+@contextmanager
+def ordered_buckets(spark: SparkSession):
+    """Plans made within read sorted buckets of one file each as sorted."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(df: DataFrame) -> None:
-    """Deletes a table of `written` that no plan still to run reads."""
+    """Deletes a table of `written` or `bucketed` that no plan still to run reads."""
+    if name := getattr(df, "_scratch_name", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     _delete(df.sparkSession, df._scratch_path)
 
 
