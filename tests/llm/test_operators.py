@@ -24,7 +24,7 @@ from tallyboard.llm.components import roots
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-EXTRA = ("id", "h", "copy", "spans", "hot", "salt", "fp", "kept", "n", "_ld_n", "bucket", "version")
+EXTRA = ("id", "h", "copy", "spans", "hot", "salt", "fp", "kept", "n", "_ld_n", "_ld_id", "_ld_lost", "_LD_TEXT", "_dc_spans", "_dc_items", "_sd_id", "_SD_N", "_pk_id", "_pk_row", "_sh_id", "row", "bucket", "version", "like_id", "unit", "stream")
 
 
 def sha(text: str) -> str:
@@ -399,6 +399,38 @@ def test_line_dedup(spark, batches):
     assert set(docs.columns) <= set(got.columns)
 
 
+def test_line_dedup_string_ids_and_repeated_ids(spark):
+    line = "x" * 45
+    rows = [(k, f"{line}\nown {k}\n{line}") for k in range(10, 18)] + [(12, f"first\n{line}"), (12, f"{line}\nsecond")]
+    docs = frame(spark, rows).withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+    got = line_dedup.drop_common_lines(docs, batches=3)
+    assert sorted(((int(r.doc_id[4:]), r._ld_lines, r._ld_dropped, r.text or "") for r in got.collect()), key=repr) == lines_plainly(rows)
+
+
+def test_line_dedup_merges_runs_without_sorting_them_again(spark):
+    """A batch is sorted once; runs, whose buckets are sorted, are neither moved nor sorted."""
+    rows = spark.range(4000).select(F.col("id").alias("_ld_a"), (F.col("id") * 3).alias("_ld_b"), F.lit(1).cast("long").alias("_ld_n"), F.col("id").alias("_ld_last"))
+    keys = ["_ld_a", "_ld_b"]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with line_dedup.ordered_buckets(spark):
+            one, other = (line_dedup.bucketed(x.repartition(4, *keys), keys, 4) for x in (rows, rows.where("_ld_a % 2 = 0")))
+            plan = line_dedup._merged(one, other)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+            merged = line_dedup._merged(one, other)
+            assert merged.count() == 4000 and merged.where("_ld_n = 2").count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_line_dedup_is_linear_in_a_text_of_common_lines(spark):
+    """40,000 lines, all lost: a search of the list of lost lines for each line would take minutes."""
+    text = "\n".join(f"{k:050d}" for k in range(40_000))
+    got = line_dedup.drop_common_lines(frame(spark, [(k, text) for k in range(5)])).collect()
+    assert sorted((r.doc_id, r._ld_lines, r._ld_dropped) for r in got) == [*((k, 40_000, 40_000) for k in range(4)), (4, 40_000, 0)]
+
+
 def test_line_dedup_levels_and_empty(spark):
     rows = [(k, "x" * 50 + str(k % 10)) for k in range(200)]
     got = line_dedup.drop_common_lines(frame(spark, rows), batches=9)
