@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tallyboard.llm import bytearrays as B
 from tallyboard.llm.components import roots
+from tallyboard.llm.names import free
 from tallyboard.sources.scratch import written
 
 MOST_BITS = 3
@@ -272,7 +273,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 def keep_first(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with one row of each component: one with the least id. Rows without an id are all kept."""
     found = near_duplicates(docs, shingle, id_col, text_col)
-    first = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_sd_id")).distinct()
-    one = Window.partitionBy("_sd_id").orderBy(F.xxhash64(text_col))
-    kept = docs.join(first, F.col(id_col) == F.col("_sd_id")).withColumn("_sd_n", F.row_number().over(one)).where("_sd_n = 1")
-    return kept.drop("_sd_id", "_sd_n").unionByName(docs.where(F.col(id_col).isNull()))
+    own, n = free(docs, "_sd_id"), free(docs, "_sd_n")
+    first = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(own)).distinct()
+    one = Window.partitionBy(own).orderBy(F.xxhash64(text_col))
+    kept = docs.join(first, F.col(id_col) == F.col(own)).withColumn(n, F.row_number().over(one)).where(F.col(n) == 1)
+    return kept.drop(own, n).unionByName(docs.where(F.col(id_col).isNull()))
