@@ -10,8 +10,9 @@ last word there (the positional and length bounds). What is left is verified wor
 
 The benchmark is dealt by hash into as many blocks as keep each at about `BLOCK_WINDOWS` windows.
 The driver collects and broadcasts one block at a time, and the documents pass it without
-a shuffle: one pass counts the block's shingles over all documents, one joins. Between
-blocks the documents are written with what was found so far.
+a shuffle: one pass counts the block's shingles over all documents, one joins. Where there are several
+blocks the documents are written once with a number, and a block writes what it finds for those it finds in;
+this meets the documents at the end.
 
 Defined results: null and empty texts have no words; items without words have no windows; an
 item without an id takes part under an empty name; repeated items and repeated documents
@@ -21,6 +22,7 @@ count each by themselves; an empty benchmark marks nothing; documents' ids are n
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyboard.llm import bytearrays as B
+from tallyboard.llm.names import free
 from tallyboard.sources.scratch import written
 
 WINDOW, SHINGLE = 13, 3
@@ -36,7 +39,8 @@ BLOCK_WINDOWS = 200_000
 SHARE = 20
 _BITMAP = 1 << 22
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
-_FOUND = "_dc_words long, _dc_hit long, _dc_items array<string>, _dc_spans array<struct<start:int,n:int>>"
+_NAMES = ("_dc_words", "_dc_hit", "_dc_items", "_dc_spans")
+_TYPES = ("long", "long", "array<string>", "array<struct<start:int,n:int>>")
 
 
 def _words(column: pa.Array):
@@ -179,25 +183,48 @@ def _matches(block: Block, probe: _Probe, column: pa.Array):
     return window[exact], start[exact], first
 
 
-def _join(shared, text: str, columns: list[str], only_clean: bool):
-    """Adds what the block finds to the columns _dc_*; earlier blocks' finds come with the rows."""
+def _found(block: Block, probe: _Probe, column: pa.Array) -> tuple[list[list[dict]], list[set[str]], np.ndarray]:
+    """Of each row the spans and items found, and the rows' first words."""
+    spans, items = [[] for _ in range(len(column))], [set() for _ in range(len(column))]
+    window, start, first = _matches(block, probe, column)
+    row = np.searchsorted(first, start, side="right") - 1
+    for r, w, s in zip(row.tolist(), window.tolist(), (start - first[row]).tolist()):
+        spans[r].append({"start": s, "n": int(block.lengths[w])})
+        items[r].update(block.items[w])
+    return spans, items, first
+
+
+def _hits(shared, text: str, number: str):
+    """Rows (number, items, spans) of the documents in which the block finds anything."""
+
+    def run(batches):
+        block = shared.value
+        probe = _Probe(block.keys)
+        for batch in batches:
+            for part in B.chunks(batch, text):
+                spans, items, _ = _found(block, probe, part.column(text))
+                hit = [r for r, own in enumerate(spans) if own]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(number).take(pa.array(hit, pa.int64())), pa.array([sorted(items[r]) for r in hit], pa.list_(pa.string())), pa.array([spans[r] for r in hit], _SPANS)],
+                    names=[number, "items", "spans"],
+                )
+
+    return run
+
+
+def _join(shared, text: str, columns: list[str], only_clean: bool, names: tuple[str, ...], known: bool):
+    """Adds the columns `names`; what several blocks found comes with the rows, if it is `known`."""
 
     def run(batches):
         block = shared.value
         probe = _Probe(block.keys) if block is not None else None
         for batch in batches:
             for part in B.chunks(batch, text):
-                known = "_dc_spans" in part.schema.names
-                spans = part.column("_dc_spans").to_pylist() if known else [[] for _ in range(part.num_rows)]
-                items = [set(x) for x in part.column("_dc_items").to_pylist()] if known else [set() for _ in range(part.num_rows)]
                 if block is None:
                     *_, first, _ = _words(part.column(text))
+                    spans, items = ([x or [] for x in part.column(c).to_pylist()] if known else [[] for _ in range(part.num_rows)] for c in (names[3], names[2]))
                 else:
-                    window, start, first = _matches(block, probe, part.column(text))
-                    row = np.searchsorted(first, start, side="right") - 1
-                    for r, w, s in zip(row.tolist(), window.tolist(), (start - first[row]).tolist()):
-                        spans[r].append({"start": s, "n": int(block.lengths[w])})
-                        items[r].update(block.items[w])
+                    spans, items, first = _found(block, probe, part.column(text))
                 n_words = np.diff(first)
                 hit = np.zeros(part.num_rows, dtype=np.int64)
                 for r, own in enumerate(spans):
@@ -211,37 +238,44 @@ def _join(shared, text: str, columns: list[str], only_clean: bool):
                     clean = pa.array(~((hit > 0) & (SHARE * hit >= n_words)))
                     yield part.select(columns).filter(clean)
                 else:
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *added], names=[*columns, "_dc_words", "_dc_hit", "_dc_items", "_dc_spans"])
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *added], names=[*columns, *names])
 
     return run
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, text_col: str, columns: list[str], only_clean: bool, window: int, item_col: str, item_text: str, block_windows: int) -> DataFrame:
+def _search(docs: DataFrame, benchmark: DataFrame, text_col: str, columns: list[str], only_clean: bool, window: int, item_col: str, item_text: str, block_windows: int) -> tuple[DataFrame, tuple[str, ...]]:
+    """`columns` of `docs`, of clean rows alone or with four more columns, and the names of these."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
     windows = items.mapInArrow(_windows(window), "window string, n int, item string").groupBy("window", "n").agg(F.collect_set("item").alias("items"))
     windows = written(windows)
     n_blocks = max(1, -(-windows.count() // block_windows))
-    everything = docs.columns
+    names, number = tuple(free(docs, x) for x in _NAMES), free(docs, "_dc_number")
+    out = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    if not only_clean:
+        out = ", ".join([out, *(f"`{c}` {kind}" for c, kind in zip(names, _TYPES))])
 
-    def schema(names: list[str]) -> str:
-        return ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-
-    for k in range(n_blocks):
+    def block(k: int):
         rows = windows.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast(Block.of(rows) if rows else None)
-        if rows:
-            counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(shared), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            known = {int(h): n for h, n in zip(*(c.to_numpy() for c in _unsigned_columns(counts.toArrow())))}
-            shared = spark.sparkContext.broadcast(shared.value.ordered(known))
-        last = k == n_blocks - 1
-        names = columns if last else everything
-        out = schema(names) + ("" if last and only_clean else f", {_FOUND}" if names else _FOUND)
-        docs_k = docs.mapInArrow(_join(shared, text_col, names, last and only_clean), out)
-        if last:
-            return docs_k
-        docs = written(docs_k)
-    raise AssertionError
+        if not rows:
+            return None
+        shared = spark.sparkContext.broadcast(Block.of(rows))
+        counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(shared), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        known = {int(h): n for h, n in zip(*(c.to_numpy() for c in _unsigned_columns(counts.toArrow())))}
+        return spark.sparkContext.broadcast(shared.value.ordered(known))
+
+    nothing = spark.sparkContext.broadcast(None)
+    if n_blocks == 1:
+        return docs.mapInArrow(_join(block(0) or nothing, text_col, columns, only_clean, names, False), out), names
+    docs = written(docs.withColumn(number, F.monotonically_increasing_id()))
+    finds = []
+    for k in range(n_blocks):
+        if shared := block(k):
+            hits = docs.select(number, text_col).mapInArrow(_hits(shared, text_col, number), f"`{number}` long, items array<string>, spans {_TYPES[3]}")
+            finds.append(written(hits))
+    all_ = lambda c: F.flatten(F.collect_list(c))
+    each = reduce(DataFrame.unionByName, finds).groupBy(number).agg(F.array_distinct(all_("items")).alias(names[2]), all_("spans").alias(names[3]))
+    return docs.join(each, number, "left").mapInArrow(_join(nothing, text_col, columns, only_clean, names, True), out), names
 
 
 def _unsigned_columns(table: pa.Table):
@@ -253,14 +287,10 @@ def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """One row per row of `docs`: id, n_words, n_hit, items (ids of items with a window in it), spans of words, contaminated."""
-    found = _search(docs.select(id_col, text_col), benchmark, text_col, [id_col], False, window, item_col, item_text, block_windows)
+    found, names = _search(docs.select(id_col, text_col), benchmark, text_col, [id_col], False, window, item_col, item_text, block_windows)
+    words, hit, items, spans = (F.col(c) for c in names)
     return found.select(
-        id_col,
-        F.col("_dc_words").alias("n_words"),
-        F.col("_dc_hit").alias("n_hit"),
-        F.col("_dc_items").alias("items"),
-        F.col("_dc_spans").alias("spans"),
-        ((F.col("_dc_hit") > 0) & (SHARE * F.col("_dc_hit") >= F.col("_dc_words"))).alias("contaminated"),
+        id_col, words.alias("n_words"), hit.alias("n_hit"), items.alias("items"), spans.alias("spans"), ((hit > 0) & (SHARE * hit >= words)).alias("contaminated")
     )
 
 
@@ -268,4 +298,4 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """The rows of `docs` that are not contaminated, as they are."""
-    return _search(docs, benchmark, text_col, docs.columns, True, window, item_col, item_text, block_windows)
+    return _search(docs, benchmark, text_col, docs.columns, True, window, item_col, item_text, block_windows)[0]
