@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup
-from tallyboard.sources.scratch import written
+from tallyboard.llm.names import free
 from tallyboard.plans.shipping import ship
+from tallyboard.sources.scratch import written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +24,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.drop_common_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    names = {"lines_col": free(docs, "n_lines"), "dropped_col": free(docs, "n_dropped")}
+    kept = line_dedup.drop_common_lines(docs, **names).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(docs.columns)
 
 
