@@ -19,6 +19,7 @@ CHUNK_BYTES = 1 << 21
 
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
+_SECOND_BASE = 0x165667B19E3779F9
 _MASK = (1 << 64) - 1
 
 
@@ -59,7 +60,7 @@ class _Powers:
         return np.cumprod(out, dtype=np.uint64)
 
 
-_BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_BYTES, _WORDS, _SECOND = _Powers(_BYTE_BASE), _Powers(_WORD_BASE), _Powers(_SECOND_BASE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -127,14 +128,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """The hash of words[i : i + length] for every i that has so many words after it."""
+def window_hashes(words: np.ndarray, length: int, second: bool = False) -> np.ndarray:
+    """The hash of words[i : i + length] for every i that has so many words after it; `second` gives one of another base over other values."""
     n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _WORDS.get(len(words) + 1)
+    up, down = (_SECOND if second else _WORDS).get(len(words) + 1)
     prefix = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * up[:-1], out=prefix[1:])
+    np.cumsum((mix(words) if second else words) * up[:-1], out=prefix[1:])
     return mix((prefix[length:] - prefix[:n]) * down[:n])
 
 
@@ -180,6 +181,23 @@ def sorted_member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
+def pair_member(first: np.ndarray, second: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which pairs of values are among `pairs`."""
+    order = np.argsort(pairs[0], kind="stable")
+    one, two = (x[order] for x in pairs)
+    out = np.zeros(len(first), dtype=bool)
+    maybe = np.flatnonzero(sorted_member(first, one))
+    while len(maybe):
+        at = np.searchsorted(one, first[maybe])
+        same = two[at] == second[maybe]
+        out[maybe[same]] = True
+        # What is left has a first value that stands in several pairs: those looked at go.
+        maybe, seen = maybe[~same], np.unique(at[~same])
+        one, two = np.delete(one, seen), np.delete(two, seen)
+        maybe = maybe[sorted_member(first[maybe], one)]
+    return out
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

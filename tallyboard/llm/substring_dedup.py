@@ -12,7 +12,8 @@ Rows and sizes. Seeds and candidates travel as pairs of a hash and an id; texts
 by document. Documents with exactly the same text as an earlier one are taken whole from
 the class of equal texts and send no windows. A seed held by more than `hot` documents has
 the rows of its windows dealt over salts: within one salt all but the smallest id are settled, and the
-smallest ids meet in a second, small step. Hashes have 64 bits; equal hashes count as equal windows.
+smallest ids meet in a second, small step. Seeds have hashes of 64 bits, which only choose what is
+compared; windows are compared by two such hashes of different bases, and count as equal if both are.
 
 Defined results: a null text has no words; a null id neither removes nor loses words; rows
 that share an id are one document's and do not remove each other's words, and being a whole copy
@@ -72,7 +73,7 @@ def _seeds(window: int, seed: int):
 
 def _candidates(window: int, seed: int):
     """Windows whose seed is repeated; hot ones are told apart so that they can be salted."""
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("hot", pa.bool_())])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int64()), ("hot", pa.bool_())])
 
     def run(batches):
         for batch in batches:
@@ -81,24 +82,26 @@ def _candidates(window: int, seed: int):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 words, first = _chunk_words(part)
                 least = _seed_of_windows(words, seed, window)
-                hashes = B.window_hashes(words, window)
+                hashes, second = B.window_hashes(words, window), B.window_hashes(words, window, second=True)
                 cold, hot = part.column("cold"), part.column("hot")
-                ids_out, h_out, hot_out = [], [], []
+                ids_out, h_out, g_out, hot_out = [], [], [], []
                 for i in range(part.num_rows):
                     own = slice(first[i], max(first[i], first[i + 1] - window + 1))
                     for seeds, is_hot in ((cold[i].values, False), (hot[i].values, True)):
                         if seeds is None or not len(seeds) or own.stop <= own.start:
                             continue
                         table = np.sort(B.unsigned(seeds.to_numpy(zero_copy_only=False)))
-                        found = np.unique(hashes[own][B.sorted_member(least[own], table)])
-                        ids_out.append(np.full(len(found), ids[i], dtype=np.int64))
-                        h_out.append(found)
-                        hot_out.append(np.full(len(found), is_hot))
+                        at = np.flatnonzero(B.sorted_member(least[own], table)) + own.start
+                        at = at[np.unique(hashes[at], return_index=True)[1]]
+                        ids_out.append(np.full(len(at), ids[i], dtype=np.int64))
+                        h_out.append(hashes[at])
+                        g_out.append(second[at])
+                        hot_out.append(np.full(len(at), is_hot))
                 if h_out:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(ids_out)),
-                            pa.array(B.signed(np.concatenate(h_out))),
+                            *(pa.array(B.signed(np.concatenate(x))) for x in (h_out, g_out)),
                             pa.array(np.concatenate(hot_out)),
                         ],
                         schema=schema,
@@ -107,6 +110,10 @@ def _candidates(window: int, seed: int):
     return run
 
 
+def _pairs(structs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(B.unsigned(structs.field(c).to_numpy(zero_copy_only=False)) for c in ("h", "g"))
+
+
 def _strip(window: int):
     schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
@@ -114,7 +121,7 @@ def _strip(window: int):
         for batch in batches:
             for part in B.chunks(batch, "text"):
                 words, first = _chunk_words(part)
-                hashes = B.window_hashes(words, window)
+                hashes, second = B.window_hashes(words, window), B.window_hashes(words, window, second=True)
                 repeats, copies = part.column("repeats"), part.column("copy").to_pylist()
                 counts, removed, kept = np.diff(first), [], []
                 for i, text in enumerate(B.row_bytes(part.column("text"))):
@@ -122,9 +129,8 @@ def _strip(window: int):
                     if copies[i] and n >= window:
                         lost, tokens = n, []
                     elif n >= window and (seen := repeats[i].values) is not None and len(seen):
-                        table = np.sort(B.unsigned(seen.to_numpy(zero_copy_only=False)))
-                        own = hashes[first[i] : first[i + 1] - window + 1]
-                        gone = B.covered(np.flatnonzero(B.sorted_member(own, table)), window, n)
+                        own = slice(first[i], first[i + 1] - window + 1)
+                        gone = B.covered(np.flatnonzero(B.pair_member(hashes[own], second[own], _pairs(seen))), window, n)
                         lost, tokens = int(gone.sum()), list(compress(tokens, (~gone).tolist()))
                     removed.append(lost)
                     kept.append(b" ".join(tokens).decode())
@@ -138,33 +144,35 @@ def _strip(window: int):
 
 def _doubled(length: int):
     """Windows of twice the length both of whose halves are repeated."""
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64())])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for part in B.chunks(batch, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 words, first = _chunk_words(part)
-                halves, wholes = B.window_hashes(words, length), B.window_hashes(words, 2 * length)
-                out_ids, out_h = [], []
+                halves, wholes = ([B.window_hashes(words, n, second=x) for x in (False, True)] for n in (length, 2 * length))
+                out_ids, out = [], ([], [])
                 for i, known in enumerate(part.column("known")):
                     n = int(first[i + 1] - first[i]) - 2 * length + 1
                     if n > 0:
-                        table = np.sort(B.unsigned(known.values.to_numpy(zero_copy_only=False)))
-                        held = B.sorted_member(halves[first[i] : first[i] + n + length], table)
-                        found = np.unique(wholes[first[i] : first[i] + n][held[:n] & held[length:]])
-                        out_h.append(found)
-                        out_ids.append(np.full(len(found), ids[i], dtype=np.int64))
-                if out_h:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_ids)), pa.array(B.signed(np.concatenate(out_h)))], schema=schema)
+                        own = slice(first[i], first[i] + n + length)
+                        held = B.pair_member(halves[0][own], halves[1][own], _pairs(known.values))
+                        at = np.flatnonzero(held[:n] & held[length:]) + first[i]
+                        at = at[np.unique(wholes[0][at], return_index=True)[1]]
+                        for column, values in zip(out, wholes):
+                            column.append(values[at])
+                        out_ids.append(np.full(len(at), ids[i], dtype=np.int64))
+                if out_ids:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_ids)), *(pa.array(B.signed(np.concatenate(x))) for x in out)], schema=schema)
 
     return run
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Rows (id, h) whose window another document has too; hashes are counted before they meet the rows."""
-    found = rows.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h")
-    return rows.join(found, "h").select("id", "h")
+    """Rows (id, h, g) whose window another document has too; hashes are counted before they meet the rows."""
+    found = rows.groupBy("h", "g").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h", "g")
+    return rows.join(found, ["h", "g"]).select("id", "h", "g")
 
 
 def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,13 +181,13 @@ def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     Documents without such a window have no row. A level is a table of the hashes that survive; the loop ends with the first empty one.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    rows = written(_shared(_level_two(base, base.mapInArrow(_seeds(window, max(1, window // 2)), "id long, h long"), window, 0).select("id", "h")))
+    rows = written(_shared(_level_two(base, base.mapInArrow(_seeds(window, max(1, window // 2)), "id long, h long"), window, 0).select("id", "h", "g")))
     length, found = window, None
     while not rows.isEmpty():
         here = rows.select("id").distinct().withColumn("longest", F.lit(length))
         found = here if found is None else found.unionByName(here)
-        known = rows.groupBy("id").agg(F.collect_set("h").alias("known"))
-        rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long").distinct()))
+        known = rows.groupBy("id").agg(F.collect_set(F.struct("h", "g")).alias("known"))
+        rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long, g long").distinct()))
         length *= 2
     if found is None:
         return base.select(F.col("id").alias(id_col), F.lit(0).alias("longest")).limit(0)
@@ -196,7 +204,7 @@ def _is_copy() -> Column:
 
 
 def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies: DataFrame | None = None) -> DataFrame:
-    """Candidates (id, h, hot): the wanted windows whose selected half is repeated; none of documents that are whole copies."""
+    """Candidates (id, h, g, hot): the wanted windows whose selected half is repeated; none of documents that are whole copies."""
     repeated = (
         seeds.groupBy("h")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
@@ -214,7 +222,7 @@ def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies:
     # No filter after the left joins: both then read the one exchange of the texts.
     own = ~_is_copy()
     joined = base.join(per_doc, "id", "left").select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
-    return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, hot boolean")
+    return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, g long, hot boolean")
 
 
 def remove_repeats(
@@ -232,17 +240,18 @@ def remove_repeats(
     seeds = known.mapInArrow(_seeds(window, seed), "id long, h long")
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0))
     candidates = _level_two(base, seeds, window, hot, copies).withColumn("salt", salt)
-    settled = candidates.withColumn("least", F.min("id").over(Window.partitionBy("h", "salt")))
-    within = settled.where("id > least").select("id", "h")
+    settled = candidates.withColumn("least", F.min("id").over(Window.partitionBy("h", "g", "salt")))
+    within = settled.where("id > least").select("id", "h", "g")
     between = (
         settled.where("hot and id = least")
-        .select("id", "h")
-        .withColumn("least", F.min("id").over(Window.partitionBy("h")))
+        .select("id", "h", "g")
+        .withColumn("least", F.min("id").over(Window.partitionBy("h", "g")))
         .where("id > least")
-        .select("id", "h")
+        .select("id", "h", "g")
     )
-    repeats = within.union(between).select("id", "h", F.lit(None).cast("binary").alias("d")).unionByName(copies.select("id", "h", "d"))
-    found = repeats.groupBy("id").agg(F.collect_list("h").alias("repeats"), F.collect_set("d").alias("copies"))
+    window_ = F.struct("h", "g")
+    repeats = within.union(between).select("id", window_.alias("w"), F.lit(None).cast("binary").alias("d")).unionByName(copies.select("id", F.lit(None).cast("struct<h:bigint,g:bigint>").alias("w"), "d"))
+    found = repeats.groupBy("id").agg(F.collect_list("w").alias("repeats"), F.collect_set("d").alias("copies"))
     return (
         base.join(found, "id", "left")
         .select("id", "text", "repeats", _is_copy().alias("copy"))

@@ -85,6 +85,16 @@ def test_word_spans_and_hashes_agree_with_words():
     assert len(set(wins.tolist())) == len({tuple(words[i : i + 3]) for i in range(len(words) - 2)})
 
 
+def test_pairs_are_told_apart_by_both_values():
+    rng = np.random.default_rng(8)
+    table = tuple(rng.integers(0, 6, 40).astype(np.uint64) for _ in range(2))
+    first, second = (rng.integers(0, 8, 300).astype(np.uint64) for _ in range(2))
+    known = set(zip(*(x.tolist() for x in table)))
+    assert B.pair_member(first, second, table).tolist() == [p in known for p in zip(first.tolist(), second.tolist())]
+    none = np.zeros(0, np.uint64)
+    assert not B.pair_member(first, second, (none, none)).any() and not len(B.pair_member(none, none, table))
+
+
 @pytest.mark.parametrize("width", [1, 2, 3, 7, 26])
 def test_sliding_min(width):
     values = np.random.default_rng(width).integers(0, 1000, 200).astype(np.uint64)
