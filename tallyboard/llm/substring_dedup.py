@@ -13,7 +13,7 @@ by document. Documents with exactly the same text as an earlier one are taken wh
 the class of equal texts and send no windows. A seed held by more than `hot` documents has
 the rows of its windows dealt over salts: within one salt all but the smallest id are settled, and the
 smallest ids meet in a second, small step. Seeds have hashes of 64 bits, which only choose what is
-compared; windows are compared by two such hashes of different bases, and count as equal if both are.
+compared; windows are compared by such a hash and 32 bits of another of a different base, and count as equal if both are.
 
 Defined results: a null text has no words; a null id neither removes nor loses words; rows
 that share an id are one document's and do not remove each other's words, and being a whole copy
@@ -43,6 +43,11 @@ def _seed_of_windows(words: np.ndarray, seed: int, window: int) -> np.ndarray:
     return B.sliding_min(hashes, width) if len(hashes) >= width else np.zeros(0, np.uint64)
 
 
+def _second(words: np.ndarray, length: int) -> np.ndarray:
+    """The upper 32 bits of the windows' second hash."""
+    return (B.window_hashes(words, length, second=True) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _chunk_words(batch: pa.RecordBatch):
     data, at = B.text_buffers(batch.column("text"))
     starts, ends, first = B.word_spans(data, at, B.WHITE)
@@ -73,7 +78,7 @@ def _seeds(window: int, seed: int):
 
 def _candidates(window: int, seed: int):
     """Windows whose seed is repeated; hot ones are told apart so that they can be salted."""
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int64()), ("hot", pa.bool_())])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int32()), ("hot", pa.bool_())])
 
     def run(batches):
         for batch in batches:
@@ -82,7 +87,7 @@ def _candidates(window: int, seed: int):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 words, first = _chunk_words(part)
                 least = _seed_of_windows(words, seed, window)
-                hashes, second = B.window_hashes(words, window), B.window_hashes(words, window, second=True)
+                hashes, second = B.window_hashes(words, window), _second(words, window)
                 cold, hot = part.column("cold"), part.column("hot")
                 ids_out, h_out, g_out, hot_out = [], [], [], []
                 for i in range(part.num_rows):
@@ -101,7 +106,8 @@ def _candidates(window: int, seed: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(ids_out)),
-                            *(pa.array(B.signed(np.concatenate(x))) for x in (h_out, g_out)),
+                            pa.array(B.signed(np.concatenate(h_out))),
+                            pa.array(np.concatenate(g_out)),
                             pa.array(np.concatenate(hot_out)),
                         ],
                         schema=schema,
@@ -111,7 +117,7 @@ def _candidates(window: int, seed: int):
 
 
 def _pairs(structs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(B.unsigned(structs.field(c).to_numpy(zero_copy_only=False)) for c in ("h", "g"))
+    return B.unsigned(structs.field("h").to_numpy(zero_copy_only=False)), structs.field("g").to_numpy(zero_copy_only=False)
 
 
 def _strip(window: int):
@@ -121,7 +127,7 @@ def _strip(window: int):
         for batch in batches:
             for part in B.chunks(batch, "text"):
                 words, first = _chunk_words(part)
-                hashes, second = B.window_hashes(words, window), B.window_hashes(words, window, second=True)
+                hashes, second = B.window_hashes(words, window), _second(words, window)
                 repeats, copies = part.column("repeats"), part.column("copy").to_pylist()
                 counts, removed, kept = np.diff(first), [], []
                 for i, text in enumerate(B.row_bytes(part.column("text"))):
@@ -144,14 +150,14 @@ def _strip(window: int):
 
 def _doubled(length: int):
     """Windows of twice the length both of whose halves are repeated."""
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int64())])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("g", pa.int32())])
 
     def run(batches):
         for batch in batches:
             for part in B.chunks(batch, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
                 words, first = _chunk_words(part)
-                halves, wholes = ([B.window_hashes(words, n, second=x) for x in (False, True)] for n in (length, 2 * length))
+                halves, wholes = ((B.window_hashes(words, n), _second(words, n)) for n in (length, 2 * length))
                 out_ids, out = [], ([], [])
                 for i, known in enumerate(part.column("known")):
                     n = int(first[i + 1] - first[i]) - 2 * length + 1
@@ -164,7 +170,8 @@ def _doubled(length: int):
                             column.append(values[at])
                         out_ids.append(np.full(len(at), ids[i], dtype=np.int64))
                 if out_ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_ids)), *(pa.array(B.signed(np.concatenate(x))) for x in out)], schema=schema)
+                    h, g = (np.concatenate(x) for x in out)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_ids)), pa.array(B.signed(h)), pa.array(g)], schema=schema)
 
     return run
 
@@ -187,7 +194,7 @@ def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
         here = rows.select("id").distinct().withColumn("longest", F.lit(length))
         found = here if found is None else found.unionByName(here)
         known = rows.groupBy("id").agg(F.collect_set(F.struct("h", "g")).alias("known"))
-        rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long, g long").distinct()))
+        rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long, g int").distinct()))
         length *= 2
     if found is None:
         return base.select(F.col("id").alias(id_col), F.lit(0).alias("longest")).limit(0)
@@ -222,7 +229,7 @@ def _level_two(base: DataFrame, seeds: DataFrame, window: int, hot: int, copies:
     # No filter after the left joins: both then read the one exchange of the texts.
     own = ~_is_copy()
     joined = base.join(per_doc, "id", "left").select("id", "text", F.when(own, F.col("cold")).alias("cold"), F.when(own, F.col("hot")).alias("hot"))
-    return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, g long, hot boolean")
+    return joined.mapInArrow(_candidates(window, max(1, window // 2)), "id long, h long, g int, hot boolean")
 
 
 def remove_repeats(
@@ -250,7 +257,7 @@ def remove_repeats(
         .select("id", "h", "g")
     )
     window_ = F.struct("h", "g")
-    repeats = within.union(between).select("id", window_.alias("w"), F.lit(None).cast("binary").alias("d")).unionByName(copies.select("id", F.lit(None).cast("struct<h:bigint,g:bigint>").alias("w"), "d"))
+    repeats = within.union(between).select("id", window_.alias("w"), F.lit(None).cast("binary").alias("d")).unionByName(copies.select("id", F.lit(None).cast("struct<h:bigint,g:int>").alias("w"), "d"))
     found = repeats.groupBy("id").agg(F.collect_list("w").alias("repeats"), F.collect_set("d").alias("copies"))
     return (
         base.join(found, "id", "left")
