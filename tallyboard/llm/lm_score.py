@@ -58,12 +58,20 @@ _SCALE = float(1 << 20)
 # ---------------------------------------------------------------- the network
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
     return x
 
 
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One entry of each row's log-softmax."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 @dataclass
 class Network:
     """tables: (places, TOKENS + 1, HIDDEN); hidden bias; classes (HIDDEN, CLASSES) with bias; members (CLASSES, HIDDEN, MEMBERS) with bias."""
@@ -103,9 +111,9 @@ class Network:
         for low in range(0, len(middle), step):
             own = middle[low : low + step]
             h = self._hidden(context[:, low : low + step])
-            p = _log_softmax(h @ w_class + b_class)[np.arange(len(own)), own // MEMBERS]
+            p = _log_softmax_at(h @ w_class + b_class, own // MEMBERS)
             for c, rows in self._by_class(own):
-                p[rows] += _log_softmax(h[rows] @ w_member[c] + b_member[c])[np.arange(len(rows)), own[rows] % MEMBERS]
+                p[rows] += _log_softmax_at(h[rows] @ w_member[c] + b_member[c], own[rows] % MEMBERS)
             out[low : low + step] = p
         return out
 
@@ -115,14 +123,14 @@ class Network:
         n = len(middle)
         share = (weight / weight.sum()).astype(np.float32)[:, None]
         h = self._hidden(context)
-        d = np.exp(_log_softmax(h @ w_class + self.weights[3]))
+        d = _softmax(h @ w_class + self.weights[3])
         d[np.arange(n), middle // MEMBERS] -= 1
         d *= share
         dh = d @ w_class.T
         out = [np.zeros_like(tables), None, h.T @ d, d.sum(axis=0), np.zeros_like(w_member), np.zeros_like(b_member)]
         for c, rows in self._by_class(middle):
             own = h[rows]
-            m = np.exp(_log_softmax(own @ w_member[c] + b_member[c]))
+            m = _softmax(own @ w_member[c] + b_member[c])
             m[np.arange(len(rows)), middle[rows] % MEMBERS] -= 1
             m *= share[rows]
             out[4][c], out[5][c] = own.T @ m, m.sum(axis=0)
