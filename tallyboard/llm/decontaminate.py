@@ -14,6 +14,10 @@ a shuffle: one pass counts the block's shingles over all documents, one joins. W
 blocks the documents are written once with a number, and a block writes what it finds for those it finds in;
 this meets the documents at the end.
 
+Blocks and documents carry numbers of windows, never lists of items: a window's items stay in a table, however
+many share it. Documents in which the same windows were found have the same items, which are looked up once for each distinct set
+of windows. `drop_contaminated` looks up none. Only the result's own list of a document's items is in one row.
+
 Defined results: null and empty texts have no words; items without words have no windows; an
 item without an id takes part under an empty name; repeated items and repeated documents
 count each by themselves; an empty benchmark marks nothing; documents' ids are not read.
@@ -39,8 +43,8 @@ BLOCK_WINDOWS = 200_000
 SHARE = 20
 _BITMAP = 1 << 22
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
-_NAMES = ("_dc_words", "_dc_hit", "_dc_items", "_dc_spans")
-_TYPES = ("long", "long", "array<string>", "array<struct<start:int,n:int>>")
+_NAMES = ("_dc_words", "_dc_hit", "_dc_windows", "_dc_spans")
+_TYPES = ("long", "long", "array<long>", "array<struct<start:int,n:int>>")
 
 
 def _words(column: pa.Array):
@@ -79,7 +83,8 @@ class Block:
     texts: list[bytes]
     lengths: np.ndarray
     hashes: np.ndarray
-    items: list[list[str]]
+    #: The windows' numbers in the table of windows.
+    numbers: np.ndarray
     #: For each window its shingles' hashes; shorter than SHINGLE words, the window itself.
     shingles: list[np.ndarray]
     #: After `ordered`: the sorted rarest shingles, the windows of each, and its place in each window.
@@ -95,7 +100,7 @@ class Block:
         own = [words[a:b] for a, b in zip(first, first[1:])]
         hashes = np.array([B.window_hashes(w, len(w))[0] for w in own], dtype=np.uint64)
         shingles = [B.window_hashes(w, min(SHINGLE, len(w))) for w in own]
-        return Block(texts, lengths, hashes, [sorted(r["items"]) for r in rows], shingles)
+        return Block(texts, lengths, hashes, np.array([r["number"] for r in rows], dtype=np.int64), shingles)
 
     def widths(self) -> list[int]:
         return sorted({int(min(SHINGLE, n)) for n in self.lengths})
@@ -108,7 +113,7 @@ class Block:
         keys, first = np.unique(rarest[order], return_index=True)
         pick = lambda x: [x[i] for i in order]
         return Block(
-            pick(self.texts), self.lengths[order], self.hashes[order], pick(self.items), pick(self.shingles), keys, np.concatenate([first, [len(order)]]), place[order]
+            pick(self.texts), self.lengths[order], self.hashes[order], self.numbers[order], pick(self.shingles), keys, np.concatenate([first, [len(order)]]), place[order]
         )
 
 
@@ -183,30 +188,30 @@ def _matches(block: Block, probe: _Probe, column: pa.Array):
     return window[exact], start[exact], first
 
 
-def _found(block: Block, probe: _Probe, column: pa.Array) -> tuple[list[list[dict]], list[set[str]], np.ndarray]:
-    """Of each row the spans and items found, and the rows' first words."""
-    spans, items = [[] for _ in range(len(column))], [set() for _ in range(len(column))]
+def _found(block: Block, probe: _Probe, column: pa.Array) -> tuple[list[list[dict]], list[set[int]], np.ndarray]:
+    """Of each row the spans and the numbers of the windows found, and the rows' first words."""
+    spans, windows = [[] for _ in range(len(column))], [set() for _ in range(len(column))]
     window, start, first = _matches(block, probe, column)
     row = np.searchsorted(first, start, side="right") - 1
     for r, w, s in zip(row.tolist(), window.tolist(), (start - first[row]).tolist()):
         spans[r].append({"start": s, "n": int(block.lengths[w])})
-        items[r].update(block.items[w])
-    return spans, items, first
+        windows[r].add(int(block.numbers[w]))
+    return spans, windows, first
 
 
 def _hits(shared, text: str, number: str):
-    """Rows (number, items, spans) of the documents in which the block finds anything."""
+    """Rows (number, windows, spans) of the documents in which the block finds anything."""
 
     def run(batches):
         block = shared.value
         probe = _Probe(block.keys)
         for batch in batches:
             for part in B.chunks(batch, text):
-                spans, items, _ = _found(block, probe, part.column(text))
+                spans, windows, _ = _found(block, probe, part.column(text))
                 hit = [r for r, own in enumerate(spans) if own]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(number).take(pa.array(hit, pa.int64())), pa.array([sorted(items[r]) for r in hit], pa.list_(pa.string())), pa.array([spans[r] for r in hit], _SPANS)],
-                    names=[number, "items", "spans"],
+                    [part.column(number).take(pa.array(hit, pa.int64())), pa.array([sorted(windows[r]) for r in hit], pa.list_(pa.int64())), pa.array([spans[r] for r in hit], _SPANS)],
+                    names=[number, "windows", "spans"],
                 )
 
     return run
@@ -222,9 +227,9 @@ def _join(shared, text: str, columns: list[str], only_clean: bool, names: tuple[
             for part in B.chunks(batch, text):
                 if block is None:
                     *_, first, _ = _words(part.column(text))
-                    spans, items = ([x or [] for x in part.column(c).to_pylist()] if known else [[] for _ in range(part.num_rows)] for c in (names[3], names[2]))
+                    spans, windows = ([x or [] for x in part.column(c).to_pylist()] if known else [[] for _ in range(part.num_rows)] for c in (names[3], names[2]))
                 else:
-                    spans, items, first = _found(block, probe, part.column(text))
+                    spans, windows, first = _found(block, probe, part.column(text))
                 n_words = np.diff(first)
                 hit = np.zeros(part.num_rows, dtype=np.int64)
                 for r, own in enumerate(spans):
@@ -233,7 +238,7 @@ def _join(shared, text: str, columns: list[str], only_clean: bool, names: tuple[
                         for s in own:
                             mark[s["start"] : s["start"] + s["n"]] = True
                         hit[r] = mark.sum()
-                added = [pa.array(n_words, pa.int64()), pa.array(hit), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, _SPANS)]
+                added = [pa.array(n_words, pa.int64()), pa.array(hit), pa.array([sorted(x) for x in windows], pa.list_(pa.int64())), pa.array(spans, _SPANS)]
                 if only_clean:
                     clean = pa.array(~((hit > 0) & (SHARE * hit >= n_words)))
                     yield part.select(columns).filter(clean)
@@ -243,12 +248,16 @@ def _join(shared, text: str, columns: list[str], only_clean: bool, names: tuple[
     return run
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, text_col: str, columns: list[str], only_clean: bool, window: int, item_col: str, item_text: str, block_windows: int) -> tuple[DataFrame, tuple[str, ...]]:
+def _read_windows(benchmark: DataFrame, window: int, item_col: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """The benchmark's distinct windows (window, n, number), and which items have each: rows (window, item), one for each pair."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
+    pairs = written(items.mapInArrow(_windows(window), "window string, n int, item string").distinct())
+    return written(pairs.select("window", "n").distinct().withColumn("number", F.monotonically_increasing_id())), pairs.select("window", "item")
+
+
+def _search(docs: DataFrame, windows: DataFrame, text_col: str, columns: list[str], only_clean: bool, block_windows: int) -> tuple[DataFrame, tuple[str, ...]]:
     """`columns` of `docs`, of clean rows alone or with four more columns, and the names of these."""
     spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
-    windows = items.mapInArrow(_windows(window), "window string, n int, item string").groupBy("window", "n").agg(F.collect_set("item").alias("items"))
-    windows = written(windows)
     n_blocks = max(1, -(-windows.count() // block_windows))
     names, number = tuple(free(docs, x) for x in _NAMES), free(docs, "_dc_number")
     out = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
@@ -271,10 +280,10 @@ def _search(docs: DataFrame, benchmark: DataFrame, text_col: str, columns: list[
     finds = []
     for k in range(n_blocks):
         if shared := block(k):
-            hits = docs.select(number, text_col).mapInArrow(_hits(shared, text_col, number), f"`{number}` long, items array<string>, spans {_TYPES[3]}")
+            hits = docs.select(number, text_col).mapInArrow(_hits(shared, text_col, number), f"`{number}` long, windows {_TYPES[2]}, spans {_TYPES[3]}")
             finds.append(written(hits))
     all_ = lambda c: F.flatten(F.collect_list(c))
-    each = reduce(DataFrame.unionByName, finds).groupBy(number).agg(F.array_distinct(all_("items")).alias(names[2]), all_("spans").alias(names[3]))
+    each = reduce(DataFrame.unionByName, finds).groupBy(number).agg(all_("windows").alias(names[2]), all_("spans").alias(names[3]))
     return docs.join(each, number, "left").mapInArrow(_join(nothing, text_col, columns, only_clean, names, True), out), names
 
 
@@ -287,15 +296,27 @@ def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """One row per row of `docs`: id, n_words, n_hit, items (ids of items with a window in it), spans of words, contaminated."""
-    found, names = _search(docs.select(id_col, text_col), benchmark, text_col, [id_col], False, window, item_col, item_text, block_windows)
-    words, hit, items, spans = (F.col(c) for c in names)
-    return found.select(
-        id_col, words.alias("n_words"), hit.alias("n_hit"), items.alias("items"), spans.alias("spans"), ((hit > 0) & (SHARE * hit >= words)).alias("contaminated")
-    )
+    windows, owners = _read_windows(benchmark, window, item_col, item_text)
+    found, names = _search(docs.select(id_col, text_col), windows, text_col, [id_col], False, block_windows)
+    words, hit, which, spans = names
+    key, items = free(found, "_dc_set"), free(found, "_dc_items")
+    found = written(found.withColumn(which, F.array_sort(which)))
+    # A set of windows is a key that many documents may share: their items are listed once, and documents without any take no part.
+    sets = found.where(F.size(which) > 0).select(F.col(which).alias(key)).distinct()
+    pairs = sets.withColumn("number", F.explode(key)).join(windows, "number").join(owners, "window")
+    listed = pairs.groupBy(key).agg(F.array_sort(F.collect_set("item")).alias(items))
+    some = found.where(F.size(which) > 0).join(listed, F.col(which) == F.col(key))
+    none = found.where(F.size(which) == 0).withColumn(items, F.array().cast("array<string>"))
+
+    def named(rows: DataFrame) -> DataFrame:
+        out = [rows[id_col], rows[words].alias("n_words"), rows[hit].alias("n_hit"), rows[items].alias("items"), rows[spans].alias("spans")]
+        return rows.select(*out, ((rows[hit] > 0) & (SHARE * rows[hit] >= rows[words])).alias("contaminated"))
+
+    return named(some).unionAll(named(none))
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """The rows of `docs` that are not contaminated, as they are."""
-    return _search(docs, benchmark, text_col, docs.columns, True, window, item_col, item_text, block_windows)[0]
+    return _search(docs, _read_windows(benchmark, window, item_col, item_text)[0], text_col, docs.columns, True, block_windows)[0]

@@ -264,6 +264,20 @@ def test_decontaminate_empty_tables(spark):
     assert decontaminate.find_contamination(frame(spark, []), full).count() == 0
 
 
+@pytest.mark.parametrize("block", [200_000, 9])
+def test_a_sentence_of_every_item_stays_out_of_the_blocks(spark, block):
+    """A window of 400 items is one row of the windows' table, and 50 documents with it share one list of items."""
+    bench = [(f"i{k:03}", f"{SHARED} tail{k}") for k in range(400)]
+    rows = [(k, f"head{k} {SHARED} end") for k in range(50)] + [(60, f"x {SHARED} tail7"), (61, "nothing of it"), (62, None)]
+    table = spark.createDataFrame(bench, "item_id string, text string")
+    windows, owners = decontaminate._read_windows(table, 13, "item_id", "text")
+    assert windows.groupBy("window").count().where("count > 1").count() == 0 and "item" not in windows.columns
+    docs = spark.createDataFrame(rows, "item long, text string")
+    found = decontaminate.find_contamination(docs, table, id_col="item", block_windows=block)
+    got = sorted(((r["item"], r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in found.collect()), key=repr)
+    assert got == contaminated_plainly(rows, bench) and len(got[0][3]) == 400
+
+
 # ---------------------------------------------------------------- 4
 
 
