@@ -90,3 +90,8 @@ def poll_message(decided: DataFrame, key: str) -> DataFrame:
     return decided.groupBy(key).agg(F.count_if("write").alias("writes"), F.count_if("changed").alias("changes")).withColumn(
         "message", F.concat(F.col(key).cast("string"), F.lit(": "), F.col("changes").cast("string"), F.lit(" moved, "), (F.col("writes") - F.col("changes")).cast("string"), F.lit(" heartbeat"))
     )
+
+
+def shared_keys(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that both periods have."""
+    return after.select(*keys).intersect(before.select(*keys))

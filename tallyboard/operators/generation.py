@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,27 @@ def note(planned: DataFrame) -> DataFrame:
         .otherwise("cash rounding is left open: no rule explains every row")
     )
     return planned.where("fate = 'write'").withColumn("note", F.concat_ws(". ", F.concat(F.lit("site "), F.col("site"), F.lit(", location "), F.col("location_id")), rounding))
+
+
+def written_ids(spark, folder: str) -> DataFrame:
+    """Ids of the manifests in a folder; none where there is no folder yet."""
+    try:
+        return spark.read.schema("id string, enabled boolean").json(folder).select("id").distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "id string")
+
+
+def write_manifests(noted: DataFrame, folder: str) -> None:
+    """The manifests of `note` as JSON, each in a folder of its id, all switched off. One that is there is never overwritten.
+
+    Of several entries with one id the least by site and location is written.
+    """
+    spark = noted.sparkSession
+    rank = F.struct("site", "location_id")
+    rows = noted.where("fate = 'write'").select("id", "operator", "location", F.col("site").alias("siteId"), F.col("location_id").alias("locationId"), F.col("cash_rounding").alias("cashRounding"), F.col("in_merge").alias("inMerge"), F.lit(False).alias("enabled"), "note", rank.alias("_rank"))
+    kept = [c for c in rows.columns if c not in ("id", "_rank")]
+    one = rows.groupBy("id").agg(F.min_by(F.struct(*kept), "_rank").alias("m")).select("id", "m.*")
+    new = one.join(written_ids(spark, folder), "id", "left_anti")
+    new.write.mode("append").partitionBy("id").json(folder)

@@ -103,6 +103,32 @@ def failing_stamps(rows: DataFrame) -> DataFrame:
     return marked.groupBy("source_id").agg(stamps(True).alias("failed_at"), stamps(False).alias("ok_at"))
 
 
+def worst_failure(rows: DataFrame) -> DataFrame:
+    """Per source the failing row with the largest gap, the first of equal ones: source_id, worst_cents, seq."""
+    failing = rows.where(fails_identity()).select("source_id", "seq", F.abs(signed_cents()).alias("off"))
+    worst = F.max(F.struct("off", (-F.col("seq")).alias("back")))
+    return failing.groupBy("source_id").agg(worst.alias("w")).select("source_id", F.col("w.off").alias("worst_cents"), (-F.col("w.back")).alias("seq"))
+
+
+def failure_details(rows: DataFrame) -> DataFrame:
+    """Failing rows with contract month and clock as the last row of their (commodity, delivery) has them; `?` where it names no month.
+
+    Of rows with one number the one with the greatest month and clock counts.
+    """
+    keys = ["source_id", "commodity", "delivery"]
+    failing = rows.where(fails_identity()).select(*keys, "seq", "cash", "basis", derived_cents().alias("derived_cents"), F.col("futures_price").alias("quoted_cents"), signed_cents().alias("signed_cents"))
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    last = rows.groupBy(*keys).agg(F.max(F.struct("seq", text("futures"), text("futures_at"))).alias("_last"))
+    named = lambda c, default: F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(default)).otherwise(F.col(c))
+    return failing.join(last, keys, "left").withColumns({"month": named("_last.futures", "?"), "at": named("_last.futures_at", None)}).drop("_last")
+
+
+def page_places(rows: DataFrame, *ties: str) -> DataFrame:
+    """`rows` with `place` from 0 in each source, in page order; a row without a number comes late."""
+    order = Window.partitionBy("source_id").orderBy(F.coalesce("seq", F.lit(9999)), "commodity", "delivery", *ties)
+    return rows.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
+
+
 @dataclass
 class Outcome:
     published: DataFrame

@@ -73,3 +73,9 @@ def batch_tally(evidence: DataFrame, refused: DataFrame, flagged: DataFrame) ->
     own = evidence.agg(F.count("*").alias("locations"), F.sum("testable").alias("rows"), F.count_if(F.col("confident").isNotNull()).alias("confident"))
     parts = own.unionByName(refused.agg(F.count("*").alias("refused")), True).unionByName(flagged.agg(F.count("*").alias("flagged")), True)
     return parts.agg(*(F.max(c).alias(c) for c in ("locations", "rows", "confident", "refused", "flagged")))
+
+
+def distinct_counts(rows: DataFrame) -> DataFrame:
+    """Per source its distinct commodities and locations, and whether there is one town only."""
+    found = rows.groupBy("source_id").agg(F.count_distinct("commodity").alias("commodities"), F.count_distinct("location").alias("locations"))
+    return found.withColumn("sole_town", F.col("locations") == 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.functions.numbers import round_to
@@ -77,9 +77,16 @@ def failure_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_IDENTITY + "SELECT source_id, max(abs(signed)) AS worst_cents, min(seq) FILTER (abs(signed) = w) AS seq FROM (SELECT *, max(abs(signed)) OVER (PARTITION BY source_id) AS w FROM fails WHERE bad) GROUP BY source_id")
 def worst_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = board(spark, sf_dir).where(guards.fails_identity()).select("source_id", "seq", F.abs(guards.signed_cents()).alias("off"))
-    worst = F.max(F.struct("off", (-F.col("seq")).alias("back")))
-    return rows.groupBy("source_id").agg(worst.alias("w")).select("source_id", F.col("w.off").alias("worst_cents"), (-F.col("w.back")).alias("seq"))
+    return guards.worst_failure(board(spark, sf_dir))
+
+
+@query(
+    _IDENTITY
+    + """, l AS (SELECT source_id, commodity, delivery, arg_max({'m': nullif(futures, ''), 'a': futures_at}, (seq, futures, coalesce(futures_at, ''))) AS x FROM board GROUP BY ALL)
+    SELECT f.source_id, f.seq, f.signed AS signed_cents, coalesce(l.x.m, '?') AS month, l.x.a AS "at" FROM fails f JOIN l USING (source_id, commodity, delivery) WHERE bad"""
+)
+def failure_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return guards.failure_details(board(spark, sf_dir)).select("source_id", "seq", "signed_cents", "month", "at")
 
 
 @query(
@@ -188,8 +195,29 @@ def guard_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT source_id, place, seq FROM n"""
 )
 def published_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("source_id").orderBy("seq", "commodity", "delivery", "cash", "futures_price")
-    return board(spark, sf_dir).withColumn("place", (F.row_number().over(order) - 1).cast("long")).select("source_id", "place", "seq")
+    return guards.page_places(board(spark, sf_dir), "cash", "futures_price").select("source_id", "place", "seq")
+
+
+@query(
+    _G
+    + """, pub AS (SELECT f.* FROM flagged f JOIN coded c ON f.source_id = c.source_id AND c.code IS NULL JOIN per_crop p ON p.source_id = f.source_id AND p.commodity = f.commodity AND p.fate = 'published' WHERE f.kept)
+    SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery) - 1 AS seq, commodity, delivery, cash FROM pub"""
+)
+def published_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    published = guards.run_guards(rough(spark, sf_dir), sources(spark, sf_dir)).published
+    return published.select("source_id", F.col("seq").cast("long").alias("seq"), "commodity", "delivery", "cash")
+
+
+@query("SELECT s_suppkey AS source_id, 'bad_band' AS code FROM supplier WHERE s_suppkey % 5 >= 3")
+def bad_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One good row a source; a band whose ends are not in order refuses it."""
+    names = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("source_id"))
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    band = F.create_map(F.lit("Corn"), F.array((F.col("source_id") % 5).cast("double"), F.lit(3.0)))
+    own = names.select("source_id", F.lit("T").alias("location_id"), F.lit(True).alias("has_location_key"), band.alias("bands"), *(none.alias(c) for c in ("floor", "ceiling", "cash_rounding_cents")), *(text.alias(c) for c in ("cash_rounding", "futures_units")))
+    row = {"seq": 0, "location_id": "T", "location": "Town", "commodity": "Corn", "delivery": "Oct", "cash": 2.5, "basis": -0.5, "basis_cents": -50, "futures": "DEC", "futures_price": 300.0, "futures_at": ""}
+    rows = names.select("source_id", *(F.lit(v).alias(c) for c, v in row.items()))
+    return guards.run_guards(rows, own).refusals.select("source_id", "code")
 
 
 @query(
@@ -252,8 +280,7 @@ def prev_vs_next_full_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_PERIODS + "SELECT source_id, delivery FROM n INTERSECT SELECT source_id, delivery FROM p")
 def shared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = (x.select("source_id", "delivery") for x in _periods(spark, sf_dir))
-    return after.intersect(before)
+    return changes.shared_keys(*_periods(spark, sf_dir), ["source_id", "delivery"])
 
 
 @query(_PERIODS + "SELECT source_id, delivery FROM p EXCEPT SELECT source_id, delivery FROM n")
@@ -315,8 +342,7 @@ def batch_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BOARD_SQL} SELECT source_id, count(DISTINCT commodity) AS commodities, count(DISTINCT location) AS locations, count(DISTINCT location) = 1 AS sole_town FROM board GROUP BY 1")
 def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = board(spark, sf_dir).groupBy("source_id").agg(F.count_distinct("commodity").alias("commodities"), F.count_distinct("location").alias("locations"))
-    return found.withColumn("sole_town", F.col("locations") == 1)
+    return profile.distinct_counts(board(spark, sf_dir))
 
 
 @query(

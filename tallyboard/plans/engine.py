@@ -46,12 +46,16 @@ def decide_against(snapshots: DataFrame, previous: DataFrame, heartbeat: float =
     return joined.withColumns({"write": ~skip, "changed": ~same, "reason": reason, "priced_at": priced, "status": F.when(old, "stale").otherwise("ok")}).drop("_was")
 
 
-def run(loaded: DataFrame, bodies: DataFrame, previous: DataFrame, now: Column, platforms: tuple[str, ...] | None = None) -> Run:
+def run(loaded: DataFrame, bodies: DataFrame, previous: DataFrame, now: Column, platforms: tuple[str, ...] | None = None, only: str | None = None) -> Run:
     """`loaded` from `sources.manifests.load`, `bodies` (source_id, platform, url, body). A refused source keeps its last snapshot: it is not in `snapshots`.
+    `only` names the one source to run; it is an error if no accepted source has that id.
 
     The bids are written once: all outputs start from them, and no page is parsed twice.
     """
-    config = written(to_config(loaded))
+    accepted = to_config(loaded)
+    config = written(accepted if only is None else accepted.where(F.col("source_id") == only))
+    if only is not None and config.isEmpty():
+        raise ValueError(f"no enabled source matches {only}")
     read = feeds.extract(bodies.join(config.select("source_id"), "source_id", "left_semi"), platforms)
     out = run_guards(written(read.bids), config)
     shape = written(read.refusals).select("source_id", F.col("code").alias("_shape"))
@@ -74,6 +78,17 @@ def counts(index: DataFrame) -> DataFrame:
     return index.agg(F.count("*").alias("total"), *(F.count_if(F.col("health") == h).alias(h) for h in ("live", "refused", "broken")))
 
 
+def outcome(index: DataFrame) -> DataFrame:
+    """One row: total, live, refused, broken, and `failed`, which a run is only if no source at all came through."""
+    return counts(index).withColumn("failed", F.col("live") == 0)
+
+
+def require_live(index: DataFrame) -> None:
+    """Raises if every source was refused; one that was not is enough."""
+    if outcome(index).first().failed:
+        raise RuntimeError("every source was refused")
+
+
 def write_snapshots(decided: DataFrame, folder: str) -> None:
     """The written snapshots as JSON, one folder per source. Only the folders of sources written now are replaced: all others, of sources
     skipped, refused or not in this run, keep their last good snapshot. New files are staged beside and moved in when all are complete.

@@ -9,8 +9,8 @@ from tallyboard.functions.text import escape_html
 from tallyboard.operators import discovery, generation
 from tallyboard.plans import engine
 from tallyboard.plans.registry import query, read
-from tallyboard.sources import feeds, landing, layouts, manifests
-from tallyboard.sources.scratch import written
+from tallyboard.sources import feeds, landing, layouts, manifests, versions
+from tallyboard.sources.scratch import new_path, written
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,3 +276,80 @@ def ranked_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey").cast("string")
     names = F.array(F.concat(F.lit("a"), k, F.lit(".js")), F.concat(F.lit("x/cash"), k, F.lit(".js")), F.lit("y/board.js"), F.lit("z.js"))
     return suppliers(spark, sf_dir).select("s_suppkey", F.array_join(discovery.ranked_chunks(names, 3), ",").alias("chunks"))
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS source_id, 'Corn' AS commodity, CAST(s_suppkey AS DOUBLE) / 4 AS cash, CAST(s_suppkey AS INT) AS seq FROM supplier WHERE s_suppkey % 3 = 0")
+def first_party_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body of the engine's own shape; what is no JSON, or has no bids, is an empty board."""
+    k = F.col("s_suppkey")
+    own = F.concat(F.lit('{"bids":[{"seq":'), k.cast("string"), F.lit(',"commodity":"Corn","cash":'), (k.cast("double") / 4).cast("string"), F.lit("}]}"))
+    body = F.when(k % 3 == 0, own).when(k % 3 == 1, "oops").otherwise("{}")
+    return feeds.first_party(_bodies(spark, sf_dir, body)).bids.select("source_id", "commodity", "cash", "seq")
+
+
+@query(
+    """SELECT CAST(s_suppkey AS VARCHAR) AS source_id, '(root): object, 3 key(s)|  id = ' || s_suppkey || '|  name = "' || s_name || repeat('-', 28 - length(s_name)) || '…"|.rows[0]: object, ' || (s_suppkey % 60 + 1) || ' key(s)'
+    || array_to_string(list_transform(range(least(s_suppkey % 60 + 1, 40)), lambda n: '|  .rows[0].k' || n || ' = ' || n), '') || CASE WHEN s_suppkey % 60 + 1 > 40 THEN '|  … and ' || (s_suppkey % 60 - 39) || ' more key(s)' ELSE '' END AS outline
+    FROM supplier WHERE s_suppkey % 4 <> 0"""
+)
+def json_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyboard.sources.outlines import outline
+
+    k = F.col("s_suppkey")
+    row = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), k % 60), lambda n: F.concat(F.lit('"k'), n.cast("string"), F.lit('": '), n.cast("string"))), ", ")
+    body = F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "name": "'), F.col("s_name"), F.lit("-" * 40 + '", "rows": [{'), row, F.lit("}, 5]}"))
+    bodies = _bodies(spark, sf_dir, F.when(k % 8 == 0, "12").when(k % 4 == 0, "no json").otherwise(body))
+    return bodies.select("source_id", F.array_join(outline(F.col("body")), "|").alias("outline")).where("outline is not null")
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS source_id, CASE s_suppkey % 3 WHEN 0 THEN 'present' WHEN 1 THEN 'unreadable' ELSE 'absent' END AS state FROM supplier")
+def snapshot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, folder = suppliers(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("source_id"), (F.col("s_suppkey") % 3).alias("m")), new_path(spark)
+    text = F.when(F.col("m") == 0, '{"bids_hash": "x", "count": 1}').otherwise("oops")
+    names.where("m < 2").select("source_id", text.alias("value")).write.partitionBy("source_id").text(folder)
+    return landing.snapshot_states(spark, folder, names)
+
+
+@query(
+    _RUN.replace("WHERE s_suppkey % 10 <> 9", "WHERE s_suppkey % 10 <> 9 AND s_suppkey = 3")
+    + "SELECT count(*) AS total, count(*) FILTER (code IS NULL) AS live, count(*) FILTER (code IS NOT NULL) AS refused, CAST(0 AS BIGINT) AS broken, count(*) FILTER (code IS NULL) = 0 AS failed FROM c"
+)
+def run_of_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of one source of many."""
+    bodies = _bodies(spark, sf_dir, F.lit('[{"commodity":{"name":"Corn"},"offers":[{"destination":"T","deliveryPeriod":"Oct","standardCashPrice":"4.10","basisPrice":"-0.35","futuresPrice":"445"}]}]')).withColumn("platform", F.lit("graindesk"))
+    found = engine.run(loaded(spark, sf_dir), bodies, _previous(spark, None), F.lit("2024-01-02 12:00:00").cast("timestamp"), ("graindesk",), only="3")
+    return engine.outcome(found.index)
+
+
+@query("SELECT 'op' || s_suppkey || '-town' AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'first' ELSE 'second' END AS \"siteId\", false AS enabled FROM supplier")
+def manifests_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run writes what the first has not; nothing is overwritten."""
+    names, folder = suppliers(spark, sf_dir), new_path(spark)
+    none = lambda schema: spark.createDataFrame([], schema)
+
+    def planned(rows, site):
+        own = rows.select(F.concat(F.lit("op"), F.col("s_suppkey").cast("string")).alias("operator"), F.lit("Town").alias("location"), F.lit(site).alias("site"), F.col("s_suppkey").cast("string").alias("location_id"), F.lit("-").alias("mode"))
+        return generation.note(generation.plan_manifests(own, none("site string, location_id string, mode string"), none("id string, site string, location_id string"), none("town string")))
+
+    generation.write_manifests(planned(names.where("s_suppkey % 2 = 0"), "first"), folder)
+    generation.write_manifests(planned(names, "second"), folder)
+    return spark.read.schema("id string, siteId string, enabled boolean").json(folder)
+
+
+@query("SELECT n, CASE n WHEN 1 THEN (SELECT count(*) FROM supplier) ELSE (SELECT count(*) FROM supplier) + 2 END AS rows, n = 2 AS again FROM (VALUES (1), (2)) v(n)")
+def versions_after_a_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One writer commits between another's reading and writing; the other decides anew from what is there then."""
+    folder, names = new_path(spark), suppliers(spark, sf_dir).select("s_suppkey")
+    one = spark.range(1).select(F.lit(-1).cast("long").alias("s_suppkey"))
+    first = versions.update(spark, folder, lambda last: names)
+    rows = [(1, versions.read(spark, folder, 1).count(), first[1])]
+    meanwhile = [lambda last: versions.commit(last.unionAll(one.withColumn("s_suppkey", F.lit(-2).cast("long"))), folder, 1)]
+
+    def decide(last):
+        if meanwhile:
+            meanwhile.pop()(last)
+        return last.unionAll(one)
+
+    number, again = versions.update(spark, folder, decide)
+    rows.append((2, versions.read(spark, folder, number).count(), again))
+    return spark.createDataFrame(rows, "n int, rows long, again boolean")

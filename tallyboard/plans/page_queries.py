@@ -196,3 +196,53 @@ def endpoint_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bundle_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle = F.concat(F.lit('axios.get("'), "url", F.lit('");import("./static/js/a'), F.col("page_id").cast("string"), F.lit('.js")'))
     return pages(spark, sf_dir).select("page_id", F.size(discovery.call_sites(bundle)).alias("calls"), F.array_join(discovery.chunk_names(bundle), ",").alias("chunks"))
+
+
+_SITE = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
+
+
+@query(
+    f"""SELECT page_id, {_SITE} || '/static/a' || page_id % 3 || '.js https://cdn.example.org/x.js' AS scripts,
+    regexp_extract(url, '^(https?://[^?#]+/)', 1) || 'frame.html?p=' || page_id || ' ' || split_part(url, ':', 1) || '://ads.example.org/f' AS iframes, {_SITE} || '/main.css' AS links FROM pages"""
+)
+def page_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("page_id").cast("string")
+    marks = F.concat(
+        F.lit('<script src="/static/b/../a'), (F.col("page_id") % 3).cast("string"), F.lit('.js"></script><script src="https://cdn.example.org/x.js"></script><script src="https://cdn.example.org/x.js"></script>'),
+        F.lit('<iframe src="./frame.html?p='), n, F.lit('"></iframe><iframe src="//ads.example.org/f"></iframe><link rel=x href="/./main.css">'),
+    )
+    found = pages(spark, sf_dir).select("page_id", discovery.page_assets(marks, F.col("url")).alias("a"))
+    return found.select("page_id", *(F.array_join(f"a.{k}", " ").alias(k) for k in ("scripts", "iframes", "links")))
+
+
+@query(
+    f"""WITH {_CRAWL} SELECT n, CASE WHEN contains(url, '.dtn.com/') THEN 'dtn-cs' WHEN contains(url, '.stonex.com/') THEN 'stonehedge' WHEN contains(url, '.barchart.com/') THEN 'barchart' WHEN contains(url, '.bushelops.com/') THEN 'bushel' ELSE '' END AS families FROM crawl"""
+)
+def vendor_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl(spark, sf_dir).select("n", F.array_join(discovery.family(F.col("url")), ",").alias("families"))
+
+
+@query(
+    f"""WITH {_CRAWL}, k AS (SELECT page, CASE n % 4 WHEN 0 THEN 'dtn-cs' WHEN 1 THEN 'graindesk' END AS lead, CASE n % 4 WHEN 0 THEN 'www.dtn.com' WHEN 1 THEN 'graindiscovery.com' ELSE 'p' || n % 7 || '.example.org' END AS h FROM crawl WHERE page % 3 <> 2)
+    SELECT page, 'no-platform' AS kind, coalesce(string_agg(DISTINCT lead, ',' ORDER BY lead), '') AS leads, string_agg(DISTINCT h, ',' ORDER BY h) AS hosts FROM k GROUP BY 1"""
+)
+def page_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without a known feed name the vendors to which their responses' hosts belong."""
+    n = F.col("n") % 4
+    plain = F.concat(F.lit("https://p"), (F.col("n") % 7).cast("string"), F.lit(".example.org/"))
+    rows = crawl(spark, sf_dir).where("page % 3 <> 2").withColumn("url", F.when(n == 0, "https://www.dtn.com/home").when(n == 1, "https://graindiscovery.com/home").otherwise(plain))
+    asked = rows.select("page").distinct().select("page", F.lit(None).cast("string").alias("nav_error"), F.lit(None).cast("string").alias("error"))
+    found = discovery.page_verdict(asked, rows, "page")
+    return found.select("page", "kind", F.array_join("leads", ",").alias("leads"), F.array_join("hosts", ",").alias("hosts"))
+
+
+@query(
+    """WITH u AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN 'http://localhost:80/' || page_id WHEN 2 THEN 'http://localhost.' || split_part(url, '/', 3) || '/' WHEN 3 THEN replace(url, 'https:', 'http:') ELSE 'http://[::1]/' END AS u FROM pages)
+    SELECT page_id, starts_with(u, 'https://') OR page_id % 5 IN (1, 4) AS browsable FROM u"""
+)
+def browsable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyboard.sources.manifests import browsable
+
+    k, n, site = F.col("page_id") % 5, F.col("page_id").cast("string"), F.split_part("url", F.lit("/"), F.lit(3))
+    url = F.when(k == 0, F.col("url")).when(k == 1, F.concat(F.lit("http://localhost:80/"), n)).when(k == 2, F.concat(F.lit("http://localhost."), site, F.lit("/"))).when(k == 3, F.replace("url", F.lit("https:"), F.lit("http:"))).otherwise("http://[::1]/")
+    return pages(spark, sf_dir).select("page_id", browsable(url).alias("browsable"))

@@ -5,12 +5,11 @@ A source is a user, a poll an event, its price the value in steps of fifty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.functions import times
-from tallyboard.operators import changes
-from tallyboard.operators.ranking import numbered
+from tallyboard.operators import changes, status
 from tallyboard.plans.registry import query, read
 from tallyboard.sources import feeds
 from tallyboard.sources.scratch import new_path
@@ -108,9 +107,7 @@ def freshness_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_LAST + "SELECT count(*) AS total, count(*) FILTER (state = 'live') AS live, count(*) FILTER (state = 'late') AS late, count(*) FILTER (state = 'down') AS down, CASE WHEN bool_or(state = 'down') THEN 'down' WHEN bool_or(state = 'late') THEN 'late' ELSE 'live' END AS verdict FROM s")
 def freshness_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = lambda s: F.count_if(F.col("state") == s).alias(s)
-    found = _states(spark, sf_dir).agg(F.count("*").alias("total"), one("live"), one("late"), one("down"))
-    return found.withColumn("verdict", F.when((F.col("down") > 0) | (F.col("total") == 0), "down").when(F.col("late") > 0, "late").otherwise("live"))
+    return status.state_counts(_states(spark, sf_dir))
 
 
 @query(_LAST + "SELECT count(*) AS total, count(*) FILTER (health = 'live') AS live, count(*) FILTER (health = 'refused') AS refused, count(*) FILTER (health = 'broken') AS broken FROM s")
@@ -122,8 +119,7 @@ def health_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_LAST + "SELECT user_id, state, row_number() OVER (ORDER BY CASE state WHEN 'down' THEN 1 WHEN 'late' THEN 2 ELSE 3 END, health, user_id) AS place FROM s")
 def status_board_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = F.when(F.col("state") == "down", 1).when(F.col("state") == "late", 2).otherwise(3)
-    return numbered(_states(spark, sf_dir), [rank, "health", "user_id"], "place").select("user_id", "state", (F.col("place") + 1).alias("place"))
+    return status.ordered(_states(spark, sf_dir), ["health", "user_id"]).select("user_id", "state", "place")
 
 
 _AGO = "CASE WHEN m < 1 THEN 'just now' WHEN m = 1 THEN '1 minute ago' WHEN m < 90 THEN m || ' minutes ago' ELSE (m // 60) || 'h ' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || 'm ago' END"
@@ -176,9 +172,7 @@ def session_quiet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH w AS (SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events) SELECT event_id, (epoch_us(nxt) - epoch_us(ts)) // 60000000 AS minutes FROM w")
 def gap_to_next(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = F.unix_micros(F.lead("ts").over(w)) - F.unix_micros("ts")
-    return polls(spark, sf_dir).select("event_id", F.floor(gap / 60_000_000).alias("minutes"))
+    return status.gaps(polls(spark, sf_dir), "user_id", "ts", "event_id").select("event_id", "minutes")
 
 
 @query("SELECT user_id, count(*) AS n, count(DISTINCT CAST(json_extract(props, '$.k') AS BIGINT)) AS kinds, max(CAST(json_extract(props, '$.k') AS BIGINT)) AS most FROM events GROUP BY 1")
@@ -219,22 +213,24 @@ def count_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, CASE m WHEN 0 THEN 'no such token' WHEN 1 THEN 'HTTP 503' WHEN 2 THEN '200 but not JSON' WHEN 3 THEN '200 but not an array' WHEN 4 THEN 'HIT' ELSE 'fetch failed' END AS verdict FROM a"""
 )
 def response_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _answers(spark, sf_dir).select("event_id", "verdict")
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("event_id") % 6
-    status = F.when(m == 0, 401).when(m == 1, 503).when(m == 5, 0).otherwise(200)
+    code = F.when(m == 0, 401).when(m == 1, 503).when(m == 5, 0).otherwise(200)
     body = F.when(m == 2, F.lit("<html>")).when(m == 3, F.col("props")).when(m == 4, F.concat(F.lit("["), F.col("props"), F.lit("]")))
-    return read(spark, sf_dir, "events").select("event_id", feeds.response_verdict(status, body).alias("verdict"))
+    return read(spark, sf_dir, "events").select("event_id", code.alias("status"), feeds.response_verdict(code, body).alias("verdict"))
 
 
 @query("SELECT event_type AS platform, count(*) AS n, rank() OVER (ORDER BY count(*) DESC) AS place FROM events GROUP BY 1")
 def platform_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tally = read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("platform")).agg(F.count("*").alias("n"))
-    return tally.withColumn("place", F.rank().over(Window.orderBy(F.desc("n"))).cast("long"))
+    return status.tally(read(spark, sf_dir, "events").withColumnRenamed("event_type", "platform"), "platform")
 
 
 @query("SELECT user_id, count(*) AS offers, count(DISTINCT event_type) AS destinations, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS names FROM events GROUP BY 1")
 def sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = read(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("offers"), F.array_sort(F.collect_set("event_type")).alias("names"))
-    return found.select("user_id", "offers", F.size("names").cast("long").alias("destinations"), F.array_join("names", ",").alias("names"))
+    return status.sweep_summary(read(spark, sf_dir, "events"), "user_id", "event_type").withColumn("names", F.array_join("names", ","))
 
 
 @query("WITH u AS (SELECT user_id, event_id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events) SELECT event_id, n >= 100 AND n < 350 AS asked FROM u")
@@ -255,7 +251,34 @@ def lost_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT token FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS token FROM events UNION SELECT * FROM (VALUES ('7'), ('alpha'), ('beta')) v(t))")
 def tokens_with_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("token"))
-    return tokens.union(spark.createDataFrame([("7",), ("alpha",), ("beta",)], "token string")).distinct()
+    return status.with_controls(tokens, ["7", "alpha", "beta"]).select("token")
+
+
+@query("WITH t AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS token FROM events WHERE user_id % 3 <> 1), c(token) AS (VALUES ('3'), ('7'), ('12'), ('alpha')) SELECT token, false AS added FROM t UNION ALL SELECT token, true FROM c WHERE token NOT IN (SELECT token FROM t)")
+def controls_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = read(spark, sf_dir, "events").where("user_id % 3 <> 1").select(F.col("user_id").cast("string").alias("token"))
+    return status.with_controls(tokens, ["3", "7", "12", "alpha"])
+
+
+@query("SELECT event_id, CASE event_id % 6 WHEN 1 THEN 'HTTP 503' WHEN 2 THEN '200 but not JSON' WHEN 3 THEN '200 but not an array' ELSE 'fetch failed' END AS verdict FROM events WHERE event_id % 6 NOT IN (0, 4)")
+def sweep_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status.leads(_answers(spark, sf_dir)).select("event_id", "verdict")
+
+
+_CAPTURES = f"""WITH {_POLLS},
+g AS (SELECT user_id, ts, min(ts) OVER w AS opened, epoch_us(ts) - epoch_us(lag(ts) OVER (w ORDER BY ts, event_id)) >= 6 * 3600000000::BIGINT AS late FROM polls WINDOW w AS (PARTITION BY user_id)),
+s AS (SELECT *, count(*) FILTER (late) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS before FROM g ORDER BY ts),
+e AS (SELECT user_id, opened, count(*) AS n_responses, max(ts) AS last FROM s WHERE before = 0 AND ts < opened + INTERVAL 20 HOUR GROUP BY 1, 2)
+SELECT user_id, n_responses, strftime(least(last + INTERVAL 6 HOUR, opened + INTERVAL 20 HOUR), '%Y-%m-%d %H:%M:%S') AS ended, last + INTERVAL 6 HOUR <= opened + INTERVAL 20 HOUR AS quiet FROM e
+"""
+
+
+@query(_CAPTURES)
+def capped_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = polls(spark, sf_dir)
+    opened = rows.groupBy("user_id").agg(F.min("ts").alias("opened"))
+    found = stream.captures(rows.join(opened, "user_id"), "user_id", "ts", "opened", 6 * 3600, 20 * 3600)
+    return found.select("user_id", "n_responses", stamp("ended").alias("ended"), "quiet")
 
 
 @query(_DECIDE + "SELECT user_id, event_id, write, changed, reason, strftime(priced, '%Y-%m-%d %H:%M:%S') AS priced_at FROM d")

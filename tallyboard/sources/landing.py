@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,24 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("source_id is not null").select("source_id", "bids_hash", "count", F.coalesce("priced_at", "observed").alias("priced_at"), "checked_at")
 
 
+def snapshot_states(spark: SparkSession, folder: str, config: DataFrame) -> DataFrame:
+    """For every source whether its snapshot is `present`, `unreadable` or `absent`, from a folder with one part a source.
+
+    Only an absent one means a first run: after an unreadable one the price's clock is not known to start now.
+    """
+    names = config.select("source_id").distinct()
+    try:
+        rows = spark.read.schema("value string, source_id string").text(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return names.withColumn("state", F.lit("absent"))
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    found = rows.groupBy("source_id").agg(F.bool_or(is_object).alias("_reads"))
+    state = F.when(F.col("_reads"), "present").when(~F.col("_reads"), "unreadable").otherwise("absent")
+    return names.join(found, "source_id", "left").select("source_id", state.alias("state"))
+
+
 def usable(pages: DataFrame, config: DataFrame) -> DataFrame:
     """For every source the first of its URLs, in order, whose page came and is long enough for its kind."""
     asked = config.select("source_id", "platform", "browser_page", "wire", F.posexplode("urls").alias("k", "url"))

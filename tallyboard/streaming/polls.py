@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -57,6 +57,23 @@ def quiet_sessions(responses: DataFrame, key: str, at: str, gap: str = "2500 mil
     )
 
 
+def captures(responses: DataFrame, key: str, at: str, opened: str, quiet: float = 2.5, cap: float = 45.0) -> DataFrame:
+    """One capture a page, from when it was `opened`: key, n_responses, last, ended, quiet.
+
+    It ends when nothing comes for `quiet` seconds, or `cap` seconds after the page was opened, whichever is first; what comes
+    later is not in it. `quiet` tells how it ended. The responses of a page are those of one visit.
+    """
+    seconds = lambda c: F.unix_micros(c) / F.lit(1e6)
+    w = Window.partitionBy(key).orderBy(at)
+    wait = seconds(F.col(at)) - seconds(F.coalesce(F.lag(at).over(w), F.col(opened)))
+    late = F.sum((F.col("_wait") >= quiet).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    own = responses.withColumn("_wait", wait).withColumn("_late", late).withColumn("_in", (F.col("_late") == 0) & (seconds(F.col(at)) - seconds(F.col(opened)) < cap))
+    found = own.groupBy(key).agg(F.count_if("_in").alias("n_responses"), F.max(F.when(F.col("_in"), F.col(at))).alias("last"), F.min(opened).alias("_opened"))
+    after = lambda c, s: F.timestamp_micros((F.unix_micros(c) + F.lit(int(s * 1e6))).cast("long"))
+    silent, limit = after(F.coalesce("last", "_opened"), quiet), after(F.col("_opened"), cap)
+    return found.select(key, "n_responses", "last", F.least(silent, limit).alias("ended"), (silent <= limit).alias("quiet"))
+
+
 def commit_batches(folder: str, key: str):
     """A foreachBatch sink: the written polls of a batch in a folder of that batch, so that a repeated batch replaces itself."""
 
