@@ -39,7 +39,8 @@ def parse_ticks(text: Column) -> Column:
     eighths = F.regexp_extract(t, shape, 3).try_cast("int")
     value = F.regexp_extract(t, shape, 2).try_cast("double") + eighths / 8
     signed = F.when(t.startswith("-"), -value).otherwise(value)
-    return F.when(t.rlike(shape), F.when(eighths <= 7, signed)).when(t.rlike(rf"^[+-]?[0-9]+{_TICK_MARK}[0-9]+"), F.lit(None)).otherwise(parse_num(t))
+    # What begins as ticks and does not read to its end has no eighths, so no value either.
+    return F.when(t.rlike(rf"^[+-]?[0-9]+{_TICK_MARK}[0-9]"), F.when(eighths <= 7, signed)).otherwise(parse_num(t))
 
 
 def parse_eighths(text: Column) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: White space in the sense of the feeds' own scripts: Unicode spaces and the byte order mark too.
 SPACE = r"[\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
+#: Where a word of ASCII letters, digits and underscores begins and ends. Not `\b`: on some versions of Java that counts other letters as well.
+WORD_START, WORD_END = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+
 # Named character references and what a quote cell reads them as.
 NAMED = {
     "lt": "<",
@@ -52,8 +55,8 @@ def squeeze(text: Column) -> Column:
 
 
 def strip_tags(html: Column) -> Column:
-    out = F.regexp_replace(html, r"(?is)<script(?![A-Za-z0-9_])[^>]*>.*?</script>", " ")
-    out = F.regexp_replace(out, r"(?is)<style(?![A-Za-z0-9_])[^>]*>.*?</style>", " ")
+    out = F.regexp_replace(html, rf"(?is)<script{WORD_END}[^>]*>.*?</script>", " ")
+    out = F.regexp_replace(out, rf"(?is)<style{WORD_END}[^>]*>.*?</style>", " ")
     out = F.regexp_replace(out, r"<[^>]+>", " ")
     return squeeze(decode_entities(out))
 
@@ -109,7 +112,7 @@ def redact_url(url: Column) -> Column:
 def redact_body(text: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     out = F.regexp_replace(out, r'(?i)("(?:api_?key|key|token|secret|sig|password|bearer)"\s*:\s*")[^"]*(")', "$1<redacted>$2")
-    return F.regexp_replace(out, r"""(?i)(?<![A-Za-z0-9_])((?:api_?key|token|secret|sig)=)[^&"'\s]+""", "$1<redacted>")
+    return F.regexp_replace(out, rf"""(?i){WORD_START}((?:api_?key|token|secret|sig)=)[^&"'\s]+""", "$1<redacted>")
 
 
 def peek(body: Column, limit: int = 1400) -> Column:
@@ -124,7 +127,7 @@ def split_postal(cell: Column) -> Column:
     """struct(town, state, zip) of `Town, ST 12345`; state and zip only where they are written."""
     raw = F.trim(F.coalesce(cell, F.lit("")))
     rest = F.trim(F.coalesce(F.get(F.split(raw, ","), F.lit(1)), F.lit("")))
-    shape = r"^([A-Za-z]{2})(?![A-Za-z0-9_])\s*([0-9]{5})?"
+    shape = "^([A-Za-z]{2})" + WORD_END + r"\s*([0-9]{5})?"
     return F.struct(
         F.trim(F.get(F.split(raw, ","), F.lit(0))).alias("town"),
         F.nullif(F.upper(F.regexp_extract(rest, shape, 1)), F.lit("")).alias("state"),

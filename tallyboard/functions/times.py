@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values, in hours.
@@ -71,10 +71,17 @@ def _parsed(cron: Column) -> Column:
     return F.when(F.size(f) == 5, fields)
 
 
-def next_fire(crons: Column, after: Column, days: int = 8) -> Column:
+def schedules(spark: SparkSession, crons: list[str]) -> list[Column]:
+    """Schedules of a program's own, read once by a query of one row and given as literals; what is none is left out."""
+    read = spark.range(1).select(*(_parsed(F.lit(c)).alias(f"c{k}") for k, c in enumerate(crons))).first() if crons else ()
+    value = lambda x: F.array(*(F.lit(v) for v in x)).cast("array<int>") if isinstance(x, list) else F.lit(x)
+    return [F.struct(*(value(x).alias(name) for name, x in r.asDict().items())) for r in read if r is not None]
+
+
+def next_fire(crons: Column | list[Column], after: Column, days: int = 8) -> Column:
     """The first minute after a time at which one of an array of schedules fires, within some days.
 
-    Each schedule is parsed once per row. On the day of the time the rest of the hour and the later hours are
+    A column of schedules is parsed once per row; a list comes from `schedules`, already read. On the day of the time the rest of the hour and the later hours are
     looked at; on a later day that fires, its first hour and minute are the answer.
     """
     first = F.date_trunc("minute", after) + F.expr("interval 1 minute")
@@ -96,6 +103,8 @@ def next_fire(crons: Column, after: Column, days: int = 8) -> Column:
         found = F.coalesce(F.when(fires(today), rest), at(later, F.array_min(p["hours"]), F.array_min(p["minutes"])))
         return F.when(found <= limit, found)
 
+    if isinstance(crons, list):
+        return F.array_min(F.array(*(of(p) for p in crons)))
     return F.array_min(F.transform(F.transform(crons, _parsed), of))
 
 

@@ -152,7 +152,7 @@ def local_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, strftime(min(fire), '%Y-%m-%d %H:%M:%S') AS fires FROM m WHERE fire >= f GROUP BY 1"""
 )
 def cron_next_fire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return polls(spark, sf_dir).select("event_id", stamp(times.next_fire(F.array(F.lit("3-59/20 12-20 * * 1-5")), F.col("ts"))).alias("fires"))
+    return polls(spark, sf_dir).select("event_id", stamp(times.next_fire(times.schedules(spark, ["3-59/20 12-20 * * 1-5"]), F.col("ts"))).alias("fires"))
 
 
 @query("SELECT event_id, minute(ts) % 10 = 3 AND (day(ts) IN (1, 15) OR dayofweek(ts) = 0) AS fires FROM events")

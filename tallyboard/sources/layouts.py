@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.functions.numbers import basis_to_cents, parse_eighths, parse_num, parse_ticks, round_half_up, round_to, strict_money, tick_flag
-from tallyboard.functions.text import clean, host, squeeze, strip_tags, title_case
+from tallyboard.functions.text import WORD_END, WORD_START, clean, host, squeeze, strip_tags, title_case
 from tallyboard.operators.changes import first_or_better
 from tallyboard.sources.feeds import BIDS, Feed, _refused
 
@@ -32,6 +32,7 @@ COLUMN_WORDS = {
     "location": "location|elevator|facility|plant|branch|site|city|terminal",
     "updated": "updated|as\\s*of|time",
 }
+# Fixed value: labels that are no section.
 JUNK_LABEL = "(?i)^(commodity|cash bids?|prices?|delivery|basis|futures|change)$"
 LOOK_BEHIND, HEADER_ROWS = 4000, 6
 
@@ -42,7 +43,7 @@ def map_header(cells: Column) -> Column:
 
     def step(s: Column, cell: Column) -> Column:
         free = lambda name: ~F.map_contains_key(s["m"], F.lit(name))
-        name = F.coalesce(*(F.when(free(n) & cell.rlike(f"(?i)(?<![A-Za-z0-9_])({w})(?![A-Za-z0-9_])"), F.lit(n)) for n, w in COLUMN_WORDS.items()))
+        name = F.coalesce(*(F.when(free(n) & cell.rlike(f"(?i){WORD_START}({w}){WORD_END}"), F.lit(n)) for n, w in COLUMN_WORDS.items()))
         grown = F.when(name.isNotNull(), F.map_concat(s["m"], F.create_map(name, s["i"]))).otherwise(s["m"])
         return F.struct((s["i"] + 1).alias("i"), grown.alias("m"))
 
@@ -56,13 +57,13 @@ def _cell(name: str) -> Column:
 
 
 def _items(html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<li(?![A-Za-z0-9_])[^>]*>(.*?)</li>"), 1), strip_tags)
+    return F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<li{WORD_END}[^>]*>(.*?)</li>"), 1), strip_tags)
 
 
 def last_heading(before: Column) -> Column:
     """The last heading of a text, else its last caption."""
     last = lambda p: F.nullif(strip_tags(F.element_at(F.regexp_extract_all(before, F.lit(p), 1), -1)), F.lit(""))
-    return F.coalesce(last(r"(?is)<h[1-6](?![A-Za-z0-9_])[^>]*>(.*?)</h[1-6]>"), last(r"(?is)<caption(?![A-Za-z0-9_])[^>]*>(.*?)</caption>"))
+    return F.coalesce(last(rf"(?is)<h[1-6]{WORD_END}[^>]*>(.*?)</h[1-6]>"), last(rf"(?is)<caption{WORD_END}[^>]*>(.*?)</caption>"))
 
 
 def location_names(bodies: DataFrame) -> DataFrame:
@@ -75,9 +76,9 @@ def location_names(bodies: DataFrame) -> DataFrame:
 
 def list_layout(bodies: DataFrame) -> DataFrame:
     """Headings, header lists and data lists, in page order."""
-    heading = r"<h3(?![A-Za-z0-9_])[^>]*>.*?</h3>"
-    head = r"""<ul(?![A-Za-z0-9_])[^>]*class=["'][^"']*fcControlsSubHdr[^"']*["'][^>]*>.*?</ul>"""
-    data = r"""<ul(?![A-Za-z0-9_])[^>]*class=["'][^"']*fcControls[0-9][^"']*["'][^>]*>.*?</ul>"""
+    heading = rf"<h3{WORD_END}[^>]*>.*?</h3>"
+    head = rf"""<ul{WORD_END}[^>]*class=["'][^"']*fcControlsSubHdr[^"']*["'][^>]*>.*?</ul>"""
+    data = rf"""<ul{WORD_END}[^>]*class=["'][^"']*fcControls[0-9][^"']*["'][^>]*>.*?</ul>"""
     tokens = bodies.select("source_id", F.col("url").alias("source"), F.posexplode(F.regexp_extract_all("body", F.lit(f"(?is){heading}|{head}|{data}"), 0)).alias("n", "token"))
     kind = F.when(F.col("token").rlike("(?i)^<h3"), "heading").when(F.col("token").rlike(f"(?is)^{head}"), "head").otherwise("data")
     title = strip_tags(F.col("token"))
@@ -278,7 +279,7 @@ def fragment(bodies: DataFrame) -> Feed:
     text = lambda c: squeeze(strip_tags(c))
     bare = lambda c: F.trim(F.regexp_replace(c, r"(?i)\s*bids?$", ""))
     buttons = F.transform(F.regexp_extract_all("body", F.lit(r"(?is)<button[^>]*>(.*?)</button>"), 1), text)
-    tabs = F.filter(F.transform(F.filter(buttons, lambda t: t.rlike(r"(?i)(?<![A-Za-z0-9_])bids?$")), bare), lambda t: t != "")
+    tabs = F.filter(F.transform(F.filter(buttons, lambda t: t.rlike(rf"(?i){WORD_START}bids?$")), bare), lambda t: t != "")
     panel = r"(?is)<h1[^>]*>(.*?)</h1>(.*?)</table>"
     both = F.arrays_zip(F.regexp_extract_all("body", F.lit(panel), 1).alias("head"), F.regexp_extract_all("body", F.lit(panel), 2).alias("table"))
     panels = bodies.select("source_id", F.col("url").alias("source"), tabs.alias("tabs"), F.posexplode(both).alias("p", "x"))

@@ -56,6 +56,9 @@ def test_places(spark):
     assert [tuple(g) for g in got] == [("placeholder", "main"), ("buyer", "green plains"), ("facility", "ethanol"), ("suffix", "farmers"), ("joined", None), (None, None), (None, None), (None, None), (None, None)]
     assert one(spark, places.id_for, "Ag Partners", "Red Wing") == "agpartners-redwing" and one(spark, places.id_for, "SET THIS", "Elgin") is None
     assert one(spark, places.slug_variants, "Sunrise Co-op, Inc.") == ["sunrisecoop", "sunriseCoop", "sunrise-coop", "sunrise", "sunrisecooperative", "sunriseCooperative", "sunrise-cooperative"]
+    assert one(spark, places.slug_variants, "The Co.") == ["theco", "theCo", "the-co"]
+    assert one(spark, places.slug_variants, "A & B Co.op Grain/Farms LLC") == ["aandbcoopgrainfarms", "aAndBCoopGrainFarms", "a-and-b-coop-grain-farms", "aandb", "aandbcooperativegrainfarms", "aAndBCooperativeGrainFarms", "a-and-b-cooperative-grain-farms"]
+    assert one(spark, places.slug_variants, "Big Co-Operative") == ["bigcooperative", "bigCooperative", "big-cooperative", "bigcoop", "bigCoop", "big-coop"]
 
 
 @pytest.mark.parametrize(
