@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup
+from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, vector_codes
 from tallyboard.sources.scratch import written
 
 
@@ -88,6 +88,13 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("per_token", F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    books = vector_codes.fit(vectors)
+    coded = vector_codes.encode(vectors, books)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_lm_score": op10_lm_score,
+    "op11_vector_codes": op11_vector_codes,
     "pipeline": pipeline,
 }
 
@@ -211,4 +219,41 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN listed l ON d.doc_id = l.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_secret_scan": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
+
+def _near_sql(name: str, book: str) -> str:
+    """Each part's nearest entry; squared distance and index share one number, so ties go to the lower index."""
+    return f"""
+{name} AS (
+  SELECT p.vec_id, p.p, any_value(p.x) AS x, min(((p.x[1] - c.c[1]) ** 2 + (p.x[2] - c.c[2]) ** 2 + (p.x[3] - c.c[3]) ** 2 + (p.x[4] - c.c[4]) ** 2)::BIGINT * 64 + c.e) AS best
+  FROM parts p JOIN {book} c ON p.p = c.p GROUP BY p.vec_id, p.p)"""
+
+
+def _moved_sql(name: str, near: str, book: str) -> str:
+    means = ", ".join(f"floor(sum(x[{j}])::DECIMAL(38, 0) / count(*))::BIGINT" for j in range(1, 5))
+    return f"""
+{name} AS (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+  FROM {book} b LEFT JOIN (SELECT p, best % 64 AS e, [{means}] AS c FROM {near} GROUP BY p, best % 64) m ON b.p = m.p AND b.e = m.e)"""
+
+
+#: Vectors of 64 components, of which each part has four.
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, label, p, v[4 * p + 1:4 * p + 4] AS x FROM (SELECT *, unnest(range(16)) AS p FROM kept)),
+book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < 64),
+{_near_sql("near0", "book0")},
+{_moved_sql("book1", "near0", "book0")},
+{_near_sql("near1", "book1")},
+{_moved_sql("book2", "near1", "book1")},
+{_near_sql("near2", "book2")},
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(best % 64)), 2, '0'), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM near2 GROUP BY vec_id),
+labelled AS (SELECT c.*, k.label FROM coded c JOIN kept k ON c.vec_id = k.vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM labelled
+"""
+
+ORACLE: dict[str, str] = {"op11_vector_codes": OP11_SQL, "op1_substring_dedup": OP1_SQL, "op2_secret_scan": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
