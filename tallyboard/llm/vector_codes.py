@@ -12,7 +12,8 @@ Defined results: a vector that is null or holds a null, NaN or infinite componen
 start from the vectors of the least ids; of rows that share an id the least vector stands for it, and rows with a null id
 start nothing but are coded. Vectors of another length than the least id's have a null code and error
 and move no entry. Fewer ids than entries give fewer entries; without any id all codes are null. A length that `parts` does not
-divide is cut at the rounded-down fractions of it. Errors saturate at the greatest long.
+divide is cut at the rounded-down fractions of it. Errors saturate at the greatest long;
+a label of uncoded rows alone has a null sum.
 """
 
 from __future__ import annotations
@@ -192,7 +193,8 @@ def encode(df: DataFrame, books: Codebooks, scale: int = 256, id_col: str = "vec
 
     shared = df.sparkSession.sparkContext.broadcast(books.entries)
     coded = written(rows.mapInArrow(_codes(books, shared, scale, to_arrow_schema(out)), out))
-    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(Decimal(MOST))).cast("long")
+    total = F.sum(F.col("error").cast("decimal(38,0)"))
+    total = F.when(total > F.lit(Decimal(MOST)), F.lit(MOST)).otherwise(total.cast("long"))
     by_label = written(coded.groupBy(F.col("label").alias("of")).agg(total.alias("label_error")))
     if by_label.count() <= BROADCAST_LABELS:
         by_label = F.broadcast(by_label)
