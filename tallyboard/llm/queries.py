@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, vector_codes
+from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_alignment, vector_codes
 from tallyboard.sources.scratch import written
 
 
@@ -95,6 +95,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
+#: The folder of the public vocabularies.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = token_alignment.files(f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    found = token_alignment.align(read(spark, sf_dir, "documents"), vocabularies)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_lm_score": op10_lm_score,
     "op11_vector_codes": op11_vector_codes,
+    "op12_token_alignment": op12_token_alignment,
     "pipeline": pipeline,
 }
 
