@@ -40,7 +40,7 @@ from tallyboard.llm import bytearrays as B
 from tallyboard.sources.scratch import bucketed, ordered_buckets, written
 
 #: Bytes of the broadcast segments, of the pairs in a block of counts, of segments that one call encodes.
-HOT_BYTES, BLOCK_PAIRS, CALL_BYTES = 64 << 20, 1 << 22, 1 << 20
+HOT_BYTES, BLOCK_PAIRS, CALL_BYTES = 32 << 20, 1 << 22, 1 << 20
 _GUARD = " x"
 _BINS = 8
 
@@ -215,48 +215,67 @@ def _tokenized(data: Broadcast, call_bytes: int):
 
 
 @contextmanager
-def _joined_by_some_keys(spark: SparkSession):
-    """Plans made within join on (segment, end) what lies in one partition by segment already."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def _in_place(spark: SparkSession):
+    """Plans made within join on (segment, end) what lies in one partition by segment already, and group sorted rows as they come."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.execution.replaceHashWithSortAgg": "true"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _listed():
+    """Per segment its counts, links and groups as text, from its joined ends in any order."""
+    schema = pa.schema([("seg", pa.string()), ("n", pa.int64()), *((c, pa.int32()) for c in ("n_a", "n_b", "n_groups")), ("groups", pa.string()), ("links", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            ends, sizes = batch.column("ends").flatten(), pc.list_value_length(batch.column("ends")).to_numpy(zero_copy_only=False).astype(np.int64)
+            seg = np.repeat(np.arange(batch.num_rows), sizes)
+            field = lambda c: pc.fill_null(pc.struct_field(ends, c), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.lexsort((field("end"), seg))
+            seg, group, a, b = seg[order], field("group")[order], field("a_id")[order], field("b_id")[order]
+            links, at = pa.array(field("link")[order]), np.concatenate([[0], np.cumsum(sizes)])
+            # Groups count from the end of a segment; those of all segments are numbered from the start of the batch.
+            fresh = np.concatenate([[True], (seg[1:] != seg[:-1]) | (group[1:] != group[:-1])]) if len(seg) else np.zeros(0, bool)
+            number = np.cumsum(fresh) - 1
+            count = lambda use, of, n: np.bincount(of[use], minlength=n)
+            texts = []
+            for side in (a, b):
+                edges = np.concatenate([[0], np.cumsum(count(side >= 0, number, int(fresh.sum())))])
+                ids = pa.array(side[side >= 0]).cast(pa.string())
+                texts.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), ids), ","))
+            groups = pc.binary_join_element_wise(*texts, "|")
+            n_groups = count(fresh, seg, batch.num_rows)
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_groups)]), pa.int32()), groups), ";")
+            columns = [count(a >= 0, seg, batch.num_rows), count(b >= 0, seg, batch.num_rows), n_groups]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("seg"), batch.column("n"), *(pa.array(c, pa.int32()) for c in columns), text, pa.ListArray.from_arrays(pa.array(at, pa.int32()), links)], schema=schema
+            )
+
+    return run
 
 
 def align_segments(tokens: DataFrame, width: int) -> DataFrame:
     """seg, n, n_a, n_b, n_groups, groups and links (a_id * width + b_id, in order) of each segment that has tokens."""
 
     def side(name: str) -> DataFrame:
-        each = tokens.select("seg", F.posexplode(name).alias("pos", "token"))
+        each = tokens.select("seg", "n", F.posexplode(name).alias("pos", "token"))
         upto = Window.partitionBy("seg").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-        return each.select("seg", F.sum("token.len").over(upto).alias("end"), F.col("token.id").alias(f"{name}_id"))
+        return each.select("seg", F.col("n").alias(f"{name}_n"), F.sum("token.len").over(upto).alias("end"), F.col("token.id").alias(f"{name}_id"))
 
     ends = side("a").join(side("b"), ["seg", "end"], "full")
     from_end = Window.partitionBy("seg").orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
     cut = (F.col("a_id").isNotNull() & F.col("b_id").isNotNull()).cast("int")
     over = lambda c: F.last(c, ignorenulls=True).over(from_end)
     link = (over("a_id").cast("long") * width + over("b_id")).alias("link")
-    grouped = ends.select("seg", "end", "a_id", "b_id", F.sum(cut).over(from_end).alias("group"), link)
-
-    def listed(c: str) -> Column:
-        own = F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", c))))
-        return F.array_join(F.transform(own, lambda x: x[c].cast("string")), ",")
-
-    groups = grouped.groupBy("seg", "group").agg(
-        F.count("a_id").alias("n_a"),
-        F.count("b_id").alias("n_b"),
-        F.concat(listed("a_id"), F.lit("|"), listed("b_id")).alias("text"),
-        F.transform(F.array_sort(F.collect_list(F.struct("end", "link"))), lambda x: x.link).alias("links"),
-    )
-    inside = F.array_sort(F.collect_list(F.struct((-F.col("group")).alias("place"), "text", "links")))
-    whole = groups.groupBy("seg").agg(F.sum("n_a").cast("int").alias("n_a"), F.sum("n_b").cast("int").alias("n_b"), F.count("*").cast("int").alias("n_groups"), inside.alias("inside"))
-    whole = whole.select(
-        "seg", "n_a", "n_b", "n_groups", F.array_join(F.transform("inside", lambda x: x.text), ";").alias("groups"), F.flatten(F.transform("inside", lambda x: x.links)).alias("links")
-    )
-    return tokens.select("seg", "n").join(whole, "seg")
+    joined = ends.select("seg", "end", "a_id", "b_id", F.coalesce("a_n", "b_n").alias("n"), F.sum(cut).over(from_end).alias("group"), link)
+    whole = joined.groupBy("seg").agg(F.max("n").alias("n"), F.collect_list(F.struct("end", "group", "a_id", "b_id", "link")).alias("ends"))
+    return whole.mapInArrow(_listed(), "seg string, n long, n_a int, n_b int, n_groups int, groups string, links array<long>")
 
 
 def _cost() -> Column:
@@ -318,7 +337,7 @@ def _compact(hot: Broadcast, schema: pa.Schema):
     return run
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 1 << 20):
+def _slices(batch: pa.RecordBatch, limit: int = 1 << 18):
     """Slices of a batch with about `limit` segments each; a row is never split."""
     sizes = pc.fill_null(pc.list_value_length(batch.column("seq")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (np.cumsum(sizes) - sizes) // limit
@@ -476,7 +495,7 @@ def align(
 
     counts = base.select("text").mapInArrow(_counted(), "seg string, n long").repartition(buckets, "seg").groupBy("seg").agg(F.sum("n").alias("n"))
     tokens = bucketed(counts.mapInArrow(_tokenized(shared, CALL_BYTES), "seg string, n long, a array<struct<id:int,len:int>>, b array<struct<id:int,len:int>>"), ["seg"], buckets)
-    with _joined_by_some_keys(spark), ordered_buckets(spark):
+    with _in_place(spark), ordered_buckets(spark):
         aligned = bucketed(align_segments(tokens, width), ["seg"], buckets)
 
     bin_ = F.floor(F.log2("n") * _BINS)
