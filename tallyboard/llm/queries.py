@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_alignment, vector_codes
+from tallyboard.llm import decontaminate, html_text, line_dedup, lm_score, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, suffix_dedup, token_alignment, vector_codes
 from tallyboard.sources.scratch import written
 
 
@@ -106,6 +106,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_score": op10_lm_score,
     "op11_vector_codes": op11_vector_codes,
     "op12_token_alignment": op12_token_alignment,
+    "op13_suffix_dedup": op13_suffix_dedup,
     "pipeline": pipeline,
 }
 
@@ -268,4 +274,26 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 FROM labelled
 """
 
-ORACLE: dict[str, str] = {"op11_vector_codes": OP11_SQL, "op1_substring_dedup": OP1_SQL, "op2_secret_scan": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
+#: Over the characters of each byte's hexadecimal digits, so that a place is a byte.
+OP13_SQL = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 100)) AS k
+  FROM (SELECT doc_id, x, unnest(range(len(x) // 2 - 49)) AS s FROM bytes WHERE len(x) >= 100)),
+first AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+late AS (SELECT DISTINCT doc_id, s FROM windows JOIN first USING (k) WHERE doc_id > least),
+apart AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM late),
+numbered AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM apart),
+spans AS (SELECT doc_id, span, min(s) AS low, max(s) + 50 AS high FROM numbered GROUP BY doc_id, span),
+between_ AS (
+  SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS past FROM spans),
+removed AS (
+  SELECT b.doc_id, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS last,
+         string_agg(substr(x, 2 * past + 1, 2 * (low - past)), '' ORDER BY low) AS kept
+  FROM between_ b JOIN bytes d ON b.doc_id = d.doc_id GROUP BY b.doc_id)
+SELECT d.doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes d LEFT JOIN removed r ON d.doc_id = r.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op13_suffix_dedup": OP13_SQL, "op11_vector_codes": OP11_SQL, "op1_substring_dedup": OP1_SQL, "op2_secret_scan": OP2_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
