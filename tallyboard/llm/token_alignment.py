@@ -75,7 +75,7 @@ def _byte_bpe(data: bytes) -> _Side:
     letters, special = _byte_letters(), {t["id"] for t in json.loads(data).get("added_tokens", [])}
     by_id = {i: token for token, i in tokenizer.get_vocab(with_added_tokens=True).items()}
     pieces = [by_id.get(i, "").encode() if i in special else bytes(letters[c] for c in by_id.get(i, "")) for i in range(max(by_id) + 1)]
-    return _Side(lambda text: tokenizer.encode(" " + text, add_special_tokens=False).ids, pieces)
+    return _Side(lambda text: tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, pieces)
 
 
 @lru_cache(maxsize=2)
@@ -99,35 +99,36 @@ def _sentence_pieces(data: bytes) -> _Side:
     return _Side(model.encode, pieces)
 
 
-def _tokens(side: _Side, text: str) -> list[int] | None:
-    """Ids of text, which starts with a space; None where their bytes are others than the text's."""
-    ids = side.encode(text[1:])
-    return ids if b"".join(side.pieces[i] for i in ids) == text.encode() else None
-
+def _segment_tokens(side: _Side, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all segments in one array, and where each segment's begin and how many there are; none where their bytes are others than the segment's.
 
-def _segment_tokens(side: _Side, segments: list[str]) -> list[list[int] | None]:
-    """Ids of each segment, encoded many at once behind a guard word: whatever stands before a segment does not change its tokens."""
-    out: list[list[int] | None] = [None] * len(segments)
-    open_ended = lambda s: not _SAFE_END.search(s) or "▁" in s
-    joint = [i for i, s in enumerate(segments) if not open_ended(s)]
-    alone = [i for i, s in enumerate(segments) if open_ended(s)]
-    text = _GUARD + "".join(segments[i] for i in joint)
+    Many segments are encoded at once behind a guard word: whatever stands before a segment does not change its tokens. Those after which none
+    may stand are encoded alone.
+    """
+    own = [s for s in segments if "▁" not in s and _SAFE_END.search(s)]
+    joint = np.array([bool("▁" not in s and _SAFE_END.search(s)) for s in segments], dtype=bool)
+    text = _GUARD + "".join(own)
     ids = side.encode(text[1:])
-    if joint and b"".join(side.pieces[i] for i in ids) == text.encode():
-        ends = np.cumsum(side.lengths[np.array(ids, dtype=np.int64)])
-        stops = len(_GUARD) + np.cumsum([len(segments[i].encode()) for i in joint])
-        cuts = np.searchsorted(ends, [len(_GUARD), *stops]) + 1
-        if (ends[cuts - 1] != [len(_GUARD), *stops]).any():
+    begin, count = np.zeros(len(segments), np.int64), np.zeros(len(segments), np.int64)
+    flat = np.array(ids, dtype=np.int64)
+    if own and b"".join([side.pieces[i] for i in ids]) == text.encode():
+        ends = np.cumsum(side.lengths[flat])
+        stops = len(_GUARD) + np.cumsum([0, *(len(s.encode()) for s in own)])
+        cuts = np.searchsorted(ends, stops) + 1
+        if (ends[cuts - 1] != stops).any():
             raise ValueError("a token goes over the start of a segment")
-        for i, a, b in zip(joint, cuts[:-1].tolist(), cuts[1:].tolist()):
-            out[i] = ids[a:b]
+        begin[joint], count[joint] = cuts[:-1], np.diff(cuts)
     else:
-        alone = range(len(segments))
-    guard = len(side.encode(_GUARD[1:]))
-    for i in alone:
-        ids = _tokens(side, _GUARD + segments[i])
-        out[i] = None if ids is None else ids[guard:]
-    return out
+        joint[:] = False
+    guard, more, size = len(side.encode(_GUARD[1:])), [flat], len(flat)
+    for i in np.flatnonzero(~joint):
+        text = _GUARD + segments[i]
+        ids = side.encode(text[1:])
+        if b"".join([side.pieces[k] for k in ids]) == text.encode():
+            begin[i], count[i] = size, len(ids) - guard
+            more.append(np.array(ids[guard:], dtype=np.int64))
+            size += count[i]
+    return np.concatenate(more), begin, count
 
 
 #: The last character of a segment that another may follow: no white space of any script, and no control character.
@@ -194,11 +195,11 @@ def _tokenized(data: Broadcast, call_bytes: int):
     item = pa.list_(pa.struct([("id", pa.int32()), ("len", pa.int32())]))
     schema = pa.schema([("seg", pa.string()), ("n", pa.int64()), ("a", item), ("b", item)])
 
-    def lists(side: _Side, tokens: list) -> pa.Array:
-        sizes = np.array([0 if t is None else len(t) for t in tokens], dtype=np.int64)
-        ids = np.array([i for t in tokens if t for i in t], dtype=np.int64)
+    def lists(side: _Side, ids: np.ndarray, begin: np.ndarray, count: np.ndarray) -> pa.Array:
+        at = np.concatenate([[0], np.cumsum(count)])
+        ids = ids[np.repeat(begin - at[:-1], count) + np.arange(at[-1])]
         values = pa.StructArray.from_arrays([pa.array(ids, pa.int32()), pa.array(side.lengths[ids], pa.int32())], ["id", "len"])
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
 
     def run(batches):
         sides = _byte_bpe(data.value[0]), _sentence_pieces(data.value[1])
@@ -206,10 +207,9 @@ def _tokenized(data: Broadcast, call_bytes: int):
             for part in B.chunks(batch, "seg", call_bytes):
                 segments = part.column("seg").to_pylist()
                 tokens = [_segment_tokens(side, segments) for side in sides]
-                for i, pair in enumerate(zip(*tokens)):
-                    if None in pair:
-                        tokens[0][i] = tokens[1][i] = None
-                yield pa.RecordBatch.from_arrays([part.column("seg"), part.column("n"), *map(lists, sides, tokens)], schema=schema)
+                both = (tokens[0][2] > 0) & (tokens[1][2] > 0)
+                columns = [lists(side, ids, begin, np.where(both, count, 0)) for side, (ids, begin, count) in zip(sides, tokens)]
+                yield pa.RecordBatch.from_arrays([part.column("seg"), part.column("n"), *columns], schema=schema)
 
     return run
 
