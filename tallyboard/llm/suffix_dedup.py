@@ -98,14 +98,12 @@ def _anchors(data: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray,
     least = B.sliding_min(hashes, window - seed + 1)
     new = np.concatenate([[True], least[1:] != least[:-1]])
     new[at[:-1][at[:-1] < len(new)]] = True
-    for edge in at[1:-1]:
-        new[edge - window + 1 : edge] = False
-        new[edge - window + 1] = True
+    # Windows over the edge of two texts form runs of their own, which go.
+    over = at[1:-1] - window + 1
+    new[over] = True
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, len(least)))
-    # Windows over the edge of two texts form a run of their own, which goes.
-    row = np.searchsorted(at, starts, side="right") - 1
-    inside = starts + window <= at[row + 1]
+    inside = starts + window <= at[np.searchsorted(at, starts, side="right")]
     starts, sizes = starts[inside], sizes[inside]
     cuts = -(-sizes // RUN)
     of = np.repeat(np.arange(len(starts)), cuts)
@@ -128,12 +126,16 @@ def _seeds(window: int, buckets: int):
         held, ids = [], table.column("id").fill_null(-1).to_numpy()
         for data, at, row, _ in _pieces(table, window):
             starts, _, anchors = _anchors(data, at, window)
-            own = np.stack([anchors, ids[row[np.searchsorted(at, starts, side="right") - 1]].view(np.uint64)], axis=1)
-            held.append(np.unique(own.view("u8,u8").reshape(-1)))
+            held.append((anchors, ids[row[np.searchsorted(at, starts, side="right") - 1]]))
         if not held:
             return schema.empty_table()
-        pairs = np.unique(np.concatenate(held))
-        anchors, n = np.unique(pairs["f0"], return_counts=True)
+        anchors, owners = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+        order = np.lexsort((owners, anchors))
+        anchors, owners = anchors[order], owners[order]
+        fresh = np.append(True, anchors[1:] != anchors[:-1])
+        first = np.flatnonzero(fresh)
+        n = np.add.reduceat(fresh | np.append(True, owners[1:] != owners[:-1]), first, dtype=np.int64)
+        anchors = anchors[first]
         kind = np.searchsorted(_CLASSES, n, side="right").astype(np.uint64) - np.uint64(1)
         packed = ((anchors >> np.uint64(16)) & ~np.uint64(3)) | kind
         edges = np.flatnonzero(np.diff(_bucket(anchors, buckets).astype(np.int64), prepend=-1))
