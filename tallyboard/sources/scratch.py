@@ -7,7 +7,6 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,27 +36,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-@contextmanager
-def _without_shuffles(spark: SparkSession):
-    """Jobs run within drop their shuffle files when they end: nothing reads them once the table that they made is complete."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    try:
-        before = spark.conf.get(name)
-    except PySparkException:  # a release without this setting
-        yield
-        return
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _release(spark: SparkSession) -> None:
+    """Lets the driver find out that the job just done is over: shuffle files stay on the executors until it collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def written(df: DataFrame) -> DataFrame:
     """`df` as a table in the shared folder, read again: what comes after neither repeats its work nor carries its plan."""
     path = new_path(df.sparkSession)
-    with _without_shuffles(df.sparkSession):
-        df.write.parquet(path)
+    df.write.parquet(path)
+    _release(df.sparkSession)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -71,8 +59,8 @@ def bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     """
     spark, path = df.sparkSession, new_path(df.sparkSession)
     name = f"tallyboard_{uuid.uuid4().hex}"
-    with _without_shuffles(spark):
-        df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+    _release(spark)
     out = spark.table(name)
     out._scratch_path, out._scratch_name = path, name
     return out
