@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 from tallyboard.llm import bytearrays as B
 from tallyboard.llm.ids import with_places
 from tallyboard.llm.suffix_merge import intervals, lay_out
-from tallyboard.sources.scratch import bucketed, ordered_buckets, written
+from tallyboard.sources.scratch import bucketed, discard, ordered_buckets, written
 
 GROUP_BYTES, BUCKET_SEEDS, HOT = 4 << 20, 1 << 20, 2048
 PIECE_BYTES, PART_BYTES, SHARDS, RUN = 1 << 20, 1 << 18, 4, 64
@@ -52,10 +52,13 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _blob(arrays: list[np.ndarray]) -> bytes:
-    return b"".join(np.int64(len(a)).tobytes() + a.tobytes() for a in arrays)
+    """Arrays in one compressed value, behind its length."""
+    data = b"".join(np.int64(len(a)).tobytes() + a.tobytes() for a in arrays)
+    return np.int64(len(data)).tobytes() + pa.Codec("zstd", 1).compress(data, asbytes=True)
 
 
 def _arrays(data: bytes, kinds: str) -> list[np.ndarray]:
+    data = pa.Codec("zstd", 1).decompress(data[8:], int(np.frombuffer(data, np.int64, 1)[0]), asbytes=True)
     out, at = [], 0
     for kind in kinds.split():
         n, size = int(np.frombuffer(data, np.int64, 1, at)[0]), np.dtype(kind).itemsize
@@ -219,8 +222,8 @@ def _passages(window: int, buckets: int):
         for a, b in zip(edges, [*edges[1:], len(lead)]):
             size = body_size[source[a:b]]
             places_ = np.repeat(body_at[source[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            out.append(_blob([keys[lead[a:b]], hashes[lead[a:b]], size.astype(np.int32), owner[a:b], body[places_]]))
-        out.append(_blob([rows.astype(np.int32), places.astype(np.int64), sizes.astype(np.int32), number.astype(np.int32), owner]))
+            out.append(_blob([keys[lead[a:b]], size.astype(np.int32), owner[a:b], body[places_]]))
+        out.append(_blob([rows.astype(np.int32), places.astype(np.int32), number.astype(np.int32), sizes[lead].astype(np.int32), owner]))
         g = left.column("g")[0].as_py()
         return pa.table(
             [np.append(bucket[edges], -1).astype(np.int32), np.full(len(out), g, np.int32), np.append(edges, 0).astype(np.int32), pa.array(out, pa.binary())], schema=schema
@@ -258,9 +261,10 @@ def _merged(window: int):
     schema = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        sent = [_arrays(p.as_py(), "u8 u8 i4 i8 u1") for p in table.column("passages")]
-        keys, hashes, sizes, owner = (np.concatenate([s[k] for s in sent]) for k in range(4))
-        body, at = np.concatenate([s[4] for s in sent]), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        sent = [_arrays(p.as_py(), "u8 i4 i8 u1") for p in table.column("passages")]
+        keys, sizes, owner, body = (np.concatenate([s[k] for s in sent]) for k in range(4))
+        at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        hashes = B.span_hashes(body, at[:-1], at[1:])
         order = np.lexsort((hashes, keys))
         new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]) | (keys[order][1:] != keys[order][:-1]) | (sizes[order][1:] != sizes[order][:-1])])
         number = np.empty(len(order), np.int64)
@@ -293,7 +297,7 @@ def _merged(window: int):
             count = run_at[mine + 1] - run_at[mine]
             nth = np.repeat(np.arange(len(mine)), count)
             spot = np.repeat(run_at[mine] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            use = run_owner[spot] < s[3][nth]
+            use = run_owner[spot] < s[2][nth]
             spot, nth = spot[use], nth[use]
             out.append(_blob([(nth + first).astype(np.int32), low[spot].astype(np.int32), high[spot].astype(np.int32)]) if len(spot) else b"")
         g, data = table.column("g").combine_chunks(), pa.array(out, pa.binary())
@@ -307,12 +311,12 @@ def _stripped(window: int, schema: pa.Schema):
         n, texts = left.num_rows, left.column("text").combine_chunks()
         ids = left.column("id").fill_null(-1).to_numpy()
         kinds, data = right.column("kind").to_pylist(), right.column("data")
-        own = [_arrays(d.as_py(), "i4 i8 i4 i4 i8") for k, d in zip(kinds, data) if k == 0]
+        own = [_arrays(d.as_py(), "i4 i4 i4 i4 i8") for k, d in zip(kinds, data) if k == 0]
         runs = [_arrays(d.as_py(), "i4 i4 i4") for k, d in zip(kinds, data) if k == 1]
         row = low = high = np.zeros(0, np.int64)
-        for rows, places, sizes, number, owner in own:
-            later = ids[rows] > owner[number]
-            row, low, high = rows[later].astype(np.int64), places[later], places[later] + sizes[later]
+        for rows, places, number, sizes, owner in own:
+            later, places = ids[rows] > owner[number], places.astype(np.int64)
+            row, low, high = rows[later].astype(np.int64), places[later], places[later] + sizes[number[later]]
             if runs:
                 of, a, b = (np.concatenate([r[k] for r in runs]).astype(np.int64) for k in range(3))
                 order = np.argsort(of, kind="stable")
@@ -346,7 +350,7 @@ def _stripped(window: int, schema: pa.Schema):
 def remove_repeats(
     docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, group_bytes: int = GROUP_BYTES, bucket_seeds: int = BUCKET_SEEDS
 ) -> DataFrame:
-    """One row per row of `docs`: id, n_bytes, n_removed, n_spans and the kept bytes."""
+    """One row per row of `docs`: id, n_bytes, n_removed, n_spans and the kept bytes. Texts have less than 2 GiB."""
     spark = docs.sparkSession
     base = with_places(docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text")), "own", "id")
     size = base.agg(F.sum(F.octet_length("text"))).head()[0] or 0
@@ -360,7 +364,9 @@ def remove_repeats(
         passages = dealt.groupBy("g").cogroup(repeated.groupBy("g")).applyInArrow(_passages(window, buckets), _PASSAGE_ROWS)
         passages = written(passages)
     runs = passages.where("bucket >= 0").groupBy("bucket").applyInArrow(_merged(window), "g int, kind int, data binary")
+    discard(repeated)
     found = written(passages.where("bucket < 0").select("g", F.lit(0).alias("kind"), F.col("passages").alias("data")).union(runs))
     out = StructType().add("own", base.schema["own"].dataType).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    discard(passages)
     kept = dealt.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_stripped(window, to_arrow_schema(out)), out)
     return kept.withColumnRenamed("own", id_col)
