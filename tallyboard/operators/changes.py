@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tallyboard.functions.times import HEARTBEAT_H, STALE_H, hours_between
 
@@ -51,34 +55,53 @@ def islands(polls: DataFrame, key: str, at: str, price: str, tie: str) -> DataFr
     return _runs(polls, key, at, price, tie).withColumn("priced_at", F.min(at).over(Window.partitionBy(key, "_run"))).drop("_run")
 
 
+def _followed(heartbeat: float):
+    """Adds `write` to rows sorted by source and time, in one pass that keeps one time between batches.
+
+    A row that is `_sure` writes whatever the last written check was; between such rows the next write is found by
+    binary search over the clock, so the pass takes steps by writes and not by polls.
+    """
+    beat = heartbeat * 3.6e9
+
+    def run(batches):
+        checked = 0
+        for batch in batches:
+            t = pc.fill_null(batch.column("_micros"), 0).to_numpy(zero_copy_only=False)
+            write = batch.column("_sure").to_numpy(zero_copy_only=False).copy()
+            edges = np.unique([0, *np.flatnonzero(write).tolist(), len(t)]).tolist()
+            for low, high in zip(edges, edges[1:]):
+                spot = low
+                if write[low]:
+                    checked, spot = t[low], low + 1
+                while spot < high and (spot := spot + int(np.searchsorted(t[spot:high], checked + beat))) < high:
+                    write[spot], checked, spot = True, t[spot], spot + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(write)], names=[*batch.schema.names, "write"])
+
+    return run
+
+
 def decide(polls: DataFrame, key: str, at: str, price: str, tie: str, heartbeat: float = HEARTBEAT_H, stale: float = STALE_H) -> DataFrame:
-    """Each poll with what the write-or-skip rule decides, replayed in time order.
+    """Each poll with what the write-or-skip rule decides, replayed in time order; polls without a time come first.
 
     A poll is written if it is the first, if its price moved, or if the last written check is `heartbeat`
-    hours old or lies in the future or has no time. The rule compares with the last write, so no window
-    function gives it; but a move of the price always writes, so the fold starts anew with every run of equal
-    prices. What is folded is one run of one source, not all of its polls.
+    hours old or has no time. The rule compares with the last write, so no window function gives it: windows over sources sorted by time
+    tell the moves and the rows that write in any case, and one pass over the sorted rows follows the writes between these.
+    The pass holds a batch of rows, however many polls a source has.
     """
-    poll = F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"), F.col(price).alias("price"))
-    listed = _runs(polls, key, at, price, tie).groupBy(key, "_run").agg(F.array_sort(F.collect_list(poll)).alias("_polls"))
-    when, tied, cost = (polls.schema[c].dataType.simpleString() for c in (at, tie, price))
-    entry = f"struct<at:{when},tie:{tied},price:{cost},write:boolean,changed:boolean,reason:string,priced_at:{when},stale:boolean>"
-    opening = F.when(F.col("_run") == 1, "first run").otherwise("price moved")
-    start = F.struct(F.lit(None).cast(when).alias("checked"), F.lit(None).cast(when).alias("priced"), F.lit(False).alias("seen"), F.array().cast(f"array<{entry}>").alias("out"))
-
-    def step(s: Column, p: Column) -> Column:
-        hours = hours_between(p["at"], s["checked"])
-        skip = s["seen"] & F.coalesce((hours >= 0) & (hours < heartbeat), F.lit(False))
-        reason = (
-            F.when(~s["seen"], opening).when(skip, "no change").when(hours.isNull(), "heartbeat: no readable clock").when(hours < 0, "heartbeat: clock ahead").otherwise("heartbeat")
-        )
-        priced = F.coalesce(s["priced"], p["at"])
-        old = s["seen"] & F.coalesce(hours_between(p["at"], priced) > stale, F.lit(False))
-        done = F.struct(p["at"].alias("at"), p["tie"].alias("tie"), p["price"].alias("price"), (~skip).alias("write"), (~s["seen"]).alias("changed"), reason.alias("reason"), priced.alias("priced_at"), old.alias("stale"))
-        return F.struct(F.when(skip, s["checked"]).otherwise(p["at"]).alias("checked"), priced.alias("priced"), F.lit(True).alias("seen"), F.concat(s["out"], F.array(done)).alias("out"))
-
-    replayed = F.aggregate("_polls", start, step, lambda s: s["out"])
-    return listed.select(key, F.inline(replayed)).withColumnsRenamed({"at": at, "tie": tie, "price": price})
+    sorted_ = polls.select(key, at, tie, price).repartition(key).sortWithinPartitions(key, at, tie)
+    w = Window.partitionBy(key).orderBy(at, tie)
+    before = F.lag(at).over(w)
+    unread = F.col(at).isNull() | before.isNull()
+    dated = F.last(F.when(F.col("changed") | before.isNull(), F.col(at)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    runs = _runs(sorted_, key, at, price, tie).withColumns(
+        {"priced_at": dated, "_unread": unread, "_micros": F.unix_micros(F.col(at).cast("timestamp")), "_sure": F.col("changed") | unread | (hours_between(F.col(at), before) >= heartbeat)}
+    )
+    followed = runs.mapInArrow(_followed(heartbeat), StructType([*runs.schema.fields, StructField("write", BooleanType())]))
+    reason = (
+        F.when(F.col("changed") & (F.col("_run") == 1), "first run").when(F.col("changed"), "price moved").when(~F.col("write"), "no change").when(F.col("_unread"), "heartbeat: no readable clock").otherwise("heartbeat")
+    )
+    old = ~F.col("changed") & F.coalesce(hours_between(F.col(at), F.col("priced_at")) > stale, F.lit(False))
+    return followed.select(key, at, tie, price, "write", "changed", reason.alias("reason"), "priced_at", old.alias("stale"))
 
 
 def moved_sources(decided: DataFrame, key: str) -> DataFrame:
