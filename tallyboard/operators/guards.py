@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.numbers import FUTURES_UNITS, futures_scale, round_to, rounding_explains
 from tallyboard.operators.bands import band_for
+from tallyboard.sources.scratch import written
 
 # Fixed values, in cents.
 TOLERANCE, TORN_MAX, BASIS_UNIT_MAX, EIGHTH = 0.05, 0.5, 5.0, 0.125
@@ -123,9 +124,15 @@ def failure_details(rows: DataFrame) -> DataFrame:
     return failing.join(last, keys, "left").withColumns({"month": named("_last.futures", "?"), "at": named("_last.futures_at", None)}).drop("_last")
 
 
-def page_places(rows: DataFrame, *ties: str) -> DataFrame:
-    """`rows` with `place` from 0 in each source, in page order; a row without a number comes late."""
-    order = Window.partitionBy("source_id").orderBy(F.coalesce("seq", F.lit(9999)), "commodity", "delivery", *ties)
+def _page_order(rows: DataFrame) -> list[Column | str]:
+    """By number (a row without one comes late) and names; among equal ones by `place` on the page where the reader gives it, and by what they show."""
+    last = [c for c in ("place", "cash", "basis", "futures_price", "futures", "futures_at", "location") if c in rows.columns]
+    return [F.coalesce("seq", F.lit(9999)), "commodity", "delivery", *last]
+
+
+def page_places(rows: DataFrame) -> DataFrame:
+    """`rows` with `place` from 0 in each source, in the order in which they are published."""
+    order = Window.partitionBy("source_id").orderBy(*_page_order(rows))
     return rows.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
 
 
@@ -143,6 +150,8 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
     `sources` has source_id, location_id, has_location_key, bands (map), floor, ceiling, cash_rounding,
     cash_rounding_cents and futures_units. Every source gets rows in `published`, or one row in
     `refusals`; `withheld` lists commodities (and zero quotes, row by row) of sources not refused.
+
+    The rows are grouped once; that table, of few rows a source, is written, and all but the published rows come from it.
     """
     settings = sources.select(
         "source_id",
@@ -173,11 +182,12 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
             "_band": band_for(F.col("commodity"), F.col("bands"), F.col("floor"), F.col("ceiling")),
         }
     )
-    label = F.concat("location", F.coalesce(F.concat(F.lit(" ("), null_id(F.col("location_id")), F.lit(")")), F.lit("")))
+    label = labels()
     name = F.coalesce(F.nullif("commodity", F.lit("")), F.lit("(unnamed)"))
     outside = (F.col("cash") < F.col("_band.floor")) | (F.col("cash") > F.col("_band.ceiling"))
     some = lambda c: F.first(c, True).alias(c)
-    by_commodity = (
+    zeros = {"zero_named": F.coalesce(F.col("commodity") != "", F.lit(False)), "zero_empty": F.coalesce(F.col("commodity") == "", F.lit(False)), "zero_null": F.col("commodity").isNull()}
+    by_commodity = written(
         flagged.groupBy("source_id", name.alias("commodity"))
         .agg(
             *(some(c) for c in ("has_location_key", "scale", "own_location", "mode")),
@@ -185,6 +195,7 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
             F.count_if("_located").alias("n_located"),
             F.collect_set(F.when(F.col("_located"), F.nullif("location", F.lit("")))).alias("places"),
             F.count_if("_kept").alias("n_kept"),
+            *(F.count_if(F.col("_zero") & test).alias(c) for c, test in zeros.items()),
             F.count_if("_tested").alias("n_testable"),
             F.count_if("_fails").alias("n_failing"),
             F.max(F.when(F.col("_fails"), F.abs(signed_cents()))).alias("worst_cents"),
@@ -239,11 +250,13 @@ def run_guards(rows: DataFrame, sources: DataFrame) -> Outcome:
     refusals = coded.where("code is not null").select("source_id", rank.alias("rank"), "code")
     fine = coded.where("code is null").select("source_id")
     diagnostics = coded.select("source_id", (F.col("n_parsed") - F.col("n_located")).alias("dropped"), F.col("n_testable").alias("verified"), vote.alias("verdict"), "locations", "board_at", "code")
-    zero = flagged.where("_zero").select("source_id", "commodity", F.lit(1).cast("long").alias("rows"), F.lit("zero_quote").alias("why"))
+    raw = {"zero_named": F.col("commodity"), "zero_empty": F.lit(""), "zero_null": F.lit(None).cast("string")}
+    counted = by_commodity.select("source_id", F.inline(F.array(*(F.struct(value.alias("commodity"), F.col(c).alias("n")) for c, value in raw.items()))))
+    zero = counted.where("n > 0").select("source_id", "commodity", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("rows")).withColumns({"rows": F.lit(1).cast("long"), "why": F.lit("zero_quote")})
     banned = by_commodity.where(F.col("fate").isin("no_band", "all_out_of_band")).select("source_id", "commodity", F.col("n_kept").alias("rows"), F.col("fate").alias("why"))
     withheld = zero.unionByName(banned).join(fine, "source_id", "left_semi")
     open_ = by_commodity.where("fate = 'published'").select("source_id", F.col("commodity").alias("_name")).join(fine, "source_id", "left_semi")
-    order = Window.partitionBy("source_id").orderBy(F.coalesce("seq", F.lit(9999)), "commodity", "delivery")
+    order = Window.partitionBy("source_id").orderBy(*_page_order(rows))
     published = (
         flagged.where("_kept")
         .join(open_, ["source_id"])
@@ -268,11 +281,19 @@ def published_month(futures: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(F.coalesce(futures, F.lit("")), r"(?i)\s*corn\s*$", "")), F.lit(""))
 
 
+def labels() -> Column:
+    """A row's place as a page shows it: the name, and the id behind it."""
+    return F.concat("location", F.coalesce(F.concat(F.lit(" ("), null_id(F.col("location_id")), F.lit(")")), F.lit("")))
+
+
 def other_locations(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Locations on a source's page that are not its own, by equality of ids; none where the id is null."""
-    own = sources.select("source_id", null_id(F.col("location_id")).alias("_own"))
-    there = rows.join(own, "source_id").where(F.col("_own").isNotNull() & ~null_id(F.col("location_id")).eqNullSafe(F.col("_own")))
-    return there.select("source_id", "location").distinct()
+    """Labels on a source's page that do not contain its id anywhere, so an id within a longer one counts as its own; none where the id is null.
+
+    Rows meet their source by its key, and each distinct label of a source is looked through once.
+    """
+    own = sources.select("source_id", null_id(F.col("location_id")).alias("_own")).where(F.col("_own").isNotNull())
+    shown = rows.select("source_id", labels().alias("location")).where(F.col("location").isNotNull()).distinct()
+    return shown.join(own, "source_id").where(~F.contains("location", "_own")).select("source_id", "location")
 
 
 def known_units() -> list[str]:

@@ -25,7 +25,7 @@ _LEVEL = _case("p_type", {k: v[1] for k, v in CROPS.items()}, "100")
 #: A common table expression that both engines run; the first names differ in the month's format alone.
 _BOARD = """
 raw AS (
-  SELECT l_suppkey AS source_id, l_orderkey AS order_key, l_linenumber AS line, l_orderkey * 8 + l_linenumber AS seq,
+  SELECT l_suppkey AS source_id, l_orderkey AS order_key, l_linenumber AS line, l_orderkey * 8 + l_linenumber AS seq, CAST(l_partkey AS BIGINT) * 100000000 + CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS place,
          {name} AS commodity, {month} AS delivery, n_name AS location, CAST(n_nationkey AS STRING) AS location_id,
          8 * (({level}) + CAST(floor(l_extendedprice / 1000) AS BIGINT)) + l_linenumber % 8 AS fut_e8,
          -5 * CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS basis_cents,
@@ -38,7 +38,7 @@ priced AS (
                  ELSE 8 * CAST(floor((fut_e8 + 8 * basis_cents) / 8.0 + 0.5) AS BIGINT) END AS cash_e8
   FROM raw),
 board AS (
-  SELECT source_id, order_key, line, seq, commodity, delivery, location, location_id, futures, futures_at, basis_cents, fut_e8, cash_e8,
+  SELECT source_id, order_key, line, seq, place, commodity, delivery, location, location_id, futures, futures_at, basis_cents, fut_e8, cash_e8,
          CAST(cash_e8 AS DOUBLE) / 800 AS cash, CAST(basis_cents AS DOUBLE) / 100 AS basis,
          CAST(fut_e8 + CASE WHEN source_id % 6 = 0 AND order_key % 5 = 0 THEN 2 WHEN source_id % 30 = 15 AND order_key % 4 = 0 THEN -9 ELSE 0 END AS DOUBLE) / 8 AS futures_price
   FROM priced)
@@ -61,7 +61,7 @@ ROUGH_SQL = (
     BOARD_SQL
     + """,
 rough AS (
-  SELECT CASE WHEN source_id % 37 = 11 THEN source_id - 1 ELSE source_id END AS source_id, seq, CASE WHEN source_id % 7 = 0 THEN '' ELSE location_id END AS location_id,
+  SELECT CASE WHEN source_id % 37 = 11 THEN source_id - 1 ELSE source_id END AS source_id, seq, place, CASE WHEN source_id % 7 = 0 THEN '' ELSE location_id END AS location_id,
          CASE WHEN source_id % 21 = 7 AND order_key % 2 = 0 THEN 'Elsewhere' ELSE location END AS location,
          commodity, delivery,
          CASE WHEN order_key % 301 = 0 AND source_id % 5 = 1 THEN NULL
@@ -112,7 +112,7 @@ GUARDS_SQL = (
 scaled AS (
   SELECT s.source_id, s.location_id AS own, s.has_location_key, s.cash_rounding AS mode, s.own_bands,
          CASE coalesce(s.futures_units, 'cents') WHEN 'cents' THEN 1 WHEN 'dollars' THEN 100 ELSE NULL END AS scale,
-         r.source_id IS NOT NULL AS there, r.seq, nullif(r.location_id, '') AS location_id, r.location, r.commodity, r.delivery, r.cash, r.basis, r.basis_cents, r.futures, r.futures_at,
+         r.source_id IS NOT NULL AS there, r.seq, r.place, nullif(r.location_id, '') AS location_id, r.location, r.commodity, r.delivery, r.cash, r.basis, r.basis_cents, r.futures, r.futures_at,
          CASE WHEN coalesce(s.futures_units, 'cents') = 'cents' THEN r.futures_price
               WHEN s.futures_units = 'dollars' THEN floor(r.futures_price * 100 * 10000 + 0.5) / 10000.0 ELSE NULL END AS fp
   FROM sources s LEFT JOIN rough r ON s.source_id = r.source_id),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyboard.functions.numbers import futures_scale as scale_of
 from tallyboard.functions.numbers import round_to
 from tallyboard.operators import changes, guards, profile
 from tallyboard.operators.bands import band_for
@@ -116,8 +117,13 @@ def location_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source_id").agg(F.count_if(there & here).alias("located"), F.count_if(there & ~here).alias("dropped"), F.count_distinct(F.when(there, F.col("location"))).alias("places"))
 
 
-@query(f"WITH {ROUGH_SQL}, own AS (SELECT s_suppkey AS source_id, CASE WHEN s_suppkey % 7 <> 0 THEN CAST(s_nationkey % 5 AS STRING) END AS own FROM supplier) SELECT DISTINCT r.source_id, r.location FROM rough r JOIN own o ON r.source_id = o.source_id WHERE o.own IS NOT NULL AND nullif(r.location_id, '') IS DISTINCT FROM o.own")
+@query(
+    f"""WITH {ROUGH_SQL}, own AS (SELECT s_suppkey AS source_id, CASE WHEN s_suppkey % 7 <> 0 THEN CAST(s_nationkey % 5 AS STRING) END AS own FROM supplier)
+    SELECT DISTINCT r.source_id, r.location || coalesce(' (' || nullif(r.location_id, '') || ')', '') AS location FROM rough r JOIN own o ON r.source_id = o.source_id
+    WHERE o.own IS NOT NULL AND NOT contains(r.location || coalesce(' (' || nullif(r.location_id, '') || ')', ''), o.own)"""
+)
 def other_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of one digit, which the pages' ids of one and two digits hold."""
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     own = supplier.select(F.col("s_suppkey").alias("source_id"), F.when(F.col("s_suppkey") % 7 != 0, (F.col("s_nationkey") % 5).cast("string")).alias("location_id"))
     return guards.other_locations(rough(spark, sf_dir), own)
@@ -191,17 +197,17 @@ def guard_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {BOARD_SQL}, n AS (SELECT source_id, seq, commodity, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery, cash, futures_price) - 1 AS place FROM board)
-    SELECT source_id, place, seq FROM n"""
+    f"""WITH {BOARD_SQL}, n AS (SELECT source_id, seq, commodity, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery, place) - 1 AS page_place FROM board)
+    SELECT source_id, page_place AS place, seq FROM n"""
 )
 def published_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return guards.page_places(board(spark, sf_dir), "cash", "futures_price").select("source_id", "place", "seq")
+    return guards.page_places(board(spark, sf_dir)).select("source_id", "place", "seq")
 
 
 @query(
     _G
     + """, pub AS (SELECT f.* FROM flagged f JOIN coded c ON f.source_id = c.source_id AND c.code IS NULL JOIN per_crop p ON p.source_id = f.source_id AND p.commodity = f.commodity AND p.fate = 'published' WHERE f.kept)
-    SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery) - 1 AS seq, commodity, delivery, cash FROM pub"""
+    SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY seq, commodity, delivery, place) - 1 AS seq, commodity, delivery, cash FROM pub"""
 )
 def published_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = guards.run_guards(rough(spark, sf_dir), sources(spark, sf_dir)).published
@@ -228,9 +234,17 @@ def basis_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rough(spark, sf_dir).where(guards.basis_units_wrong()).groupBy("source_id").agg(F.count("*").alias("wrong_units"))
 
 
-@query(f"WITH {BOARD_SQL} SELECT source_id, seq, floor(futures_price / 100 * 100 * 10000 + 0.5) / 10000.0 AS cents FROM board")
+@query(
+    f"""WITH {BOARD_SQL}, u AS (SELECT *, CASE order_key % 5 WHEN 0 THEN 'Dollars' WHEN 1 THEN 'cents' WHEN 2 THEN 'ticks' WHEN 3 THEN NULL ELSE location END AS unit FROM board),
+    s AS (SELECT *, CASE WHEN unit IS NULL OR lower(unit) IN ('cents', 'ticks') THEN 1 WHEN lower(unit) = 'dollars' THEN 100 END AS scale FROM u)
+    SELECT source_id, seq, place, unit, scale, floor(futures_price / 100 * scale * 10000 + 0.5) / 10000.0 AS cents FROM s"""
+)
 def futures_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return board(spark, sf_dir).select("source_id", "seq", round_to(F.col("futures_price") / 100 * 100, 4).alias("cents"))
+    """A fifth of the quotes in each unit, in none, and in one that is not known."""
+    m = F.col("order_key") % 5
+    unit = F.when(m == 0, "Dollars").when(m == 1, "cents").when(m == 2, "ticks").when(m == 4, F.col("location"))
+    rows = board(spark, sf_dir).withColumn("unit", unit).withColumn("scale", scale_of(F.col("unit")))
+    return rows.select("source_id", "seq", "place", "unit", "scale", round_to(F.col("futures_price") / 100 * F.col("scale"), 4).alias("cents"))
 
 
 _MOVES = f"""WITH {BOARD_SQL},
