@@ -246,13 +246,12 @@ def _owners(data: np.ndarray, at: np.ndarray, owner: np.ndarray, window: int) ->
     total = np.cumsum(sizes) - sizes
     windows = np.arange(sizes.sum())
     number[np.repeat(starts - total, sizes) + windows] = windows
-    of = np.repeat(owner, sizes)
+    out = np.repeat(owner, sizes)
     suffixes, group = intervals(texts, window)
     own = number[suffixes]
-    own, group = own[own >= 0], group[own >= 0]
-    least = np.minimum.reduceat(of[own], np.flatnonzero(np.diff(group, prepend=-1)))
-    out = np.empty(len(windows), np.int64)
-    out[own] = np.repeat(least, np.diff(np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))))
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    if len(first):
+        out[own] = np.repeat(np.minimum.reduceat(out[own], first), np.diff(np.append(first, len(group))))
     return out
 
 
@@ -264,7 +263,8 @@ def _merged(window: int):
         sent = [_arrays(p.as_py(), "u8 i4 i8 u1") for p in table.column("passages")]
         keys, sizes, owner, body = (np.concatenate([s[k] for s in sent]) for k in range(4))
         at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        hashes = B.span_hashes(body, at[:-1], at[1:])
+        edges = [np.concatenate([[0], np.cumsum(s[1], dtype=np.int64)]) for s in sent]
+        hashes = np.concatenate([B.span_hashes(s[3], e[:-1], e[1:]) for s, e in zip(sent, edges)])
         order = np.lexsort((hashes, keys))
         new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]) | (keys[order][1:] != keys[order][:-1]) | (sizes[order][1:] != sizes[order][:-1])])
         number = np.empty(len(order), np.int64)

@@ -6,7 +6,8 @@ Merging never sorts suffixes again. It starts from the interleaving by the first
 in the interleaving so far and deals out their predecessors stably by their STEP bytes, which is the
 interleaving at STEP more bytes of depth: shards keep their own order, only the interleaving changes.
 Neighbours get a boundary in the first round that tells them apart, so at the end runs without a boundary are
-the intervals of suffixes whose common prefix has the wanted length.
+the intervals of suffixes whose common prefix has the wanted length. A suffix alone between two boundaries has no equal at any
+greater depth, nor has its predecessor: it is left out from there on, as is one that runs over the end of its passage.
 """
 
 from __future__ import annotations
@@ -69,36 +70,40 @@ def _dealt(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both >> np.uint64(24), (both & np.uint64(MOST - 1)).astype(np.int64)
 
 
+def _whole(grams: np.ndarray, n: int) -> np.ndarray:
+    """Which runs of n bytes have no zero: zeros come STEP at a time, so one stands at an end."""
+    return ((grams & np.uint64(0xFF)) > 0) & ((grams >> np.uint64(8 * (n - 1))) > 0)
+
+
 def intervals(texts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For shards laid out by `lay_out`: all suffixes in merged order, numbered through the shards' strings, and each one's interval at `depth`."""
+    """For shards laid out by `lay_out`: the suffixes that share their first `depth` bytes, all within a passage, with another one, numbered through
+    the shards' strings in merged order, and each one's interval."""
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     n = first[-1]
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     if n > MOST:
         raise ValueError("shards of one merge have at most 2**24 bytes")
     # Arrays over the shards' suffix orders, one after the other.
-    suffix = np.concatenate([sorted_suffixes(t) + a for t, a in zip(texts, first)])
+    suffix = np.concatenate([np.zeros(0, np.int64), *(sorted_suffixes(t) + a for t, a in zip(texts, first))])
     place = np.empty(n, np.int32)
     place[suffix] = np.arange(n, dtype=np.int32)
-    grams = np.concatenate([_grams(t) for t in texts])
-    # The first STEP suffixes of a shard's string have no predecessor; a gram above all others puts them last.
-    alone = suffix - np.repeat(first[:-1], np.diff(first)) < STEP
+    grams = np.concatenate([np.zeros(0, np.uint64), *(_grams(t) for t in texts)])
     before = np.maximum(suffix - STEP, 0)
-    preceding, previous = np.where(alone, np.uint64((1 << 40) - 1), grams[before]), place[before]
-    # The last STEP places of a shard hold its shortest suffixes, which are its least.
-    least = np.concatenate([np.arange(a, a + STEP, dtype=np.int32) for a in first[:-1]])
+    preceding, previous = np.where(suffix >= STEP, grams[before], np.uint64(0)), place[before]
 
     begin = depth % STEP or STEP
-    heads, order = _dealt(grams[suffix] >> np.uint64(8 * (STEP - begin)))
-    group = np.zeros(n, np.int32)
-    np.cumsum(heads[1:] != heads[:-1], out=group[1:])
-    apart = np.ones(n, bool)
-    for _ in range((depth - begin) // STEP):
-        symbols, by = _dealt(preceding[order])
-        symbols, by = symbols[: n - len(least)], by[: n - len(least)]
-        held = group[by]
-        order = np.concatenate([least, previous[order[by]]])
-        apart[len(least) + 1 :] = (symbols[1:] != symbols[:-1]) | (held[1:] != held[:-1])
-        group = np.cumsum(apart, dtype=np.int32)
-    return suffix[order], group
+    heads = grams[suffix] >> np.uint64(8 * (STEP - begin))
+    order = np.flatnonzero(_whole(heads, begin))
+    symbols, by = _dealt(heads[order])
+    order, held = order[by], np.zeros(len(order), np.int32)
+    for done in range(begin, depth + 1, STEP):
+        apart = np.ones(len(order) + 1, bool)
+        apart[1:-1] = (symbols[1:] != symbols[:-1]) | (held[1:] != held[:-1])
+        tied = ~(apart[:-1] & apart[1:])
+        order, group = order[tied], np.cumsum(apart[:-1], dtype=np.int32)[tied]
+        if done == depth:
+            return suffix[order], group
+        symbols = preceding[order]
+        use = _whole(symbols, STEP)
+        symbols, by = _dealt(symbols[use])
+        order, held = previous[order[use][by]], group[use][by]
+    raise AssertionError

@@ -73,7 +73,12 @@ def test_intervals_of_merged_shards(depth):
         texts = [lay_out(np.frombuffer(b"".join(s), np.uint8), np.cumsum([0, *map(len, s)]))[0] for s in (passages[k::3] for k in range(3))]
         suffixes, group = intervals(texts, depth)
         whole = np.concatenate(texts).tobytes()
-        assert sorted(suffixes.tolist()) == list(range(len(whole)))
-        windows = [(whole[s : s + depth], g) for s, g in zip(suffixes.tolist(), group.tolist())]
-        windows = {w for w in windows if len(w[0]) == depth and 0 not in w[0]}
-        assert len(windows) == len({w for w, _ in windows}) == len({g for _, g in windows})
+        windows = {}
+        for k in range(len(whole) - depth + 1):
+            if 0 not in whole[k : k + depth]:
+                windows.setdefault(whole[k : k + depth], []).append(k)
+        found = {}
+        for k, g in zip(suffixes.tolist(), group.tolist()):
+            found.setdefault(g, []).append(k)
+        assert sorted(sorted(x) for x in found.values()) == sorted(x for x in windows.values() if len(x) > 1)
+        assert [whole[k : k + depth] for k in suffixes.tolist()] == sorted(whole[k : k + depth] for k in suffixes.tolist())
