@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from tallyboard.llm import bytearrays as B
-from tallyboard.sources.scratch import bucketed, ordered_buckets, written
+from tallyboard.sources.scratch import bucketed, discard, ordered_buckets, written
 
 #: Bytes of the broadcast segments, of the pairs in a block of counts, of segments that one call encodes.
 HOT_BYTES, BLOCK_PAIRS, CALL_BYTES = 32 << 20, 1 << 22, 1 << 20
@@ -497,6 +497,7 @@ def align(
     tokens = bucketed(counts.mapInArrow(_tokenized(shared, CALL_BYTES), "seg string, n long, a array<struct<id:int,len:int>>, b array<struct<id:int,len:int>>"), ["seg"], buckets)
     with _in_place(spark), ordered_buckets(spark):
         aligned = bucketed(align_segments(tokens, width), ["seg"], buckets)
+    discard(tokens)
 
     bin_ = F.floor(F.log2("n") * _BINS)
     total, least = 0, None
@@ -513,8 +514,9 @@ def align(
     compact = bucketed(numbered.repartition(buckets, "row"), ["row"], buckets)
     rare = compact.select("row", F.posexplode("rest").alias("k", "rest")).select("row", "k", F.col("rest.seg").alias("seg"), F.col("rest.n").alias("n"))
     payload = aligned.select("seg", "n_a", "n_b", "n_groups", "groups", "links")
-    rare = rare.join(payload, "seg").groupBy("row").agg(F.collect_list(F.struct("k", "n", "n_a", "n_b", "n_groups", "groups", "links")).alias("rare"))
-    rare = bucketed(rare.repartition(buckets, "row"), ["row"], buckets)
+    met = rare.join(payload, "seg").select("row", F.struct("k", "n", "n_a", "n_b", "n_groups", "groups", "links").alias("rare"))
+    rare = bucketed(met.repartition(buckets, "row").groupBy("row").agg(F.collect_list("rare").alias("rare")), ["row"], buckets)
+    discard(aligned)
 
     with ordered_buckets(spark):
         pairs = compact.join(rare, "row", "left").select("seq", "rare").mapInArrow(_linked(known), "link long, n long")
