@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyboard.operators.ranking import numbered
 
@@ -21,9 +22,15 @@ def state_counts(states: DataFrame) -> DataFrame:
     return found.withColumn("verdict", F.when((F.col("down") > 0) | (F.col("total") == 0), "down").when(F.col("late") > 0, "late").otherwise("live"))
 
 
-def ordered(states: DataFrame, then: list[str]) -> DataFrame:
-    """`states` with `place` from 1: what is wrong first, then by the columns named."""
-    return numbered(states, [state_rank(F.col("state")), *then], "place").withColumn("place", F.col("place") + 1)
+def ordered(states: DataFrame, then: list[str], collation: str = "UNICODE") -> DataFrame:
+    """`states` with `place` from 1: what is wrong first, then by the columns named, texts as readers order them.
+
+    Texts (null is empty) are compared by a collation: accents and case tell apart only what is otherwise equal. Its sort keys are what the ranges are cut
+    by, so the order is whole over any number of partitions. Texts that no collation tells apart go by code points.
+    """
+    texts = [c for c in then if isinstance(states.schema[c].dataType, StringType)]
+    keys = [F.collate(F.coalesce(c, F.lit("")), collation) if c in texts else F.col(c) for c in then]
+    return numbered(states, [state_rank(F.col("state")), *keys, *texts], "place").withColumn("place", F.col("place") + 1)
 
 
 def gaps(rows: DataFrame, key: str, at: str, tie: str) -> DataFrame:

@@ -145,6 +145,49 @@ def local_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polls(spark, sf_dir).select("event_id", F.inline(F.array(times.local_parts(F.col("ts")))))
 
 
+#: Four zones, two of them south of the equator or without a summer time, over two years of times.
+_ZONES = ["America/New_York", "America/Denver", "Europe/London", "Australia/Sydney", "Asia/Kolkata"]
+_ZONED = f"""z AS (SELECT event_id, CASE event_id % 5 {" ".join(f"WHEN {k} THEN '{z}'" for k, z in enumerate(_ZONES))} END AS zone,
+    CASE event_id % 7 WHEN 0 THEN TIMESTAMP '2024-03-10 06:59:30' + to_seconds(event_id % 60) WHEN 1 THEN TIMESTAMP '2024-10-27 00:59:30' + to_seconds(event_id % 60)
+      WHEN 2 THEN TIMESTAMP '2024-04-06 15:59:30' + to_seconds(event_id % 60) ELSE ts + to_days(CAST(event_id % 700 AS INT)) END AS utc FROM events)"""
+
+
+@query(
+    f"""WITH {_ZONED}, l AS (SELECT *, timezone(zone, timezone('UTC', utc)) AS here FROM z), o AS (SELECT *, CAST((epoch_us(here) - epoch_us(utc)) // 60000000 AS BIGINT) AS m FROM l)
+    SELECT event_id, zone, strftime(here, '%Y-%m-%d') AS day, strftime(here, '%H:%M:%S') AS time,
+      CASE zone WHEN 'America/New_York' THEN CASE m WHEN -240 THEN 'EDT' ELSE 'EST' END WHEN 'America/Denver' THEN CASE m WHEN -360 THEN 'MDT' ELSE 'MST' END
+        ELSE 'GMT' || CASE WHEN m = 0 THEN '' ELSE '+' || (m // 60) || CASE WHEN m % 60 = 0 THEN '' ELSE ':' || (m % 60) END END END AS abbreviation FROM o"""
+)
+def zone_abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clocks in five zones over two years; three sevenths of the times lie around a change of the hour."""
+    from tallyboard.functions.zones import local_clocks, zone_changes
+
+    m = F.col("event_id") % 7
+    second = (F.col("event_id") % 60).cast("long") * 1_000_000
+    around = lambda t: F.timestamp_micros(F.unix_micros(F.lit(t).cast("timestamp")) + second)
+    later = F.timestamp_micros(F.unix_micros("ts") + (F.col("event_id") % 700).cast("long") * 86_400_000_000)
+    utc = F.when(m == 0, around("2024-03-10 06:59:30")).when(m == 1, around("2024-10-27 00:59:30")).when(m == 2, around("2024-04-06 15:59:30")).otherwise(later)
+    zone = F.element_at(F.array(*map(F.lit, _ZONES)), (F.col("event_id") % 5 + 1).cast("int"))
+    rows = polls(spark, sf_dir).select("event_id", zone.alias("zone"), utc.alias("utc"))
+    found = local_clocks(rows, "utc", "zone", zone_changes(spark, _ZONES, 2023, 2026))
+    return found.select("event_id", "zone", F.col("local_day").alias("day"), F.col("local_time").alias("time"), F.col("local_zone").alias("abbreviation"))
+
+
+#: Names of which accents, case and punctuation decide the order.
+_NAMES = ["Zoë", "zoe", "Zoe", "Émile", "emil", "Emil", "Ångström", "angstrom", "co-op", "Coop", "co op", "Öl", "ol", "Straße", "Strasse", "ñandú", "nandu", "_x", "10", "2"]
+
+
+@query(
+    _LAST
+    + f"""SELECT user_id, name, row_number() OVER (ORDER BY CASE state WHEN 'down' THEN 1 WHEN 'late' THEN 2 ELSE 3 END, icu_sort_key(name, 'en'), encode(name), user_id) AS place
+    FROM (SELECT user_id, state, ([{", ".join(f"'{n}'" for n in _NAMES)}])[user_id % {len(_NAMES)} + 1] AS name FROM s)"""
+)
+def status_board_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("user_id") % len(_NAMES) + 1).cast("int"))
+    named = _states(spark, sf_dir).withColumn("name", name)
+    return status.ordered(named, ["name", "user_id"]).select("user_id", "name", "place")
+
+
 @query(
     """WITH t AS (SELECT event_id, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS f FROM events),
     c AS (SELECT event_id, f, unnest(generate_series(date_trunc('hour', f), date_trunc('hour', f) + INTERVAL 4 DAY, INTERVAL 1 HOUR)) AS h FROM t),

@@ -48,11 +48,13 @@ def snapshot_states(spark: SparkSession, folder: str, config: DataFrame) -> Data
 
 
 def usable(pages: DataFrame, config: DataFrame) -> DataFrame:
-    """For every source the first of its URLs, in order, whose page came and is long enough for its kind."""
+    """For every source the first of its URLs, in order, whose page came and is long enough for its kind; of several good fetches of a URL the latest."""
     asked = config.select("source_id", "platform", "browser_page", "wire", F.posexplode("urls").alias("k", "url"))
-    own = pages.select("browser_page", "url", "status", "body").dropDuplicates(["browser_page", "url"])
-    joined = asked.join(own, ["browser_page", "url"]).where(F.col("status").between(200, 299) & ((F.col("wire") == "json") | (F.length("body") >= LEAST_HTML)))
-    return joined.groupBy("source_id", "platform").agg(F.min_by(F.struct("url", "body"), "k").alias("p")).select("source_id", "platform", "p.*")
+    joined = asked.join(pages.select("browser_page", "url", "status", "body", "fetched_at"), ["browser_page", "url"])
+    good = joined.where(F.col("status").between(200, 299) & ((F.col("wire") == "json") | (F.length("body") >= LEAST_HTML)))
+    # Of fetches at one time, or at none, the greatest body: the same whatever order they come in.
+    best = F.max_by(F.struct("url", "body"), F.struct((-F.col("k")).alias("k"), "fetched_at", "body"))
+    return good.groupBy("source_id", "platform").agg(best.alias("p")).select("source_id", "platform", "p.*")
 
 
 def api_url(base: Column, token: Column) -> Column:
