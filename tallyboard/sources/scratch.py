@@ -10,6 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Scratch tables are written and read a few times: they take less room at little more time.
+CODEC = "zstd"
+
+
 def root(spark: SparkSession) -> str:
     """What the session names in `spark.checkpoint.dir`. Only on one machine, as in tests, a temporary folder stands in where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -44,7 +48,7 @@ def _release(spark: SparkSession) -> None:
 def written(df: DataFrame) -> DataFrame:
     """`df` as a table in the shared folder, read again: what comes after neither repeats its work nor carries its plan."""
     path = new_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     _release(df.sparkSession)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
@@ -59,7 +63,7 @@ def bucketed(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     """
     spark, path = df.sparkSession, new_path(df.sparkSession)
     name = f"tallyboard_{uuid.uuid4().hex}"
-    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).option("compression", CODEC).saveAsTable(name, format="parquet")
     _release(spark)
     out = spark.table(name)
     out._scratch_path, out._scratch_name = path, name
