@@ -33,7 +33,7 @@ from tallyboard.llm.ids import with_places
 from tallyboard.llm.suffix_merge import intervals, lay_out
 from tallyboard.sources.scratch import bucketed, discard, ordered_buckets, written
 
-GROUP_BYTES, BUCKET_SEEDS, HOT = 4 << 20, 1 << 20, 2048
+GROUP_BYTES, BUCKET_SEEDS, HOT = 8 << 20, 1 << 20, 2048
 PIECE_BYTES, PART_BYTES, SHARDS, RUN = 1 << 20, 1 << 18, 4, 64
 _CLASSES = np.array([1, 2, 16, 256])
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -173,7 +173,7 @@ _PASSAGE_ROWS = "bucket int, g int, first int, passages binary"
 
 
 def _passages(window: int, buckets: int):
-    """Rows for buckets (key, size, owner and bytes of each distinct passage) and one of bucket -1 for the group itself: where its passages occur."""
+    """Rows for buckets (key, size, owner and bytes of each distinct passage) and one of a negative bucket for the group itself: where its passages occur."""
     schema = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("first", pa.int32()), ("passages", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -226,7 +226,7 @@ def _passages(window: int, buckets: int):
         out.append(_blob([rows.astype(np.int32), places.astype(np.int32), number.astype(np.int32), sizes[lead].astype(np.int32), owner]))
         g = left.column("g")[0].as_py()
         return pa.table(
-            [np.append(bucket[edges], -1).astype(np.int32), np.full(len(out), g, np.int32), np.append(edges, 0).astype(np.int32), pa.array(out, pa.binary())], schema=schema
+            [np.append(bucket[edges], -1 - g).astype(np.int32), np.full(len(out), g, np.int32), np.append(edges, 0).astype(np.int32), pa.array(out, pa.binary())], schema=schema
         )
 
     return run
@@ -362,10 +362,11 @@ def remove_repeats(
         seeds = dealt.groupBy("g").applyInArrow(_seeds(window, buckets), _SEED_ROWS)
         repeated = written(seeds.groupBy("bucket").applyInArrow(_repeated(hot), "g int, seeds binary"))
         passages = dealt.groupBy("g").cogroup(repeated.groupBy("g")).applyInArrow(_passages(window, buckets), _PASSAGE_ROWS)
-        passages = written(passages)
-    runs = passages.where("bucket >= 0").groupBy("bucket").applyInArrow(_merged(window), "g int, kind int, data binary")
-    discard(repeated)
-    found = written(passages.where("bucket < 0").select("g", F.lit(0).alias("kind"), F.col("passages").alias("data")).union(runs))
+        # By bucket already: the merge reads it as it lies, and the text of passages is on disk twice only while this table is made.
+        passages = bucketed(passages.repartition(tables, "bucket"), ["bucket"], tables)
+        discard(repeated)
+        runs = passages.where("bucket >= 0").groupBy("bucket").applyInArrow(_merged(window), "g int, kind int, data binary")
+        found = written(passages.where("bucket < 0").select("g", F.lit(0).alias("kind"), F.col("passages").alias("data")).union(runs))
     out = StructType().add("own", base.schema["own"].dataType).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
     discard(passages)
     kept = dealt.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_stripped(window, to_arrow_schema(out)), out)
