@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyboard.functions.times import HEARTBEAT_H, STALE_H, hours_between
@@ -89,12 +89,22 @@ def require_live(index: DataFrame) -> None:
         raise RuntimeError("every source was refused")
 
 
-def write_snapshots(decided: DataFrame, folder: str) -> None:
+def write_snapshots(decided: DataFrame, folder: str) -> dict[str, int]:
     """The written snapshots as JSON, one folder per source. Only the folders of sources written now are replaced: all others, of sources
     skipped, refused or not in this run, keep their last good snapshot. New files are staged beside and moved in when all are complete.
-    """
-    decided.where("write").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").json(folder)
-
 
-def write_index(index: DataFrame, folder: str) -> None:
-    index.drop("write").write.mode("overwrite").json(folder)
+    Returns how many sources were decided, written and changed, counted as they passed by.
+    """
+    seen = Observation()
+    changed = F.col("changed") if "changed" in decided.columns else F.lit(None)
+    rows = decided.observe(seen, F.count(F.lit(1)).alias("decided"), F.count_if("write").alias("written"), F.count_if(F.col("write") & changed).alias("changed"))
+    rows.where("write").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").json(folder)
+    return seen.get
+
+
+def write_index(index: DataFrame, folder: str) -> dict[str, int]:
+    """The index as JSON. Returns total, live, refused and broken, which are counted on the way into the files: the index is computed once."""
+    seen = Observation()
+    health = [F.count_if(F.col("health") == h).alias(h) for h in ("live", "refused", "broken")]
+    index.observe(seen, F.count(F.lit(1)).alias("total"), *health).drop("write").write.mode("overwrite").json(folder)
+    return seen.get

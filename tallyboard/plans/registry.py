@@ -31,7 +31,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    for name in ("board_queries", "poll_queries", "text_queries", "page_queries", "name_queries", "feed_queries", "stream_queries"):
+    for name in ("board_queries", "poll_queries", "text_queries", "page_queries", "name_queries", "feed_queries", "stream_queries", "landing_queries"):
         import_module(f"tallyboard.plans.{name}")
 
 

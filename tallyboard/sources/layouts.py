@@ -445,14 +445,19 @@ def offset_of(body: str) -> float | None:
     return round(value, 4) or None if abs(value) < 1e12 else None
 
 
+#: A page's function that shifts its numbers, and the shift that it states.
+DEFINITION = re.compile(r"(?s)function\s+displayNumber\s*\([^{]*\{(.*?)document\.write")
+STATED = re.compile(r"NoScrapeOffset:\s*(-?[0-9.]+)")
+
+
 def _offsets(bodies: pd.Series) -> pd.Series:
     return bodies.map(lambda xs: sorted({v for v in map(offset_of, xs) if v is not None}))
 
 
 def offsets(bodies: DataFrame) -> DataFrame:
     """source_id, offset and why there is none: all definitions on a page have to agree and negate a stated offset."""
-    texts = F.regexp_extract_all("body", F.lit(r"(?s)function\s+displayNumber\s*\([^{]*\{(.*?)document\.write"), 1)
-    stated = F.regexp_extract("body", r"NoScrapeOffset:\s*(-?[0-9.]+)", 1).try_cast("double")
+    texts = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(DEFINITION.pattern), 1)
+    stated = F.regexp_extract("body", STATED.pattern, 1).try_cast("double")
     found = bodies.select("source_id", F.size(texts).alias("_n"), F.pandas_udf(_offsets, "array<double>")(texts).alias("_values"), stated.alias("_stated"))
     value = F.get("_values", F.lit(0))
     code = (
