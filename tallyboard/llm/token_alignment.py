@@ -416,10 +416,10 @@ def _linked(hot: Broadcast):
             n = np.bincount(keys % max(1, len(pairs)), minlength=len(pairs))
             held.append((pairs, n))
             size += len(pairs)
-            if size > 1 << 21:
+            if size > 1 << 20:
                 held = [summed(held)]
                 size = len(held[0][0])
-                if size > 1 << 20:
+                if size > 1 << 19:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], schema=schema)
                     held, size = [], 0
         if held:
@@ -511,11 +511,13 @@ def align(
 
     schema = StructType().add("id", base.schema["id"].dataType).add("seq", ArrayType(IntegerType())).add("rest", ArrayType(StructType().add("seg", "string").add("n", IntegerType())))
     numbered = base.mapInArrow(_compact(known, to_arrow_schema(schema)), schema).withColumn("row", F.monotonically_increasing_id())
-    compact = bucketed(numbered.repartition(buckets, "row"), ["row"], buckets)
+    # Rows are wide: a bucket of them goes to Python as one batch.
+    row_buckets = 4 * buckets
+    compact = bucketed(numbered.repartition(row_buckets, "row"), ["row"], row_buckets)
     rare = compact.select("row", F.posexplode("rest").alias("k", "rest")).select("row", "k", F.col("rest.seg").alias("seg"), F.col("rest.n").alias("n"))
     payload = aligned.select("seg", "n_a", "n_b", "n_groups", "groups", "links")
     met = rare.join(payload, "seg").select("row", F.struct("k", "n", "n_a", "n_b", "n_groups", "groups", "links").alias("rare"))
-    rare = bucketed(met.repartition(buckets, "row").groupBy("row").agg(F.collect_list("rare").alias("rare")), ["row"], buckets)
+    rare = bucketed(met.repartition(row_buckets, "row").groupBy("row").agg(F.collect_list("rare").alias("rare")), ["row"], row_buckets)
     discard(aligned)
 
     with ordered_buckets(spark):
