@@ -31,9 +31,9 @@ from pyspark.sql.types import StructType
 from tallyboard.llm import bytearrays as B
 from tallyboard.llm.ids import with_places
 from tallyboard.llm.suffix_merge import intervals, lay_out
-from tallyboard.sources.scratch import bucketed, discard, ordered_buckets, written
+from tallyboard.sources.scratch import bucketed, ordered_buckets, written
 
-GROUP_BYTES, BUCKET_SEEDS, HOT = 8 << 20, 1 << 20, 2048
+GROUP_BYTES, BUCKET_SEEDS, HOT = 8 << 20, 1 << 20, 1 << 15
 PIECE_BYTES, PART_BYTES, SHARDS, RUN = 1 << 20, 1 << 18, 4, 64
 _CLASSES = np.array([1, 2, 16, 256])
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -169,65 +169,74 @@ def _repeated(hot: int):
     return run
 
 
-_PASSAGE_ROWS = "bucket int, g int, first int, passages binary"
-
-
-def _passages(window: int, buckets: int):
-    """Rows for buckets (key, size, owner and bytes of each distinct passage) and one of a negative bucket for the group itself: where its passages occur."""
-    schema = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("first", pa.int32()), ("passages", pa.binary())])
+class _Occurrences:
+    """Where a group's passages with repeated anchors occur, numbered by key and content: the same from the same texts and seeds."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows or not left.num_rows:
-            return schema.empty_table()
-        known = np.sort(np.concatenate([_unpack(s.as_py()) for s in right.column("seeds")]))
-        ids, held = left.column("id").fill_null(-1).to_numpy(), []
-        for data, at, row, base in _pieces(left, window):
+    def __init__(self, texts: pa.Table, seeds: pa.ChunkedArray, window: int, bodies: bool):
+        known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_unpack(s.as_py()) for s in seeds)]))
+        ids, held = texts.column("id").fill_null(-1).to_numpy(), []
+        for data, at, row, base in _pieces(texts, window) if len(known) else ():
             starts, sizes, anchors = _anchors(data, at, window)
-            seeds = (anchors >> np.uint64(16)) & ~np.uint64(3)
-            found = np.minimum(np.searchsorted(known, seeds), len(known) - 1)
-            use = (known[found] & ~np.uint64(3)) == seeds
-            starts, sizes, anchors, is_hot = starts[use], sizes[use], anchors[use], (known[found[use]] & np.uint64(1)) > 0
-            if not len(starts):
+            own = (anchors >> np.uint64(16)) & ~np.uint64(3)
+            found = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            use = (known[found] & ~np.uint64(3)) == own
+            if not use.any():
                 continue
+            starts, sizes, anchors, is_hot = starts[use], sizes[use], anchors[use], (known[found[use]] & np.uint64(1)) > 0
             each = np.where(is_hot, sizes, 1)
             of = np.repeat(np.arange(len(starts)), each)
             nth = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
             starts, sizes = starts[of] + nth, np.where(is_hot[of], 1, sizes[of])
             hashes = B.span_hashes(data, starts, starts + sizes + window - 1)
             keys = np.where(is_hot[of], B.mix(hashes ^ _SALT), anchors[of])
-            _, at_first, number = np.unique(hashes, return_index=True, return_inverse=True)
             part = np.searchsorted(at, starts, side="right") - 1
-            first = at_first
-            spans = np.repeat(starts[first] - np.concatenate([[0], np.cumsum(sizes[first] + window - 1)[:-1]]), sizes[first] + window - 1)
-            body = data[spans + np.arange(len(spans))]
-            held.append((hashes, keys, sizes, row[part], base[part] + starts - at[part], hashes[first], sizes[first] + window - 1, body, number))
-        if not held:
+            first = np.unique(hashes, return_index=True)[1] if bodies else np.zeros(0, np.int64)
+            long = sizes[first] + window - 1
+            spots = np.repeat(starts[first] - (np.cumsum(long) - long), long) + np.arange(long.sum())
+            held.append((hashes, keys, sizes, row[part], base[part] + starts - at[part], hashes[first], long, data[spots]))
+        empty = [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint64, np.int64, np.uint8)]
+        hashes, self.keys, self.sizes, self.rows, self.places, *made = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate(empty))
+        order = np.lexsort((hashes, self.keys))
+        new = np.append(True, (hashes[order][1:] != hashes[order][:-1]) | (self.keys[order][1:] != self.keys[order][:-1]))[: len(order)]
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        #: Of each distinct passage one occurrence, and the least of its documents.
+        self.lead = order[new]
+        self.owner = np.full(len(self.lead), np.iinfo(np.int64).max)
+        np.minimum.at(self.owner, self.number, ids[self.rows])
+        self.hashes, self.made = hashes, made
+
+    def bodies(self):
+        """Sizes of all distinct passages' bytes, and a function that gives the bytes of some, one after the other; they come from the first piece that has them."""
+        held, size, body = self.made
+        at, by = np.concatenate([[0], np.cumsum(size)]), np.argsort(held, kind="stable")
+        source = by[np.searchsorted(held[by], self.hashes[self.lead])]
+
+        def of(low: int, high: int) -> np.ndarray:
+            own = size[source[low:high]]
+            return body[np.repeat(at[source[low:high]] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+
+        return size[source], of
+
+
+_PASSAGE_ROWS = "bucket int, g int, first int, passages binary"
+
+
+def _passages(window: int, buckets: int):
+    """Rows for buckets: key, size, owner and bytes of each distinct passage, and the number of the first."""
+    schema = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("first", pa.int32()), ("passages", pa.binary())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = _Occurrences(left, right.column("seeds"), window, True)
+        if not len(found.lead):
             return schema.empty_table()
-        hashes, keys, sizes, rows, places = (np.concatenate([h[k] for h in held]) for k in range(5))
-        # Passages of the group by bucket and key; their bytes come from the first piece that has them.
-        order = np.lexsort((hashes, keys))
-        new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]) | (keys[order][1:] != keys[order][:-1])])
-        number = np.empty(len(order), np.int64)
-        number[order] = np.cumsum(new) - 1
-        lead = order[new]
-        owner = np.full(len(lead), np.iinfo(np.int64).max)
-        np.minimum.at(owner, number, ids[rows])
-        body_hash, body_size = (np.concatenate([h[k] for h in held]) for k in (5, 6))
-        body, body_at = np.concatenate([h[7] for h in held]), np.concatenate([[0], np.cumsum(body_size)])
-        by = np.argsort(body_hash, kind="stable")
-        source = by[np.searchsorted(body_hash[by], hashes[lead])]
-        bucket = _bucket(keys[lead], buckets).astype(np.int64)
+        sizes, bodies = found.bodies()
+        keys = found.keys[found.lead]
+        bucket = _bucket(keys, buckets).astype(np.int64)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        out = []
-        for a, b in zip(edges, [*edges[1:], len(lead)]):
-            size = body_size[source[a:b]]
-            places_ = np.repeat(body_at[source[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            out.append(_blob([keys[lead[a:b]], size.astype(np.int32), owner[a:b], body[places_]]))
-        out.append(_blob([rows.astype(np.int32), places.astype(np.int32), number.astype(np.int32), sizes[lead].astype(np.int32), owner]))
-        g = left.column("g")[0].as_py()
-        return pa.table(
-            [np.append(bucket[edges], -1 - g).astype(np.int32), np.full(len(out), g, np.int32), np.append(edges, 0).astype(np.int32), pa.array(out, pa.binary())], schema=schema
-        )
+        out = [_blob([keys[a:b], sizes[a:b].astype(np.int32), found.owner[a:b], bodies(a, b)]) for a, b in zip(edges, [*edges[1:], len(keys)])]
+        g = np.full(len(out), left.column("g")[0].as_py(), np.int32)
+        return pa.table([bucket[edges].astype(np.int32), g, edges.astype(np.int32), pa.array(out, pa.binary())], schema=schema)
 
     return run
 
@@ -311,22 +320,21 @@ def _stripped(window: int, schema: pa.Schema):
         n, texts = left.num_rows, left.column("text").combine_chunks()
         ids = left.column("id").fill_null(-1).to_numpy()
         kinds, data = right.column("kind").to_pylist(), right.column("data")
-        own = [_arrays(d.as_py(), "i4 i4 i4 i4 i8") for k, d in zip(kinds, data) if k == 0]
+        seeds = right.filter(pc.equal(right.column("kind"), 0)).column("data")
         runs = [_arrays(d.as_py(), "i4 i4 i4") for k, d in zip(kinds, data) if k == 1]
-        row = low = high = np.zeros(0, np.int64)
-        for rows, places, number, sizes, owner in own:
-            later, places = ids[rows] > owner[number], places.astype(np.int64)
-            row, low, high = rows[later].astype(np.int64), places[later], places[later] + sizes[number[later]]
-            if runs:
-                of, a, b = (np.concatenate([r[k] for r in runs]).astype(np.int64) for k in range(3))
-                order = np.argsort(of, kind="stable")
-                of, a, b = of[order], a[order], b[order]
-                rows, places, number = rows[~later], places[~later], number[~later]
-                begin = np.searchsorted(of, number)
-                count = np.searchsorted(of, number, side="right") - begin
-                nth = np.repeat(np.arange(len(number)), count)
-                spot = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-                row, low, high = np.append(row, rows[nth]), np.append(low, places[nth] + a[spot]), np.append(high, places[nth] + b[spot])
+        found = _Occurrences(left, seeds, window, False)
+        later = ids[found.rows] > found.owner[found.number]
+        row, low, high = found.rows[later], found.places[later], (found.places + found.sizes)[later]
+        if runs:
+            of, a, b = (np.concatenate([r[k] for r in runs]).astype(np.int64) for k in range(3))
+            order = np.argsort(of, kind="stable")
+            of, a, b = of[order], a[order], b[order]
+            rows, places, number = found.rows[~later], found.places[~later], found.number[~later]
+            begin = np.searchsorted(of, number)
+            count = np.searchsorted(of, number, side="right") - begin
+            nth = np.repeat(np.arange(len(number)), count)
+            spot = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            row, low, high = np.append(row, rows[nth]), np.append(low, places[nth] + a[spot]), np.append(high, places[nth] + b[spot])
         order = np.argsort(row, kind="stable")
         low, high, edges = low[order], high[order] + window - 1, np.searchsorted(row[order], np.arange(n + 1))
         lengths, lost, spans, kept = [], [], [], []
@@ -362,12 +370,9 @@ def remove_repeats(
         seeds = dealt.groupBy("g").applyInArrow(_seeds(window, buckets), _SEED_ROWS)
         repeated = written(seeds.groupBy("bucket").applyInArrow(_repeated(hot), "g int, seeds binary"))
         passages = dealt.groupBy("g").cogroup(repeated.groupBy("g")).applyInArrow(_passages(window, buckets), _PASSAGE_ROWS)
-        # By bucket already: the merge reads it as it lies, and the text of passages is on disk twice only while this table is made.
-        passages = bucketed(passages.repartition(tables, "bucket"), ["bucket"], tables)
-        discard(repeated)
-        runs = passages.where("bucket >= 0").groupBy("bucket").applyInArrow(_merged(window), "g int, kind int, data binary")
-        found = written(passages.where("bucket < 0").select("g", F.lit(0).alias("kind"), F.col("passages").alias("data")).union(runs))
+        # Where its passages occur a group finds out again from the same seeds: that is less than to keep.
+        runs = written(passages.groupBy("bucket").applyInArrow(_merged(window), "g int, kind int, data binary"))
+    found = repeated.select("g", F.lit(0).alias("kind"), F.col("seeds").alias("data")).union(runs)
     out = StructType().add("own", base.schema["own"].dataType).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
-    discard(passages)
     kept = dealt.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_stripped(window, to_arrow_schema(out)), out)
     return kept.withColumnRenamed("own", id_col)
