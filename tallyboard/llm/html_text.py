@@ -4,7 +4,8 @@ A page is parsed once into elements in page order. Script, style, form, navigati
 hidden and commented parts, and elements whose class, id or role names such a part,
 take no part in the rest (a name that only says how the page is laid out does not count: such an
 element holds an article or most of the text, or stands within `article` or `main` and is
-neither mostly links nor small beside its siblings; nor do such names where without them no text is left).
+neither mostly links nor small beside its siblings, which holds anywhere for words that name subjects too, such as `legal`; nor do
+such names where without them no text is left). The time is linear in the length of a page, however it is broken.
 For every other element the density is its characters per tag, where tags of formatting
 within a line do not count, adjusted for links:
 
@@ -17,7 +18,7 @@ threshold at which a block beside the path is text too, such as a title above th
 container of the paragraphs. Where that element is within `article` or `main`, or these within it
 hold most of its text, the page itself says how far the text reaches: the one around it is taken with the
 articles beside it that reach the threshold, or all those within it that do. Elsewhere,
-blocks that hold nothing but several links are menus and stay out.
+blocks that hold nothing but several links are menus and stay out, but for lists that stand between other text.
 
 Within what is taken nothing is dropped: character references are decoded, white space in
 a block becomes one space, blocks are joined by one space in page order.
@@ -30,6 +31,8 @@ rows give repeated results; further columns are not read. A page is the unit of
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from html import unescape
 from math import e, log
 
@@ -45,6 +48,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s/])(hidden)(?![^\s/>])""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: What may run to the end of a page without a `>`.
+_OPEN_ENDED = ("<!--", "<![CDATA[")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noscript iframe noframes".split())
 _INLINE = frozenset(
@@ -66,10 +71,12 @@ _NOISE_STARTS = ("advert", "adsby", "adslot", "adunit", "adbox", "breadcrumb", "
 _NOISE_ENDS = ("advert", "banner", "breadcrumbs", "comments", "footer", "menu", "nav", "navbar", "notice", "sidebar")
 #: Parts that are noise however long they are; the others may also name the layout of a whole page.
 _NEVER_TEXT = ("ad", "comment", "cookie", "consent", "disqus", "gdpr", "notice", "popup", "modal", "repl", "discussion", "sponsor")
+#: Words of layout that name subjects as well: they decide only where a part is full of links or small.
+_TOPICS = frozenset("legal privacy copyright disclaimer register rail social share sharing search form popular trending alert alerts notification notifications subscription promotion promotions banner related reactions skip toc".split())
 _HEADERS = frozenset("masthead header".split())
 #: An element named as noise that holds this share of the page's text names its layout; articles that hold this share of an element's are its text.
 _MOST = 0.6
-#: Within an article, a name of layout makes noise of what has this share of its text in links, or less than that share of its largest sibling's text.
+#: Within an article, and anywhere for names of subjects, a name of layout makes noise of what has this share of its text in links, or less than that share of its largest sibling's text.
 _LINKED, _SMALL = 0.5, 0.25
 #: What opening the key closes first, up to the nearest of the given elements.
 _CLOSES_P = frozenset(
@@ -91,6 +98,11 @@ _LIMITS = frozenset("table td th article section div body main aside nav footer
 _TEXT_ROOTS = ("article", "main")
 
 
+def _weight(word: str) -> int:
+    """How surely a word names noise."""
+    return 2 if word.startswith(_NEVER_TEXT) else int(word not in _TOPICS)
+
+
 class _Page:
     """Elements in page order as parallel lists; an element's descendants follow it up to `end`."""
 
@@ -104,6 +116,8 @@ class _Page:
         #: (element, text) in page order; a text of None is the edge of a block.
         self.parts: list[tuple[int, str | None]] = []
         self.stack = [0]
+        #: Where in the stack the open elements of each name are.
+        self.open: dict[str, list[int]] = defaultdict(list)
         self._parse(html)
         while self.stack:
             self.end[self.stack.pop()] = len(self.tag)
@@ -132,7 +146,7 @@ class _Page:
             if name and not texts[i]:
                 if name.startswith(_NEVER_TEXT):
                     self.noise[i] = True
-                elif linked[i] > _LINKED * chars[i] or chars[i] < (_SMALL * largest[p] if within[p] else _MOST * chars[0]):
+                elif linked[i] > _LINKED * chars[i] or chars[i] < (_SMALL * largest[p] if within[p] or name in _TOPICS else _MOST * chars[0]):
                     layout.append(i)
         own = self.noise[:]
         for i in layout:
@@ -150,9 +164,11 @@ class _Page:
         return any(t and not self.noise[i] and not t.isspace() for i, t in self.parts)
 
     def _parse(self, html: str) -> None:
-        at, n = 0, len(html)
+        at, n, last = 0, len(html), html.rfind(">")
         while at < n:
-            m = _TOKEN.search(html, at)
+            # After the last `>` nothing is a tag but what runs to the end of the page, which begins at the last `<`.
+            start = at if at <= last else max(at, html.rfind("<")) if not html.startswith(_OPEN_ENDED, html.find("<", at)) else at
+            m = _TOKEN.search(html, start)
             if m is None:
                 self._text(html[at:])
                 return
@@ -184,21 +200,25 @@ class _Page:
         if name not in _INLINE:
             self.parts.append((self.stack[-1], None))
 
+    def _push(self, name: str) -> None:
+        self.open[name].append(len(self.stack))
+        self.stack.append(len(self.tag) - 1)
+
     def _pop(self) -> None:
-        self.end[self.stack.pop()] = len(self.tag)
+        element = self.stack.pop()
+        self.open[self.tag[element]].pop()
+        self.end[element] = len(self.tag)
+
+    def _pop_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self._pop()
 
     def _close_until(self, names: tuple[str, ...] | frozenset, limits) -> None:
         """Closes the outermost of `names` that is open inside the nearest of `limits`."""
-        depth = None
-        for k in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[k]]
-            if tag in names:
-                depth = k
-            elif tag in limits:
-                break
-        if depth is not None:
-            while len(self.stack) > depth:
-                self._pop()
+        limit = max((self.open[x][-1] for x in limits if self.open[x]), default=0)
+        inside = [own[k] for own in (self.open[x] for x in names) if (k := bisect_right(own, limit)) < len(own)]
+        if inside:
+            self._pop_to(min(inside))
 
     def _open(self, name: str, attributes: str) -> None:
         if name in _CLOSES_P:
@@ -213,21 +233,18 @@ class _Page:
         hard, soft = self._is_noise(name, attributes)
         self.noise.append(self.noise[above] or name in _NOISE_TAGS or hard)
         self.named.append(soft)
-        self.stack.append(len(self.tag) - 1)
+        self._push(name)
 
     def _close(self, name: str) -> None:
         self._edge(name)
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[k]] == name:
-                while len(self.stack) > k:
-                    self._pop()
-                break
+        if self.open[name]:
+            self._pop_to(self.open[name][-1])
         if name in _VOID:
             return
         self._edge(name)
 
     def _within(self, names) -> bool:
-        return any(self.tag[i] in names for i in self.stack)
+        return any(self.open[x] for x in names)
 
     def _is_noise(self, name: str, attributes: str) -> tuple[bool, str | bool]:
         """Whether an element is noise for certain, and the name that says so if it is by name."""
@@ -242,7 +259,7 @@ class _Page:
                 for w in sorted(words):
                     if w in _NOISE_WORDS or w.startswith(_NOISE_STARTS) or w.endswith(_NOISE_ENDS):
                         if not whole or w.startswith(_NEVER_TEXT) or w.startswith(("teaser", "related")):
-                            found = w if not found or w.startswith(_NEVER_TEXT) else found
+                            found = max(found, w, key=_weight) if found else w
                 header = header or bool(words & _HEADERS)
             elif key == "role" and not whole:
                 if value.lower() in _NOISE_ROLES:
@@ -280,7 +297,14 @@ def _densities(page: _Page, root: int) -> tuple[list[int], list[float], list[flo
             density[i] = c / t * max(0.0, log(c / lc * t / lt) / log(base)) if base > 1 else c / t * max(0.0, log(c / lc * t / lt))
             if page.parent[i] >= 0 and page.tag[i] not in _INLINE:
                 total[page.parent[i]] += density[i]
-    menus = [i for i in range(root + 1, n) if link_tags[i] > 1 and page.tag[i] not in _INLINE and 0 < chars[i] == link_chars[i]]
+    # A block of links alone is a menu, unless it stands between blocks with other text: then it is a list of the text.
+    first, last = [n] * n, [0] * n
+    for i in range(1, n):
+        if chars[i] > link_chars[i]:
+            p = page.parent[i]
+            first[p], last[p] = min(first[p], i), i
+    alone = (i for i in range(root + 1, n) if link_tags[i] > 1 and page.tag[i] not in _INLINE and 0 < chars[i] == link_chars[i])
+    menus = [i for i in alone if not first[page.parent[i]] < i < last[page.parent[i]]]
     return chars, density, total, menus
 
 

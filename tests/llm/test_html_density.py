@@ -70,20 +70,25 @@ def plainly(body):
     def menu(n):
         return n[0] not in inline and sum(x[0] == "a" for x in nodes(n)) > 1 and 0 < size(text_of(n)) == linked(n)
 
-    def take(n):
+    def take(n, between=False):
+        """A block of links alone is a menu, unless it stands between elements with other text."""
         if isinstance(n, str):
             out.append(n)
-        elif n is body or not menu(n):
+        elif n is body or between or not menu(n):
             edge = " " if n[0] not in inline else ""
             out.append(edge)
-            for c in n[1]:
-                take(c)
+            other = [k for k, c in enumerate(n[1]) if not isinstance(c, str) and size(text_of(c)) > linked(c)]
+            for k, c in enumerate(n[1]):
+                take(c, bool(other) and other[0] < k < other[-1])
             out.append(edge)
 
     def walk(n):
         if n is best or (n[0] not in inline and all(n is not x for x in path) and density(n) >= least and density(n) > 0):
+            above = next((m for m in nodes(body) if any(c is n for c in m[1])), ("", []))
+            other = [k for k, c in enumerate(above[1]) if not isinstance(c, str) and size(text_of(c)) > linked(c)]
+            here = next((k for k, c in enumerate(above[1]) if c is n), 0)
             out.append(" ")
-            take(n)
+            take(n, bool(other) and other[0] < here < other[-1])
             out.append(" ")
         else:
             for c in n[1]:
