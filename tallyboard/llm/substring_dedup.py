@@ -17,7 +17,7 @@ compared; windows are compared by such a hash and 32 bits of another of a differ
 
 Defined results: a null text has no words; a null id neither removes nor loses words; rows
 that share an id are one document's and do not remove each other's words, and being a whole copy
-is a matter of each such row; further columns are not read.
+is a matter of each such row; ids are of any type that can be sorted; further columns are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyboard.llm import bytearrays as B
+from tallyboard.llm.ids import with_places
 from tallyboard.sources.scratch import written
 
 SALTS = 64
@@ -120,8 +122,8 @@ def _pairs(structs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
     return B.unsigned(structs.field("h").to_numpy(zero_copy_only=False)), structs.field("g").to_numpy(zero_copy_only=False)
 
 
-def _strip(window: int):
-    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+def _strip(window: int, own: pa.DataType):
+    schema = pa.schema([("own", own), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def run(batches):
         for batch in batches:
@@ -141,7 +143,7 @@ def _strip(window: int):
                     removed.append(lost)
                     kept.append(b" ".join(tokens).decode())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                    [part.column("own"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                     schema=schema,
                 )
 
@@ -187,7 +189,8 @@ def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
 
     Documents without such a window have no row. A level is a table of the hashes that survive; the loop ends with the first empty one.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    base = _with_ids(docs, id_col, text_col).where("id is not null and text is not null")
+    names = base.select("id", F.col("own").alias(id_col)).distinct()
     rows = written(_shared(_level_two(base, base.mapInArrow(_seeds(window, max(1, window // 2)), "id long, h long"), window, 0).select("id", "h", "g")))
     length, found = window, None
     while not rows.isEmpty():
@@ -197,8 +200,13 @@ def longest_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
         rows = written(_shared(base.join(known, "id").mapInArrow(_doubled(length), "id long, h long, g int").distinct()))
         length *= 2
     if found is None:
-        return base.select(F.col("id").alias(id_col), F.lit(0).alias("longest")).limit(0)
-    return found.groupBy(F.col("id").alias(id_col)).agg(F.max("longest").alias("longest"))
+        return names.select(id_col, F.lit(0).alias("longest")).limit(0)
+    return found.groupBy("id").agg(F.max("longest").alias("longest")).join(names, "id").select(id_col, "longest")
+
+
+def _with_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`own`, the documents' ids as they are, `id`, a whole number in their place, and `text`."""
+    return with_places(docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text")), "own", "id")
 
 
 def _digest() -> Column:
@@ -237,7 +245,8 @@ def remove_repeats(
 ) -> DataFrame:
     """One row per row of `docs`: id, n_words, n_removed and the kept words joined by one space."""
     seed = max(1, window // 2)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    base = _with_ids(docs, id_col, text_col)
+    own = base.schema["own"].dataType
     known = base.where("id is not null and text is not null")
 
     digest = known.select("id", _digest().alias("d"))
@@ -261,7 +270,7 @@ def remove_repeats(
     found = repeats.groupBy("id").agg(F.collect_list("w").alias("repeats"), F.collect_set("d").alias("copies"))
     return (
         base.join(found, "id", "left")
-        .select("id", "text", "repeats", _is_copy().alias("copy"))
-        .mapInArrow(_strip(window), "id long, n_words long, n_removed long, kept string")
-        .withColumnRenamed("id", id_col)
+        .select("own", "text", "repeats", _is_copy().alias("copy"))
+        .mapInArrow(_strip(window, to_arrow_type(own)), f"own {own.simpleString()}, n_words long, n_removed long, kept string")
+        .withColumnRenamed("own", id_col)
     )
