@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyboard.functions.text import SPACE
+from tallyboard.functions.text import SPACE, SPACES
 
 _TICK_MARK = "['\\u2019-]"
 
@@ -20,14 +20,14 @@ def round_to(x: Column, places: int) -> Column:
 
 
 def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def parse_num(text: Column) -> Column:
     """The number a cell starts with; `$`, commas and spaces dropped, parentheses negative."""
     t = _trimmed(text)
-    wrapped = t.rlike(r"^\(.*\)$")
-    bare = F.regexp_replace(F.when(wrapped, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t), f"[$,]|{SPACE}", "")
+    wrapped = t.startswith("(") & t.rlike(r"^\(.*\)$")
+    bare = F.translate(F.when(wrapped, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t), "$," + SPACES, "")
     value = F.nullif(F.regexp_extract(bare, r"^[+-]?([0-9]*\.?[0-9]+)", 1), F.lit("")).try_cast("double")
     return F.when(wrapped | bare.startswith("-"), -value).otherwise(value)
 
@@ -35,12 +35,11 @@ def parse_num(text: Column) -> Column:
 def parse_ticks(text: Column) -> Column:
     """`459-4` and `478'6` are whole cents and eighths; a tick shape that does not read is null."""
     t = _trimmed(text)
-    shape = rf"^([+-]?)([0-9]+){_TICK_MARK}([0-9]+)([a-zA-Z]*)$"
-    eighths = F.regexp_extract(t, shape, 3).try_cast("int")
-    value = F.regexp_extract(t, shape, 2).try_cast("double") + eighths / 8
-    signed = F.when(t.startswith("-"), -value).otherwise(value)
-    # What begins as ticks and does not read to its end has no eighths, so no value either.
-    return F.when(t.rlike(rf"^[+-]?[0-9]+{_TICK_MARK}[0-9]"), F.when(eighths <= 7, signed)).otherwise(parse_num(t))
+    # One match puts sign, whole cents and eighths apart; what begins as ticks and does not read to its end stays as it is and has no parts.
+    parts = F.split(F.regexp_replace(t, rf"^([+-]?)([0-9]+){_TICK_MARK}([0-9]+)[a-zA-Z]*$", "$1 $2 $3"), " ")
+    read = lambda p: F.when(p[2].try_cast("int") <= 7, F.when(p[0] == "-", -1.0).otherwise(1.0) * (p[1].try_cast("double") + p[2].try_cast("int") / 8))
+    ticks = F.get(F.transform(F.array(parts), lambda p: F.when(F.size(p) == 3, read(p))), F.lit(0))
+    return F.when(t.rlike(rf"^[+-]?[0-9]+{_TICK_MARK}[0-9]"), ticks).otherwise(parse_num(t))
 
 
 def parse_eighths(text: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: White space in the sense of the feeds' own scripts: Unicode spaces and the byte order mark too.
 SPACE = r"[\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+#: The same, one by one.
+SPACES = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 #: Where a word of ASCII letters, digits and underscores begins and ends. Not `\b`: on some versions of Java that counts other letters as well.
 WORD_START, WORD_END = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
