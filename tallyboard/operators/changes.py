@@ -108,6 +108,11 @@ def moved_sources(decided: DataFrame, key: str) -> DataFrame:
     return decided.where("write and changed").select(key).distinct()
 
 
+def write_moved(decided: DataFrame, key: str, folder: str) -> None:
+    """The ids of the moved sources as text, one a line, in order through the files of `folder`; written in every run, so that none moved is an empty list."""
+    moved_sources(decided, key).select(F.col(key).cast("string").alias("value")).orderBy("value").write.mode("overwrite").text(folder)
+
+
 def poll_message(decided: DataFrame, key: str) -> DataFrame:
     """One line per source: rows written and why."""
     return decided.groupBy(key).agg(F.count_if("write").alias("writes"), F.count_if("changed").alias("changes")).withColumn(

@@ -21,9 +21,9 @@ def numbered(rows: DataFrame, order: list[Column | str], name: str) -> DataFrame
     part = F.shiftright(F.col(name), 33)
     before, offsets = 0, []
     for p, count in sorted(map(tuple, ranged.groupBy(part.alias("p")).count().collect())):
-        offsets += [F.lit(p), F.lit(before)]
+        offsets.append((p, before))
         before += count
-    if not offsets:
-        return ranged
-    at = F.element_at(F.create_map(*offsets), part) + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.withColumn(name, at.cast("long"))
+    # As many rows as ranges: broadcast, and met by one look into a hash table.
+    known = F.broadcast(rows.sparkSession.createDataFrame(offsets, "_range long, _before long"))
+    joined = ranged.join(known, part == F.col("_range"))
+    return joined.withColumn(name, (F.col("_before") + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).select(*ranged.columns)

@@ -82,6 +82,16 @@ def moved_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.moved_sources(found, "user_id")
 
 
+@query(_DECIDE + "SELECT CAST(user_id AS VARCHAR) AS line FROM d WHERE write AND changed AND rn > 1 AND user_id % 3 = 1 GROUP BY user_id")
+def moved_list_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of one run over the list of the run before, as the next step reads it."""
+    decided = changes.decide(polls(spark, sf_dir), "user_id", "ts", "price", "event_id").where("reason <> 'first run'")
+    folder = new_path(spark)
+    changes.write_moved(decided.where("user_id % 3 = 0"), "user_id", folder)
+    changes.write_moved(decided.where("user_id % 3 = 1"), "user_id", folder)
+    return spark.read.text(folder).withColumnRenamed("value", "line")
+
+
 @query(_DECIDE + "SELECT user_id, count(*) FILTER (write) AS writes, count(*) FILTER (changed) AS changes, user_id || ': ' || count(*) FILTER (changed) || ' moved, ' || count(*) FILTER (write AND NOT changed) || ' heartbeat' AS message FROM d GROUP BY 1")
 def commit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.poll_message(changes.decide(polls(spark, sf_dir), "user_id", "ts", "price", "event_id"), "user_id")
