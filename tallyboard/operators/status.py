@@ -40,9 +40,15 @@ def gaps(rows: DataFrame, key: str, at: str, tie: str) -> DataFrame:
 
 
 def tally(rows: DataFrame, column: str) -> DataFrame:
-    """Distinct values with their number `n` and `place` by it; a window over the few values alone."""
+    """Distinct values with their number `n` and `place` by it.
+
+    Places follow from how many values have each number. Of these numbers there are few, at most the root of twice the rows, however many values there
+    are: only they stand in one window, and the values meet them by a join.
+    """
     counted = rows.groupBy(column).agg(F.count("*").alias("n"))
-    return counted.withColumn("place", F.rank().over(Window.orderBy(F.desc("n"))).cast("long"))
+    before = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    numbers = counted.groupBy("n").agg(F.count("*").alias("_values")).select("n", (F.coalesce(F.sum("_values").over(before), F.lit(0)) + 1).cast("long").alias("place"))
+    return counted.join(numbers, "n").select(column, "n", "place")
 
 
 def sweep_summary(offers: DataFrame, token: str, destination: str) -> DataFrame:
