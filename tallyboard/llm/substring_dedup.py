@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegralType
 
 from tallyboard.llm import bytearrays as B
 from tallyboard.llm.ids import with_places
@@ -246,7 +247,9 @@ def remove_repeats(
     """One row per row of `docs`: id, n_words, n_removed and the kept words joined by one space."""
     seed = max(1, window // 2)
     base = _with_ids(docs, id_col, text_col)
-    own = base.schema["own"].dataType
+    # Whole numbers stand for themselves, so that both joins below read the one exchange of ids and texts.
+    name = "id" if isinstance(base.schema["own"].dataType, IntegralType) else "own"
+    own = base.schema[name].dataType
     known = base.where("id is not null and text is not null")
 
     digest = known.select("id", _digest().alias("d"))
@@ -270,7 +273,7 @@ def remove_repeats(
     found = repeats.groupBy("id").agg(F.collect_list("w").alias("repeats"), F.collect_set("d").alias("copies"))
     return (
         base.join(found, "id", "left")
-        .select("own", "text", "repeats", _is_copy().alias("copy"))
+        .select(F.col(name).alias("own"), "text", "repeats", _is_copy().alias("copy"))
         .mapInArrow(_strip(window, to_arrow_type(own)), f"own {own.simpleString()}, n_words long, n_removed long, kept string")
         .withColumnRenamed("own", id_col)
     )
