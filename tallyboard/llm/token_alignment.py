@@ -283,18 +283,43 @@ def _cost() -> Column:
     return F.octet_length("seg") + F.octet_length("groups") + 8 * F.size("links") + 40
 
 
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    """The column in one piece."""
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+def _packed():
+    """Broadcast segments as the driver gets them: a hash and a length instead of the text."""
+    schema = pa.schema([("hash", pa.int64()), ("size", pa.int32()), *((c, pa.int32()) for c in ("n_a", "n_b", "n_groups")), ("groups", pa.string()), ("links", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            data, at = B.text_buffers(batch.column("seg"))
+            hashes = B.span_hashes(data, at[:-1], at[1:]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.diff(at), pa.int32()), *(batch.column(c) for c in schema.names[2:])], schema=schema)
+
+    return run
+
+
+_PACKED = "hash long, size int, n_a int, n_b int, n_groups int, groups string, links array<long>"
+
+
+def _let_go() -> None:
+    """Arrow's freed memory goes back to the system: the driver may have little."""
+    pa.default_memory_pool().release_unused()
+
+
 class _Hot:
     """The broadcast segments, sorted by hash: groups' texts, counts, and links as rows of one flat array."""
 
-    def __init__(self, table: pa.Table):
-        data, at = B.text_buffers(table.column("seg").combine_chunks() if table.num_rows else pa.array([], pa.string()))
-        hashes = B.span_hashes(data, at[:-1], at[1:])
+    def __init__(self, packed: DataFrame):
+        columns = dict(zip(packed.columns, packed.toArrow().columns))  # each goes when it is read
+        hashes = columns.pop("hash").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
-        self.hashes, self.sizes = hashes[order], np.diff(at)[order]
-        rows = table.take(pa.array(order))
-        self.counts = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b", "n_groups")], axis=1).reshape(len(order), 3)
-        self.groups = rows.column("groups").combine_chunks() if len(order) else pa.array([], pa.string())
-        lists = rows.column("links").combine_chunks() if len(order) else pa.array([], pa.list_(pa.int64()))
+        self.hashes, self.sizes = hashes[order], columns.pop("size").to_numpy()[order]
+        self.counts = np.stack([columns.pop(c).to_numpy()[order] for c in ("n_a", "n_b", "n_groups")], axis=1).reshape(len(order), 3)
+        self.groups = _one(columns.pop("groups")).take(pa.array(order))
+        lists = _one(columns.pop("links")).take(pa.array(order))
         self.link_at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
         self.links = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -498,6 +523,7 @@ def align(
     with _in_place(spark), ordered_buckets(spark):
         aligned = bucketed(align_segments(tokens, width), ["seg"], buckets)
     discard(tokens)
+    shared.destroy()
 
     bin_ = F.floor(F.log2("n") * _BINS)
     total, least = 0, None
@@ -506,8 +532,11 @@ def align(
         if total > hot_bytes:
             break
         least = r.bin
-    hot = _Hot(aligned.where(F.lit(False) if least is None else bin_ >= least).select("seg", "n_a", "n_b", "n_groups", "groups", "links").toArrow())
+    hot = _Hot(aligned.where(F.lit(False) if least is None else bin_ >= least).select("seg", "n_a", "n_b", "n_groups", "groups", "links").mapInArrow(_packed(), _PACKED))
     known = spark.sparkContext.broadcast(hot)
+    hot_links, link_at = hot.links, hot.link_at  # all that the driver reads again
+    del hot
+    _let_go()
 
     schema = StructType().add("id", base.schema["id"].dataType).add("seq", ArrayType(IntegerType())).add("rest", ArrayType(StructType().add("seg", "string").add("n", IntegerType())))
     numbered = base.mapInArrow(_compact(known, to_arrow_schema(schema)), schema).withColumn("row", F.monotonically_increasing_id())
@@ -525,18 +554,24 @@ def align(
         pairs = written(pairs.groupBy("link").agg(F.sum("n").alias("n")))
     a_id = F.expr(f"link div {width}").cast("int")
     tops = pairs.groupBy(a_id.alias("a")).agg(F.max("n").alias("n")).toArrow()
-    best = np.zeros(len(_byte_bpe(vocabularies[0]).pieces), np.int64)
+    best = np.zeros(1 + (pc.max(tops.column("a")).as_py() or 0), np.int64)
     best[tops.column("a").to_numpy()] = tops.column("n").to_numpy()
     blocks = max(1, -(-pairs.count() // block_pairs))
-    hot_sums, rare_sums = [np.zeros(len(hot.hashes), np.int64) for _ in range(2)], None
+    hot_sums, rare_sums, lent = [np.zeros(len(link_at) - 1, np.int64) for _ in range(2)], None, []
     for b in range(blocks):
-        table = pairs.where(F.pmod(F.xxhash64("link"), F.lit(blocks)) == b).toArrow()
-        order = np.argsort(table.column("link").to_numpy())
-        block = table.column("link").to_numpy()[order], table.column("n").to_numpy()[order], best
-        hot_sums = [s + B.row_sums(x, hot.link_at) for s, x in zip(hot_sums, _looked_up(block, hot.links, width))]
-        part = rare.mapInArrow(_rare_sums(spark.sparkContext.broadcast(block), width), "row long, count_sum long, n_best long")
+        links, n = (c.to_numpy() for c in pairs.where(F.pmod(F.xxhash64("link"), F.lit(blocks)) == b).toArrow().columns)
+        order = np.argsort(links)
+        block = links[order], n[order], best
+        del links, n, order
+        _let_go()
+        hot_sums = [s + B.row_sums(x, link_at) for s, x in zip(hot_sums, _looked_up(block, hot_links, width))]
+        lent.append(spark.sparkContext.broadcast(block))
+        part = rare.mapInArrow(_rare_sums(lent[-1], width), "row long, count_sum long, n_best long")
         rare_sums = part if rare_sums is None else rare_sums.union(part)
+    del block
     rare_sums = written(rare_sums.groupBy("row").agg(F.sum("count_sum").alias("rare_sum"), F.sum("n_best").alias("rare_best")))
+    for block in lent:  # read to the end: the driver's copies go as well
+        block.destroy()
 
     out = StructType().add("id", base.schema["id"].dataType)
     for c in ("n_a", "n_b", "n_groups", "n_links", "count_sum", "n_best"):
