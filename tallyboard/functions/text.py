@@ -125,11 +125,11 @@ def peek(body: Column, limit: int = 1400) -> Column:
     return F.when(squeeze(body) == "", F.lit(None)).when(more > 0, cut).when(body.isNotNull(), flat)
 
 
-def split_postal(cell: Column) -> Column:
-    """struct(town, state, zip) of `Town, ST 12345`; state and zip only where they are written."""
+def split_postal(cell: Column, digits: str = "5") -> Column:
+    """struct(town, state, zip) of `Town, ST 12345`; state and zip only where they are written. `digits`, as a regex counts, is how many of a number are the zip."""
     raw = F.trim(F.coalesce(cell, F.lit("")))
     rest = F.trim(F.coalesce(F.get(F.split(raw, ","), F.lit(1)), F.lit("")))
-    shape = "^([A-Za-z]{2})" + WORD_END + r"\s*([0-9]{5})?"
+    shape = "^([A-Za-z]{2})" + WORD_END + rf"\s*([0-9]{{{digits}}})?"
     return F.struct(
         F.trim(F.get(F.split(raw, ","), F.lit(0))).alias("town"),
         F.nullif(F.upper(F.regexp_extract(rest, shape, 1)), F.lit("")).alias("state"),
