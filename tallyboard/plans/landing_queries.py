@@ -9,6 +9,7 @@ from tallyboard.plans.feed_queries import _bodies, _grid_body, _table_body, supp
 from tallyboard.plans.poll_queries import _LAST, _states
 from tallyboard.plans.registry import query
 from tallyboard.sources import landed, table_functions
+from tallyboard.sources.folders import write_lines
 from tallyboard.sources.scratch import new_path
 
 #: Fetches of each source, by rules on its key and the fetch: url, hour, status and length of the body; two of three sources are pages of HTML.
@@ -36,7 +37,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.to_json(F.struct(url.alias("url"), "status", F.repeat(F.lit("x"), F.col("size").cast("int")).alias("body"), at.alias("fetched_at")))
     folder, listed = new_path(spark), new_path(spark)
     broken = F.when(F.col("k") % 19 == 7, F.substring(line, 2, 1 << 20)).otherwise(line)
-    made.select(F.col("k").alias("source_id"), broken.alias("value")).write.partitionBy("source_id").text(folder)
+    write_lines(made.select(F.col("k").cast("string").alias("source_id"), broken.alias("value")), folder)
     urls = F.array(*(F.concat(F.lit("https://board.example.com/"), F.col("s_suppkey").cast("string"), F.lit(f"/{k}")) for k in range(2)))
     names.select(F.col("s_suppkey").cast("string").alias("source_id"), F.when(F.col("s_suppkey") % 3 == 0, "json").otherwise("html").alias("wire"), urls.alias("urls")).write.json(listed)
     landed.register(spark)

@@ -14,32 +14,14 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from datetime import datetime
-from urllib.parse import unquote
 
-from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tallyboard.sources.folders import by_source, files_of, lines_of
 from tallyboard.sources.landing import LEAST_HTML
 
 
-def _files(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
-def _lines(files: fs.FileSystem, folder: str) -> Iterator[bytes]:
-    """Lines of the data files of a folder, one at a time."""
-    for info in sorted(files.get_file_info(fs.FileSelector(folder)), key=lambda i: i.path):
-        if info.is_file and not info.base_name.startswith(("_", ".")):
-            with files.open_input_stream(info.path) as stream:
-                rest = b""
-                while block := stream.read(1 << 20):
-                    *lines, rest = (rest + block).split(b"\n")
-                    yield from lines
-                if rest:
-                    yield rest
-
-
 def _record(line: bytes) -> dict | None:
     try:
         found = json.loads(line)
@@ -66,25 +48,20 @@ class _Reader(DataSourceReader):
         self.path, self.listed, self.most = options["path"], options["sources"], int(options.get("partitions", 512))
 
     def partitions(self) -> list[_Share]:
-        files, path = _files(self.path)
-        folders = {}
-        for info in files.get_file_info(fs.FileSelector(path, allow_not_found=True)):
-            if info.type == fs.FileType.Directory and info.base_name.startswith("source_id="):
-                folders[unquote(info.base_name.removeprefix("source_id="))] = info.path
-        own, listed = _files(self.listed)
-        sources = [r for r in map(_record, _lines(own, listed)) if r and r.get("source_id") is not None]
+        folders = by_source(*files_of(self.path))
+        sources = [r for r in map(_record, lines_of(*files_of(self.listed))) if r and r.get("source_id") is not None]
         rows = [(str(r["source_id"]), r.get("wire"), [u for u in r.get("urls") or [] if u], folders.get(str(r["source_id"]))) for r in sources]
         n = max(1, min(self.most, len(rows)))
         return [_Share(rows[k::n]) for k in range(n)]
 
     def read(self, partition: _Share) -> Iterator[tuple]:
-        files, _ = _files(self.path)
+        files, _ = files_of(self.path)
         for source_id, wire, urls, folder in partition.sources:
             if folder is None:
                 yield source_id, "absent", None, None, None, None
                 continue
             best, place = None, {u: k for k, u in reversed(list(enumerate(urls)))}
-            for r in map(_record, _lines(files, folder)):
+            for r in map(_record, lines_of(files, folder)):
                 body, status = (r or {}).get("body"), (r or {}).get("status")
                 if not r or r.get("url") not in place or not isinstance(body, str) or not isinstance(status, int) or not 200 <= status < 300 or (wire != "json" and len(body) < LEAST_HTML):
                     continue
