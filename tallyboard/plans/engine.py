@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyboard.functions.times import HEARTBEAT_H, STALE_H, hours_between
 from tallyboard.operators.guards import run_guards
 from tallyboard.sources import feeds
+from tallyboard.sources.folders import write_lines
 from tallyboard.sources.manifests import to_config
 from tallyboard.sources.scratch import written
 
@@ -91,14 +92,16 @@ def require_live(index: DataFrame) -> None:
 
 def write_snapshots(decided: DataFrame, folder: str) -> dict[str, int]:
     """The written snapshots as JSON, one folder per source. Only the folders of sources written now are replaced: all others, of sources
-    skipped, refused or not in this run, keep their last good snapshot. New files are staged beside and moved in when all are complete.
+    skipped, refused or not in this run, keep their last good snapshot. New files are staged beside and moved in when all are complete
+    (`sources.folders`).
 
     Returns how many sources were decided, written and changed, counted as they passed by.
     """
     seen = Observation()
     changed = F.col("changed") if "changed" in decided.columns else F.lit(None)
     rows = decided.observe(seen, F.count(F.lit(1)).alias("decided"), F.count_if("write").alias("written"), F.count_if(F.col("write") & changed).alias("changed"))
-    rows.where("write").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").json(folder)
+    snapshot = F.to_json(F.struct(*(F.col(f"`{c}`") for c in decided.columns if c != "source_id")))
+    write_lines(rows.where("write").select(F.col("source_id").cast("string").alias("source_id"), snapshot.alias("value")), folder, "json")
     return seen.get
 
 

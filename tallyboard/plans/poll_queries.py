@@ -12,6 +12,7 @@ from tallyboard.functions import times
 from tallyboard.operators import changes, status
 from tallyboard.plans.registry import query, read
 from tallyboard.sources import feeds
+from tallyboard.sources.folders import read_lines
 from tallyboard.sources.scratch import new_path
 from tallyboard.streaming import polls as stream
 
@@ -363,5 +364,5 @@ def snapshots_after_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     board = lambda rows, run: rows.groupBy("user_id").agg(F.count("*").alias("rows")).select(F.col("user_id").alias("source_id"), "rows", F.lit(run).alias("run"))
     write_snapshots(board(events.where("ts < timestamp_ntz '2024-01-15'"), 1).withColumn("write", F.lit(True)), folder)
     write_snapshots(board(events.where("user_id % 3 < 2"), 2).withColumn("write", F.col("source_id") % 3 == 0), folder)
-    kept = spark.read.schema("source_id bigint, rows bigint, run int").json(folder)
-    return kept.select(F.col("source_id").alias("user_id"), "run", "rows")
+    kept = F.from_json("value", "rows bigint, run int")
+    return read_lines(spark, folder).select(F.col("source_id").cast("bigint").alias("user_id"), kept.alias("kept")).select("user_id", "kept.run", "kept.rows")

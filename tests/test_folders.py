@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from tallyboard.plans import landing_queries
+from tallyboard.plans import engine, landing_queries
 from tallyboard.sources import folders
 
 IDS = ["a", "a:b", "50%", "x/y", "é ü", 'q"', "[1]", "{2}", "k=v", "a^b", "c\\d", "t\tab", "s'", "#*?", "~-_.", None]
@@ -61,3 +62,15 @@ def test_a_run_that_fails_replaces_nothing(spark, tmp_path):
     with pytest.raises(PythonException):
         folders.write_lines(rows.mapInArrow(broken, "source_id string, value string").withColumn("value", F.col("value")), out)
     assert [tuple(r) for r in folders.read_lines(spark, out).collect()] == [("a", "good")] and [p.name for p in Path(out).iterdir()] == ["source_id=a"]
+
+
+def test_snapshots_of_four_thousand_sources_in_two_runs(spark, tmp_path):
+    out, began = str(tmp_path / "out"), time.time()
+    run = lambda n: spark.range(4000).select(F.concat(F.lit("s:"), "id").alias("source_id"), F.lit(n).alias("run"), (F.col("id") % n == 0).alias("write"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("none"))
+    assert engine.write_snapshots(run(1), out) == {"decided": 4000, "written": 4000, "changed": 0}
+    assert engine.write_snapshots(run(4), out) == {"decided": 4000, "written": 1000, "changed": 0}
+    own = F.from_json("value", "run int, write boolean, none long")
+    kept = folders.read_lines(spark, out).select("source_id", own.alias("s")).select("source_id", "s.*").collect()
+    took = time.time() - began
+    assert {r.source_id: (r.run, r.write, r.none) for r in kept} == {f"s:{k}": (4 if k % 4 == 0 else 1, True, None if k % 2 else k) for k in range(4000)} and len(kept) == 4000
+    assert sum(p.is_file() for p in Path(out).rglob("*")) == 4000 and took < 40
